@@ -1,6 +1,6 @@
 """All registered queries; importing a module registers its queries."""
 
-from berth.plans import profiling, runlog, sensitive, text  # noqa: F401
+from berth.plans import dictionary, profiling, runlog, sensitive, text  # noqa: F401
 from berth.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
