@@ -180,12 +180,13 @@ def with_suggestions(mappings: DataFrame, similar: DataFrame) -> DataFrame:
     )
 
 
-def confidence(mappings: DataFrame) -> DataFrame:
-    """Mean score, two decimals; 0.0 without mappings."""
+def confidence(mappings: DataFrame, *measures: Column) -> DataFrame:
+    """Mean score, two decimals; 0.0 without mappings. Further measures may be added."""
     score = F.coalesce(F.col("confidence_score"), F.lit(MISSING_SCORE))
     return mappings.agg(
         F.count(F.lit(1)).alias("mappings"),
         F.coalesce(F.round(F.avg(score), 2), F.lit(0.0)).alias("confidence"),
+        *measures,
     )
 
 
@@ -210,18 +211,20 @@ def with_defaults(mappings: DataFrame, mapping_id: Column) -> DataFrame:
     )
 
 
-def transformation_text(mappings: DataFrame, relation: str) -> DataFrame:
+def transformation_text(mappings: DataFrame, relation: str, *measures: Column) -> DataFrame:
     """SELECT text of a mapping; brings together as many rows as the source has columns."""
     line = F.concat(F.lit("    "), "transformation_logic", F.lit(" AS "), "target_column")
     lines = F.array_sort(F.collect_list(F.struct(F.col("ordinal"), line.alias("line"))))
-    return mappings.agg(lines.alias("_lines")).select(
+    text = mappings.agg(lines.alias("_lines"), *measures)
+    return text.withColumn(
+        "transformation_sql",
         F.concat(
             F.lit("SELECT\n"),
             F.array_join(F.transform("_lines", lambda x: x["line"]), ",\n"),
             F.lit(",\n    CURRENT_TIMESTAMP() AS LOADED_AT,\n    CURRENT_USER() AS LOADED_BY\n"),
             F.lit(f"FROM {relation}"),
-        ).alias("transformation_sql")
-    )
+        ),
+    ).drop("_lines")
 
 
 def cast_plan(mappings: DataFrame) -> list[tuple[str, str, str]]:

@@ -1,6 +1,15 @@
 """All registered queries; importing a module registers its queries."""
 
-from berth.plans import dictionary, profiling, runlog, sensitive, text  # noqa: F401
+from berth.plans import (  # noqa: F401
+    dictionary,
+    files,
+    mapping,
+    profiling,
+    runlog,
+    sensitive,
+    streams,
+    text,
+)
 from berth.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
