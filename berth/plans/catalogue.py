@@ -6,6 +6,7 @@ from berth.plans import (  # noqa: F401
     mapping,
     profiling,
     runlog,
+    runs,
     sensitive,
     streams,
     text,
