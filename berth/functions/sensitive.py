@@ -81,15 +81,15 @@ def is_card_number(value: Column) -> Column:
     return F.call_function("luhn_check", F.regexp_replace(value, "[ -]", ""))
 
 
-def value_label(value: Column) -> Column:
-    """Label of a whole value: the first shape it has, NULL for none."""
-    chain = None
+def value_label(value: str) -> Column:
+    """Label of a whole value (a column name): the first shape it has, NULL for none."""
+    tests = []
     for label in PII_LABELS + PHI_LABELS:
-        test = value.rlike(rf"^(?:{SHAPES[label]})\z")
+        test = rf"{value} RLIKE r'^(?:{SHAPES[label]})\z'"
         if label == "CREDIT_CARD":
-            test = test & is_card_number(value)
-        chain = F.when(test, label) if chain is None else chain.when(test, label)
-    return chain
+            test += f" AND luhn_check(regexp_replace({value}, '[ -]', ''))"
+        tests.append(f"WHEN {test} THEN '{label}'")
+    return F.expr(f"CASE {' '.join(tests)} END")
 
 
 def find_all(value: Column, label: str) -> Column:

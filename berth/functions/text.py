@@ -28,27 +28,27 @@ def token_count(text: Column) -> Column:
 
 def hits(found: Column, lexicon: Sequence[str]) -> Column:
     """How many of the words belong to the lexicon."""
-    known = F.array(*[F.lit(w) for w in lexicon])
-    return F.size(F.filter(found, lambda w: F.array_contains(known, w)))
+    return F.size(F.filter(found, lambda w: w.isin(list(lexicon))))
+
+
+def known_words(found: Column, *lexicons: Sequence[str]) -> Column:
+    """Only the words that belong to any of the lexicons, in one pass over the words."""
+    every = sorted({w for lexicon in lexicons for w in lexicon})
+    return F.filter(found, lambda w: w.isin(every))
 
 
 def best_label(found: Column, rules: dict[str, Sequence[str]], default: str = "other") -> Column:
     """Label with the most hits; ties go to the label listed first, no hits to the default."""
     scores = {label: hits(found, lexicon) for label, lexicon in rules.items()}
-    top = F.greatest(*scores.values()) if len(scores) > 1 else next(iter(scores.values()))
+    top = F.array_max(F.array(*scores.values()))
     chain = F.when(top <= 0, default)
     for label, score in scores.items():
         chain = chain.when(score == top, label)
     return F.coalesce(chain, F.lit(default))
 
 
-def sentiment(
-    found: Column,
-    positive: Sequence[str] = POSITIVE_WORDS,
-    negative: Sequence[str] = NEGATIVE_WORDS,
-) -> Column:
-    """(positive - negative) / (positive + negative), 0 where the text has neither."""
-    good, bad = hits(found, positive), hits(found, negative)
+def sentiment(good: Column, bad: Column) -> Column:
+    """(good - bad) / (good + bad), 0 where the text has neither."""
     return F.when(good + bad > 0, (good - bad) / (good + bad)).otherwise(F.lit(0.0))
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from berth.functions import quality
 from berth.functions import sensitive as sens
-from berth.operators.profile import quoted
+from berth.operators.layout import spread
+from berth.operators.profile import quoted, text_literal, tick
 
 
 def name_findings(columns: DataFrame) -> DataFrame:
@@ -57,32 +58,17 @@ def value_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """
     parts = []
     for table, df in tables.items():
-        cells = []
-        for name in _text_columns(df):
-            value = quoted(name).cast("string")
-            cells.append(
-                F.struct(
-                    F.lit(name).alias("column_name"),
-                    sens.value_label(value).alias("label"),
-                    value.alias("value"),
-                )
-            )
+        cells = ", ".join(
+            f"struct({text_literal(c)} AS column_name, CAST({tick(c)} AS string) AS value)"
+            for c in _text_columns(df)
+        )
         if cells:
-            rows = df.select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
-            parts.append(
-                rows.select(
-                    F.lit(table).alias("table_name"),
-                    "column_name",
-                    "label",
-                    F.when(
-                        F.col("label").isNotNull(),
-                        F.substring("value", 1, sens.PREFIX_LENGTH),
-                    ).alias("prefix"),
-                )
-            )
+            values = spread(df).selectExpr(f"inline(array({cells}))").filter("value IS NOT NULL")
+            parts.append(values.withColumn("table_name", F.lit(table)))
+    labelled = reduce(DataFrame.unionByName, parts).withColumn("label", sens.value_label("value"))
+    prefix = F.when(F.col("label").isNotNull(), F.substring("value", 1, sens.PREFIX_LENGTH))
     by_prefix = (
-        reduce(DataFrame.unionByName, parts)
-        .groupBy("table_name", "column_name", "label", "prefix")
+        labelled.groupBy("table_name", "column_name", "label", prefix.alias("prefix"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     return by_prefix.groupBy("table_name", "column_name", "label").agg(

@@ -17,7 +17,12 @@ def classify(
     df: DataFrame, column: str, rules: dict[str, Sequence[str]], default: str = "other"
 ) -> DataFrame:
     """Add ``label``: the label whose words occur most often in the text."""
-    return df.withColumn("label", tx.best_label(tx.words(F.col(column)), rules, default))
+    known = tx.known_words(tx.words(F.col(column)), *rules.values())
+    return (
+        df.withColumn("_known", known)
+        .withColumn("label", tx.best_label(F.col("_known"), rules, default))
+        .drop("_known")
+    )
 
 
 def text_filter(df: DataFrame, rule: Column) -> DataFrame:
@@ -26,10 +31,20 @@ def text_filter(df: DataFrame, rule: Column) -> DataFrame:
 
 
 def with_sentiment(
-    df: DataFrame, column: str, positive: Sequence[str], negative: Sequence[str]
+    df: DataFrame,
+    column: str,
+    positive: Sequence[str] = tx.POSITIVE_WORDS,
+    negative: Sequence[str] = tx.NEGATIVE_WORDS,
 ) -> DataFrame:
     """Add ``sentiment`` between -1 and 1."""
-    return df.withColumn("sentiment", tx.sentiment(tx.words(F.col(column)), positive, negative))
+    known = tx.known_words(tx.words(F.col(column)), positive, negative)
+    return (
+        df.withColumn("_known", known)
+        .withColumn("_good", tx.hits(F.col("_known"), positive))
+        .withColumn("_bad", tx.hits(F.col("_known"), negative))
+        .withColumn("sentiment", tx.sentiment(F.col("_good"), F.col("_bad")))
+        .drop("_known", "_good", "_bad")
+    )
 
 
 def extract(df: DataFrame, column: str, questions: dict[str, str]) -> DataFrame:
@@ -62,6 +77,12 @@ def structured(
     return parsed.withColumn("is_valid", complete)
 
 
+def _word_rows(df: DataFrame, column: str, *kept: str) -> DataFrame:
+    """One row per word. The outer form spares a second tokenising for a size filter."""
+    rows = df.select(*kept, F.explode_outer(tx.words(F.col(column))).alias("word"))
+    return rows.filter(F.col("word").isNotNull())
+
+
 def text_digest(df: DataFrame, column: str, by: Sequence[str], k: int = 10) -> DataFrame:
     """The k most frequent words per group, ties in alphabetical order.
 
@@ -69,7 +90,7 @@ def text_digest(df: DataFrame, column: str, by: Sequence[str], k: int = 10) -> D
     to the counted words before they are brought together per group.
     """
     counted = (
-        df.select(*by, F.explode(tx.words(F.col(column))).alias("word"))
+        _word_rows(df, column, *by)
         .groupBy(*by, "word")
         .agg(F.count(F.lit(1)).alias("frequency"))
     )
@@ -105,7 +126,7 @@ def hashed_terms(df: DataFrame, key: str, column: str, dimensions: int = 256) ->
     """Sparse term-frequency vector per row: (key, bucket, weight), words hashed to buckets."""
     bucket = F.conv(F.substring(F.md5(F.col("word").cast("binary")), 1, 6), 16, 10).cast("int")
     return (
-        df.select(key, F.explode(tx.words(F.col(column))).alias("word"))
+        _word_rows(df, column, key)
         .groupBy(key, "word")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy(key, (bucket % dimensions).alias("bucket"))

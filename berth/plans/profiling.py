@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from berth.operators import profile as prof
+from berth.operators.layout import spread
 from berth.plans import sqltext
 from berth.plans.registry import query, table, tables
 
@@ -177,7 +178,7 @@ def _infer_sql() -> str:
 
 @query("infer_schema_text", _infer_sql())
 def infer_schema_text(spark, sf_dir):
-    lineitem = table(spark, sf_dir, "lineitem")
+    lineitem = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
     text = lineitem.select(
         *[F.col(c).cast("string").alias(c) for c in lineitem.columns],
         (F.col("l_linestatus") == "F").cast("string").alias("shipped"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from berth.functions import sensitive as sens
 from berth.operators import profile as prof
 from berth.operators import sensitive as op
+from berth.operators.layout import spread
 from berth.plans import sqltext
 from berth.plans.registry import query, table, tables
 
@@ -251,7 +252,8 @@ def _find_sql(label: str) -> str:
     ),
 )
 def pii_in_text(spark, sf_dir):
-    return op.text_findings(table(spark, sf_dir, "documents"), "text")
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op.text_findings(spread(texts, "doc_id"), "text")
 
 
 def redact_sql(text: str) -> str:
@@ -264,8 +266,8 @@ def redact_sql(text: str) -> str:
 
 @query("mask_text", f"SELECT doc_id, {redact_sql('text')} AS redacted FROM documents")
 def mask_text(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
-    return documents.select("doc_id", sens.redact(F.col("text")).alias("redacted"))
+    texts = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return texts.select("doc_id", sens.redact(F.col("text")).alias("redacted"))
 
 
 def _mask_sql(name: str, label: str) -> str:

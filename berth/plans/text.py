@@ -7,8 +7,14 @@ from pyspark.sql import functions as F
 from berth.functions import sensitive as sens
 from berth.functions import text as tx
 from berth.operators import textops as op
+from berth.operators.layout import spread
 from berth.plans.registry import query, table
 
+def documents(spark, sf_dir, *more):
+    """Texts of the documents, spread over the cores where the file has few splits."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", *more), "doc_id")
+
+
 # Frequent words of the languages in the documents table.
 LANGUAGE_WORDS = {
     "english": ["the", "of", "and", "to", "is"],
@@ -40,8 +46,8 @@ def _classify_sql() -> str:
 
 @query("text_classify", _classify_sql())
 def text_classify(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
-    return op.classify(documents, "text", LANGUAGE_WORDS).select("doc_id", "label")
+    texts = documents(spark, sf_dir)
+    return op.classify(texts, "text", LANGUAGE_WORDS).select("doc_id", "label")
 
 
 @query(
@@ -50,7 +56,7 @@ def text_classify(spark, sf_dir):
     f"({_classify_sql()}) AS c USING (doc_id) GROUP BY lang, label",
 )
 def text_classify_agreement(spark, sf_dir):
-    labelled = op.classify(table(spark, sf_dir, "documents"), "text", LANGUAGE_WORDS)
+    labelled = op.classify(documents(spark, sf_dir, "lang"), "text", LANGUAGE_WORDS)
     return labelled.groupBy("lang", "label").agg(F.count(F.lit(1)).alias("documents"))
 
 
@@ -64,9 +70,9 @@ _TOKENS = f"len(regexp_extract_all(text, '{tx.TOKEN}'))"
 )
 def text_filter(spark, sf_dir):
     tokens = tx.token_count(F.col("text"))
-    documents = table(spark, sf_dir, "documents").withColumn("tokens", tokens)
+    counted = documents(spark, sf_dir, "lang").withColumn("tokens", tokens)
     rule = (F.col("tokens") >= 500) | F.col("text").rlike(sens.SHAPES["EMAIL"])
-    return op.text_filter(documents, rule).select("doc_id", "lang", "tokens")
+    return op.text_filter(counted, rule).select("doc_id", "lang", "tokens")
 
 
 @query(
@@ -76,8 +82,8 @@ def text_filter(spark, sf_dir):
     f"{_hits(UNFAVOURABLE)} AS bad FROM (SELECT doc_id, {_WORDS} AS ws FROM documents))",
 )
 def sentiment(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
-    scored = op.with_sentiment(documents, "text", FAVOURABLE, UNFAVOURABLE)
+    texts = documents(spark, sf_dir)
+    scored = op.with_sentiment(texts, "text", FAVOURABLE, UNFAVOURABLE)
     return scored.select("doc_id", "sentiment")
 
 
@@ -98,9 +104,9 @@ QUESTIONS = {
     ),
 )
 def extract(spark, sf_dir):
-    found = op.extract(table(spark, sf_dir, "documents"), "text", QUESTIONS)
+    found = op.extract(documents(spark, sf_dir), "text", QUESTIONS)
     return (
-        found.select("doc_id", F.explode("answers").alias("question", "found"))
+        found.select("doc_id", F.explode_outer("answers").alias("question", "found"))
         .filter(F.size("found") > 0)
         .select(
             "doc_id",
@@ -125,7 +131,7 @@ PAGE_QUESTIONS = {"title": "<title>([^<]*)</title>", "link": 'href="([^"]*)"'}
 )
 def extract_markup(spark, sf_dir):
     found = op.extract(table(spark, sf_dir, "pages"), "html", PAGE_QUESTIONS)
-    return found.select("page_id", F.explode("answers").alias("question", "found")).select(
+    return found.select("page_id", F.explode_outer("answers").alias("question", "found")).select(
         "page_id",
         "question",
         F.size("found").alias("answers"),
@@ -222,7 +228,7 @@ def suggestion_lists(spark, sf_dir):
     f"SELECT lang, unnest({_WORDS}) AS word FROM documents) GROUP BY lang, word) WHERE rank <= 10",
 )
 def text_digest(spark, sf_dir):
-    return op.text_digest(table(spark, sf_dir, "documents"), "text", ["lang"])
+    return op.text_digest(documents(spark, sf_dir, "lang"), "text", ["lang"])
 
 
 @query(
@@ -233,7 +239,7 @@ def text_digest(spark, sf_dir):
     "GROUP BY quality, word) WHERE rank <= 10",
 )
 def text_digest_labels(spark, sf_dir):
-    labelled = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    labelled = documents(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id")
     return op.text_digest(labelled, "text", ["quality"])
 
 
@@ -253,7 +259,7 @@ def complete_hook(spark, sf_dir):
     f"SELECT doc_id, unnest({_WORDS}) AS word FROM documents)) GROUP BY doc_id, bucket",
 )
 def hashed_terms(spark, sf_dir):
-    return op.hashed_terms(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return op.hashed_terms(documents(spark, sf_dir), "doc_id", "text")
 
 
 @query(
