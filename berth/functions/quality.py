@@ -84,4 +84,4 @@ def risk_level(pii: Column, phi: Column) -> Column:
 
 def success_rate(status: Column, good: str = "COMPLETED") -> Column:
     """Percentage of rows with the wanted status; NULL over no rows."""
-    return F.count_if(status == good) * F.lit(100.0) / F.count(F.lit(1))
+    return F.try_divide(F.count_if(status == good) * F.lit(100.0), F.count(F.lit(1)))

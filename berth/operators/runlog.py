@@ -36,7 +36,7 @@ def since(as_of: dt.datetime, days: float = 0, hours: float = 0) -> Column:
 
 def _mean(column: str) -> Column:
     """Mean of an exact decimal, as a double; NULL over no values."""
-    return F.sum(column).cast("double") / F.count(column)
+    return F.try_divide(F.sum(column).cast("double"), F.count(column))
 
 
 def latest(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
@@ -225,7 +225,7 @@ def cost_by_agent(steps: DataFrame, as_of: dt.datetime, days: int = 7) -> DataFr
         .groupBy("agent_name")
         .agg(
             F.sum("tokens_used").alias("total_tokens"),
-            (F.sum("tokens_used") / F.count("tokens_used")).alias("avg_tokens_per_execution"),
+            _mean("tokens_used").alias("avg_tokens_per_execution"),
             F.sum("credits_used").cast("double").alias("total_credits"),
         )
     )
