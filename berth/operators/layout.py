@@ -10,7 +10,8 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
     For work that costs far more per row than moving the row does, such as matching
     patterns in texts. A table with enough splits of its own stays as it is, so nothing
-    is shuffled at scale. ``keys`` should be a unique key of the table.
+    is shuffled at scale. ``keys`` should be a unique key of the table. Call it on a table
+    as it is read: to count the splits of a plan with shuffles, Spark would have to run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:

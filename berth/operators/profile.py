@@ -327,6 +327,59 @@ def quality_score(profile_rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return profile_rows.groupBy(*by).agg(*measures) if by else profile_rows.agg(*measures)
 
 
+def history_rows(profile_rows: DataFrame, named: DataFrame, issues: DataFrame) -> DataFrame:
+    """One nested row per table, typed, as it is kept in the profiling history.
+
+    Lists hold one entry per column or issue of a table, as many as its schema allows.
+    """
+    columns = profile_rows.groupBy("table_name").agg(
+        F.max("row_count").alias("row_count"),
+        F.count(F.lit(1)).cast("int").alias("column_count"),
+        F.array_sort(
+            F.collect_list(
+                F.struct(
+                    "ordinal",
+                    "column_name",
+                    "data_type",
+                    "null_count",
+                    "distinct_count",
+                    "null_percentage",
+                    "cardinality",
+                    "min_value",
+                    "max_value",
+                )
+            )
+        ).alias("columns"),
+    )
+    flagged = named.groupBy("table_name").agg(
+        F.array_sort(
+            F.collect_list(F.when(F.col("pii_type").isNotNull(), F.col("column_name")))
+        ).alias("pii_detected"),
+        F.array_sort(
+            F.collect_list(F.when(F.col("phi_type").isNotNull(), F.col("column_name")))
+        ).alias("phi_detected"),
+    )
+    listed = issues.groupBy("table_name").agg(
+        F.array_sort(
+            F.collect_list(F.struct("column_name", "issue_type", "severity", "description"))
+        ).alias("data_quality_issues")
+    )
+    return (
+        columns.join(flagged, "table_name", "left")
+        .join(listed, "table_name", "left")
+        .select(
+            "table_name",
+            F.struct("column_count", F.col("columns.column_name").alias("columns")).alias(
+                "inferred_schema"
+            ),
+            F.struct("row_count", "columns").alias("statistics"),
+            "pii_detected",
+            "phi_detected",
+            "data_quality_issues",
+        )
+    )
+
+
 def column_report(profile_rows: DataFrame) -> DataFrame:
     """Profile, points and issue names of every column in one row each."""
     found = quality.issue_list(

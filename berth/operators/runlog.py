@@ -343,3 +343,8 @@ def step_positions(steps: DataFrame, bucket: str = "hour") -> DataFrame:
         .withColumn("position", F.col("_offset") + F.col("_place"))
         .drop("_bucket", "_place", "_offset")
     )
+
+
+def rows_of_runs(history: DataFrame, runs: DataFrame, key: str = "workflow_id") -> DataFrame:
+    """History rows that belong to the given runs, several per run if there are."""
+    return history.join(runs.select(key).distinct(), key, "left_semi")

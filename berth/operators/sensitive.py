@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from berth.functions import quality
 from berth.functions import sensitive as sens
-from berth.operators.layout import spread
 from berth.operators.profile import quoted, text_literal, tick
 
 
@@ -63,7 +62,7 @@ def value_counts(tables: dict[str, DataFrame]) -> DataFrame:
             for c in _text_columns(df)
         )
         if cells:
-            values = spread(df).selectExpr(f"inline(array({cells}))").filter("value IS NOT NULL")
+            values = df.selectExpr(f"inline(array({cells}))").filter("value IS NOT NULL")
             parts.append(values.withColumn("table_name", F.lit(table)))
     labelled = reduce(DataFrame.unionByName, parts).withColumn("label", sens.value_label("value"))
     prefix = F.when(F.col("label").isNotNull(), F.substring("value", 1, sens.PREFIX_LENGTH))

@@ -3,6 +3,7 @@
 from berth.plans import (  # noqa: F401
     dictionary,
     files,
+    history,
     mapping,
     profiling,
     runlog,

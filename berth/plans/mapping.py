@@ -448,8 +448,8 @@ def _similar_sql() -> str:
         "len(list_distinct(list_concat(a.w, b.w))) AS similarity, "
         "CAST(levenshtein(a.name, b.name) AS INTEGER) AS edit_distance "
         "FROM a JOIN b ON a.name <> b.name), "
-        "r AS (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY similarity DESC, "
-        "known_name) AS rank FROM p WHERE similarity >= CAST(0.3 AS DOUBLE)) "
+        "r AS (SELECT *, CAST(row_number() OVER (PARTITION BY column_name ORDER BY similarity DESC, "
+        "known_name) AS INTEGER) AS rank FROM p WHERE similarity >= CAST(0.3 AS DOUBLE)) "
         "SELECT * FROM r WHERE rank <= 3"
     )
 
@@ -501,21 +501,3 @@ def map_with_suggestions(spark, sf_dir):
         "non_null_count",
     )
 
-
-_STEP_TEXT = "Profiling completed. %d columns analyzed."
-
-
-@query(
-    "summary_texts",
-    " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, concat('Profiling completed. ', "
-        f"{len(sqltext.columns(t))}, ' columns analyzed.') AS summary, count(*) AS rows FROM {t}"
-        for t in sqltext.COLUMNS
-    ),
-)
-def summary_texts(spark, sf_dir):
-    counts = prof.column_counts(tables(spark, sf_dir))
-    return counts.groupBy("table_name").agg(
-        F.format_string(_STEP_TEXT, F.count(F.lit(1))).alias("summary"),
-        F.max("row_count").alias("rows"),
-    )

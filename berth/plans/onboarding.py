@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from berth.functions import summary as texts
 from berth.operators import dictionary as dic
 from berth.operators import load
 from berth.operators import mapping as mp
@@ -24,7 +25,7 @@ from berth.operators import runlog as log
 from berth.operators import sensitive as sens
 from berth.sources import readers, sinks
 
-# Kinds of runs, and the closing sentences of steps and runs.
+# Kinds of runs with their steps, and the layers of a load.
 ONBOARDING = "ONBOARDING"
 PROFILING_ONLY = "PROFILING_ONLY"
 MAPPING_ONLY = "MAPPING_ONLY"
@@ -33,12 +34,6 @@ RUN_STEPS = {
     PROFILING_ONLY: ["PROFILING"],
     MAPPING_ONLY: ["MAPPING"],
 }
-SUMMARIES = {
-    "PROFILING": "Profiling completed. {columns} columns analyzed.",
-    "DICTIONARY": "DDL generated for {table} with {columns} columns.",
-    "MAPPING": "Generated {mappings} field mappings with {models} DBT models.",
-    "RUN": "Workflow completed with {steps} agents executed.",
-}
 LAYERS = ["staging", "intermediate", "curated"]
 
 LOG_LAYOUT = (
@@ -120,7 +115,7 @@ def onboard(
     }
     frames: dict[str, DataFrame] = {}
 
-    def profiling(df: DataFrame) -> dict:
+    def profiling(df: DataFrame) -> str:
         tables = {table: df}
         frames["profile"] = store.append("profiles", prof.profile_tables(tables), workflow_id)
         frames["findings"] = store.append("findings", sens.value_findings(tables), workflow_id)
@@ -128,13 +123,18 @@ def onboard(
             "issues", prof.quality_issues(frames["profile"]), workflow_id
         )
         named = sens.name_findings(frames["profile"])
+        frames["history"] = store.append(
+            "profiling_history",
+            prof.history_rows(frames["profile"], named, frames["issues"]),
+            workflow_id,
+        )
         result = prof.quality_score(frames["profile"], by=["table_name"]).join(
             sens.table_risk(named).drop("column_count"), "table_name"
         )
         frames["result"] = store.append("results", result, workflow_id)
-        return {"columns": len(df.columns)}
+        return texts.PROFILE_TEXT % len(df.columns)
 
-    def dictionary(df: DataFrame) -> dict:
+    def dictionary(df: DataFrame) -> str:
         found = frames["findings"].select("table_name", "column_name", "label")
         types = dic.narrow_types({table: df}).join(
             F.broadcast(found), ["table_name", "column_name"], "left"
@@ -151,9 +151,9 @@ def onboard(
             source_system,
         ).select(*dic.DICTIONARY_KEY, *dic.UPDATED_FIELDS, log.instant(_now()).alias("updated_at"))
         frames["dictionary"] = store.append("dictionary", entries, workflow_id)
-        return {"columns": len(df.columns), "table": table}
+        return texts.PROPOSAL_TEXT % (table, len(df.columns))
 
-    def mapping(df: DataFrame) -> dict:
+    def mapping(df: DataFrame) -> str:
         source = mp.source_columns(df)
         known = target if target is not None else source.limit(0)
         matched = mp.match_columns(source, known)
@@ -165,9 +165,9 @@ def onboard(
         )
         frames["loaded"] = load.clean_rows(flagged).drop("cast_errors")
         frames["rejected"] = load.reject_rows(flagged)
-        return {"mappings": len(df.columns), "models": len(LAYERS) + 1}
+        return texts.MAPPING_TEXT % (len(df.columns), len(LAYERS) + 1)
 
-    steps: dict[str, Callable[[DataFrame], dict]] = {
+    steps: dict[str, Callable[[DataFrame], str]] = {
         "PROFILING": profiling,
         "DICTIONARY": dictionary,
         "MAPPING": mapping,
@@ -183,7 +183,7 @@ def onboard(
         try:
             if df is None:
                 df = readers.read_staged(spark, path, file_format)
-            summary = SUMMARIES[agent].format(**steps[agent](df))
+            summary = steps[agent](df)
         except Exception as error:
             reason = sinks.ERROR_SUMMARY % sinks.error_condition(error)
             store.log(
@@ -211,7 +211,7 @@ def onboard(
             summary=summary,
         )
         done.append(agent)
-    summary = SUMMARIES["RUN"].format(steps=len(done))
+    summary = texts.RUN_TEXT % len(done)
     store.log(
         **common,
         status="COMPLETED",

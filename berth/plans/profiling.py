@@ -61,7 +61,8 @@ _COUNTED = ["l_returnflag", "l_linestatus", "l_linenumber", "l_suppkey", "l_part
     "profile_top_values",
     "SELECT column_name, value, frequency, rank FROM ("
     "SELECT column_name, value, frequency, "
-    "row_number() OVER (PARTITION BY column_name ORDER BY frequency DESC, value) AS rank FROM ("
+    "CAST(row_number() OVER (PARTITION BY column_name ORDER BY frequency DESC, value) AS INTEGER) "
+    "AS rank FROM ("
     + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS frequency "
         f"FROM lineitem WHERE {c} IS NOT NULL GROUP BY {c}"

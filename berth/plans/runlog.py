@@ -120,7 +120,7 @@ def run_lifecycle(spark, sf_dir):
 
 @query(
     "latest_turns",
-    "SELECT conv_id, turn, role, length(text) AS chars FROM (SELECT *, row_number() OVER "
+    "SELECT conv_id, turn, role, CAST(length(text) AS INTEGER) AS chars FROM (SELECT *, row_number() OVER "
     "(PARTITION BY conv_id ORDER BY turn DESC) AS rn FROM conversations) WHERE rn = 1",
 )
 def latest_turns(spark, sf_dir):

@@ -136,7 +136,7 @@ def findings_sql(searched: dict[str, list[str]] = _SEARCHED) -> str:
 
 def searched_tables(spark, sf_dir) -> dict[str, DataFrame]:
     found = {
-        n: table(spark, sf_dir, n).select(*cols)
+        n: spread(table(spark, sf_dir, n).select(*cols))
         for n, cols in _SEARCHED.items()
         if n != "contacts"
     }

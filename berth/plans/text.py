@@ -65,7 +65,7 @@ _TOKENS = f"len(regexp_extract_all(text, '{tx.TOKEN}'))"
 
 @query(
     "text_filter",
-    f"SELECT doc_id, lang, {_TOKENS} AS tokens FROM documents WHERE {_TOKENS} >= 500 "
+    f"SELECT doc_id, lang, CAST({_TOKENS} AS INTEGER) AS tokens FROM documents WHERE {_TOKENS} >= 500 "
     f"OR regexp_matches(text, '{sens.SHAPES['EMAIL']}')",
 )
 def text_filter(spark, sf_dir):
@@ -97,7 +97,7 @@ QUESTIONS = {
 @query(
     "extract",
     " UNION ALL ".join(
-        f"SELECT doc_id, '{q}' AS question, len(a) AS answers, "
+        f"SELECT doc_id, '{q}' AS question, CAST(len(a) AS INTEGER) AS answers, "
         f"array_to_string(a, ' | ') AS answer_text FROM (SELECT doc_id, "
         f"regexp_extract_all(text, '{p}', 1) AS a FROM documents) WHERE len(a) > 0"
         for q, p in QUESTIONS.items()
@@ -123,7 +123,7 @@ PAGE_QUESTIONS = {"title": "<title>([^<]*)</title>", "link": 'href="([^"]*)"'}
 @query(
     "extract_markup",
     " UNION ALL ".join(
-        f"SELECT page_id, '{q}' AS question, len(a) AS answers, "
+        f"SELECT page_id, '{q}' AS question, CAST(len(a) AS INTEGER) AS answers, "
         f"array_to_string(a, ' | ') AS answer_text FROM (SELECT page_id, "
         f"regexp_extract_all(html, '{p}', 1) AS a FROM pages)"
         for q, p in PAGE_QUESTIONS.items()
@@ -224,7 +224,8 @@ def suggestion_lists(spark, sf_dir):
 @query(
     "text_digest",
     "SELECT lang, word, frequency, rank FROM (SELECT lang, word, count(*) AS frequency, "
-    "row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS rank FROM ("
+    "CAST(row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS INTEGER) AS rank "
+    "FROM ("
     f"SELECT lang, unnest({_WORDS}) AS word FROM documents) GROUP BY lang, word) WHERE rank <= 10",
 )
 def text_digest(spark, sf_dir):
@@ -234,7 +235,8 @@ def text_digest(spark, sf_dir):
 @query(
     "text_digest_labels",
     "SELECT quality, word, frequency, rank FROM (SELECT quality, word, count(*) AS frequency, "
-    "row_number() OVER (PARTITION BY quality ORDER BY count(*) DESC, word) AS rank FROM ("
+    "CAST(row_number() OVER (PARTITION BY quality ORDER BY count(*) DESC, word) AS INTEGER) AS rank "
+    "FROM ("
     f"SELECT quality, unnest({_WORDS}) AS word FROM documents JOIN labels USING (doc_id)) "
     "GROUP BY quality, word) WHERE rank <= 10",
 )
