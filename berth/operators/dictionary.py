@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from berth.operators.profile import CHUNK, quoted, text_literal, tick
+from berth.operators.layout import literal, local_rows
+from berth.operators.profile import CHUNK, quoted, tick
 from berth.operators.runlog import latest
 
 # Texts that consumers of proposals look for.
@@ -38,7 +39,7 @@ def catalog_rows(spark: SparkSession, tables: dict[tuple[str, str], DataFrame])
         "table_schema string, table_name string, column_name string, ordinal int, "
         "data_type string, is_nullable boolean"
     )
-    return spark.createDataFrame(rows, layout)
+    return local_rows(spark, rows, layout)
 
 
 def dictionary_rows(columns: DataFrame, findings: DataFrame, source_system: str) -> DataFrame:
@@ -137,8 +138,8 @@ def narrow_types(tables: dict[str, DataFrame]) -> DataFrame:
                 found, proposal = _narrow_measures(i, field.name, field.dataType)
                 measures += [f"count({tick(field.name)}) AS _n{i}", *found]
                 structs.append(
-                    f"struct({text_literal(table)} AS table_name, "
-                    f"{text_literal(field.name)} AS column_name, {i} AS ordinal, "
+                    f"struct({literal(table)} AS table_name, "
+                    f"{literal(field.name)} AS column_name, {i} AS ordinal, "
                     f"'{field.dataType.simpleString()}' AS data_type, "
                     f"{proposal} AS proposed_type, "
                     f"_rows = 0 OR _n{i} < _rows AS nullable)"
@@ -206,7 +207,7 @@ def conformity(df: DataFrame, ddl: str) -> DataFrame:
             f"count_if({name} IS NOT NULL AND try_cast({name} AS {target}) IS NULL) AS _bad{i}"
         )
         structs.append(
-            f"struct({text_literal(field.name)} AS column_name, '{target}' AS proposed_type, "
+            f"struct({literal(field.name)} AS column_name, '{target}' AS proposed_type, "
             f"_rows AS row_count, _bad{i} AS failures, _bad{i} = 0 AS passed)"
         )
     return df.agg(*[F.expr(m) for m in measures]).selectExpr(

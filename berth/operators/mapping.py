@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from berth.operators.profile import text_literal, tick
+from berth.operators.layout import literal, local_rows
+from berth.operators.profile import tick
 
 # Scores of mappings by rule, and what stands in for missing fields.
 MATCHED_SCORE = 0.95
@@ -252,7 +253,7 @@ def apply_mapping(
         columns.append(f"{cast} AS {tick(target)}")
         failures.append(
             f"CASE WHEN {tick(source)} IS NOT NULL AND {cast} IS NULL "
-            f"THEN {text_literal(target)} END"
+            f"THEN {literal(target)} END"
         )
     mapped = df.selectExpr(
         *columns, f"array_compact(array({', '.join(failures)})) AS cast_errors"
@@ -275,8 +276,8 @@ def cast_failures(df: DataFrame, plan: list[tuple[str, str, str]]) -> DataFrame:
             f"count_if({name} IS NOT NULL AND try_cast({name} AS {dtype}) IS NULL) AS _bad{i}",
         ]
         structs.append(
-            f"struct({text_literal(source)} AS source_column, "
-            f"{text_literal(target)} AS target_column, '{dtype}' AS target_data_type, "
+            f"struct({literal(source)} AS source_column, "
+            f"{literal(target)} AS target_column, '{dtype}' AS target_data_type, "
             f"_n{i} AS non_null_count, _bad{i} AS failures)"
         )
     return df.agg(*[F.expr(m) for m in measures]).selectExpr(
@@ -290,8 +291,8 @@ def source_columns(df: DataFrame, strip_prefix: str = "") -> DataFrame:
         (f.name.removeprefix(strip_prefix), f.dataType.simpleString(), i)
         for i, f in enumerate(df.schema.fields)
     ]
-    return df.sparkSession.createDataFrame(
-        rows, "column_name string, data_type string, ordinal int"
+    return local_rows(
+        df.sparkSession, rows, "column_name string, data_type string, ordinal int"
     )
 
 
@@ -301,8 +302,8 @@ def columns_from_ddl(df: DataFrame, ddl: str) -> DataFrame:
         (f.name, f.dataType.simpleString(), i)
         for i, f in enumerate(T.StructType.fromDDL(ddl).fields)
     ]
-    return df.sparkSession.createDataFrame(
-        rows, "column_name string, data_type string, ordinal int"
+    return local_rows(
+        df.sparkSession, rows, "column_name string, data_type string, ordinal int"
     )
 
 

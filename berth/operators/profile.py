@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from berth.functions import quality
+from berth.operators.layout import literal, local_rows
 
 # Strings of this many bytes or more take part in the distinct count as a SHA-256
 # digest of 64 characters. Shorter ones stay as they are, so the two cannot meet.
@@ -41,10 +42,6 @@ def tick(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def text_literal(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def comparable(dtype: T.DataType) -> bool:
     """Whether values of the type can be grouped."""
     if isinstance(dtype, (T.MapType, T.VariantType)):
@@ -75,6 +72,12 @@ class Slot:
     def is_text(self) -> bool:
         return isinstance(self.dtype, T.StringType)
 
+    @property
+    def group_type(self) -> str:
+        """Type under which the values are grouped; whole numbers of all widths meet."""
+        whole = (T.ByteType, T.ShortType, T.IntegerType)
+        return "bigint" if isinstance(self.dtype, whole) else self.dtype.simpleString()
+
     @property
     def error(self) -> str | None:
         if comparable(self.dtype):
@@ -114,12 +117,16 @@ def _fixed_stats(
     per_type: dict[str, list[Slot]] = {}
     for slot in slots:
         if not slot.is_text and slot.error is None:
-            per_type.setdefault(slot.dtype.simpleString(), []).append(slot)
+            per_type.setdefault(slot.group_type, []).append(slot)
     frames = []
     for members in per_type.values():
         parts = []
         for table, df in tables.items():
-            cells = [(s.number, tick(s.name)) for s in members if s.table == table]
+            cells = [
+                (s.number, f"CAST({tick(s.name)} AS {s.group_type})")
+                for s in members
+                if s.table == table
+            ]
             if cells:
                 parts.append(_value_rows(df, by, cells))
         grouped = _union(parts).groupBy(*by, "slot", "value").agg(F.expr("count(1) AS n"))
@@ -219,7 +226,8 @@ def profile_tables(
     slots = slots_of(tables, by)
     spark = next(iter(tables.values())).sparkSession
     # One row per column of the schemas, known before any data is read.
-    layout = spark.createDataFrame(
+    layout = local_rows(
+        spark,
         [(s.number, s.table, s.name, s.ordinal, s.dtype.simpleString(), s.error) for s in slots],
         "slot int, table_name string, column_name string, ordinal int, data_type string, "
         "error string",
@@ -297,7 +305,7 @@ def column_counts(tables: dict[str, DataFrame]) -> DataFrame:
         measures = ["count(1) AS _rows"]
         measures += [f"count({tick(c)}) AS _n{i}" for i, c in enumerate(df.columns)]
         structs = ", ".join(
-            f"struct({text_literal(table)} AS table_name, {text_literal(c)} AS column_name, "
+            f"struct({literal(table)} AS table_name, {literal(c)} AS column_name, "
             f"{i} AS ordinal, _rows AS row_count, _n{i} AS non_null_count)"
             for i, c in enumerate(df.columns)
         )
@@ -527,7 +535,7 @@ def infer_text_schema(df: DataFrame) -> DataFrame:
             ]
             ladder = " ".join(f"WHEN _fit{i} & {bit} <> 0 THEN '{t}'" for t, bit in TEXT_TYPES.items())
             structs.append(
-                f"struct({text_literal(name)} AS column_name, "
+                f"struct({literal(name)} AS column_name, "
                 f"CASE {ladder} ELSE 'string' END AS data_type, _n{i} < _rows AS nullable, "
                 f"{i} AS order_id)"
             )
@@ -548,4 +556,4 @@ def declared_schema(df: DataFrame) -> DataFrame:
     layout = (
         "column_name string, data_type string, nullable boolean, expression string, order_id int"
     )
-    return df.sparkSession.createDataFrame(rows, layout)
+    return local_rows(df.sparkSession, rows, layout)

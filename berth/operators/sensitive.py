@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from berth.functions import quality
 from berth.functions import sensitive as sens
-from berth.operators.profile import quoted, text_literal, tick
+from berth.operators.layout import literal
+from berth.operators.profile import quoted, tick
 
 
 def name_findings(columns: DataFrame) -> DataFrame:
@@ -58,7 +59,7 @@ def value_counts(tables: dict[str, DataFrame]) -> DataFrame:
     parts = []
     for table, df in tables.items():
         cells = ", ".join(
-            f"struct({text_literal(c)} AS column_name, CAST({tick(c)} AS string) AS value)"
+            f"struct({literal(c)} AS column_name, CAST({tick(c)} AS string) AS value)"
             for c in _text_columns(df)
         )
         if cells:
