@@ -81,14 +81,37 @@ def incremental_load(
     return upsert(existing, fresh, keys, [load_column])
 
 
-def write_snapshot(df: DataFrame, path: str | None = None, label: str = "snapshot") -> DataFrame:
+def write_snapshot(
+    df: DataFrame,
+    path: str | None = None,
+    label: str = "snapshot",
+    partition_by: Sequence[str] = (),
+) -> DataFrame:
     """Write a table to a new folder and read it back: cuts the lineage, survives lost
     executors, and never overwrites what is being read."""
     path = path or scratch_dir(df.sparkSession, label)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_bucketed(
+    df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None
+) -> DataFrame:
+    """Write a curated table in buckets of its key.
+
+    An upsert into such a table moves only the batch: the table is already laid out
+    the way the join needs it. Choose as many buckets as keep one bucket in the memory
+    of a task.
+    """
+    spark = df.sparkSession
+    location = path or scratch_dir(spark, name)
+    spread_out = df.repartition(buckets, *keys)
+    spread_out.write.mode("errorifexists").bucketBy(buckets, *keys).sortBy(*keys).option(
+        "path", location
+    ).saveAsTable(name)
+    return spark.table(name)
+
+
 def stage_view(df: DataFrame, source: str) -> str:
     """Register mapped data as the staging view of its source."""
     name = f"stg_{source.lower()}"

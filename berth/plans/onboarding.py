@@ -23,6 +23,7 @@ from berth.operators import mapping as mp
 from berth.operators import profile as prof
 from berth.operators import runlog as log
 from berth.operators import sensitive as sens
+from berth.operators.layout import local_rows
 from berth.sources import readers, sinks
 
 # Kinds of runs with their steps, and the layers of a load.
@@ -78,9 +79,9 @@ class Store:
         return self.spark.read.parquet(self.path(name))
 
     def log(self, **values) -> None:
-        row = {name.split(" ")[0]: None for name in LOG_LAYOUT.split(", ")}
-        row.update(values)
-        df = self.spark.createDataFrame([tuple(row.values())], LOG_LAYOUT)
+        row = {part.split(" ")[0]: None for part in LOG_LAYOUT.split(", ")}
+        row.update({name: None if v is None else str(v) for name, v in values.items()})
+        df = local_rows(self.spark, [tuple(row.values())], LOG_LAYOUT)
         sinks.append_rows(df, self.path("log"))
 
     def log_rows(self) -> DataFrame:

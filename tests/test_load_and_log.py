@@ -40,6 +40,26 @@ def test_snapshot_is_written_before_it_is_read(spark):
     assert saved.count() == 10 and "parquet" in saved.inputFiles()[0]
 
 
+def test_upsert_into_buckets_moves_only_the_batch(spark):
+    import uuid
+
+    name = f"curated_{uuid.uuid4().hex[:8]}"
+    existing = spark.range(1000).selectExpr("id AS k", "'old' AS v", "TIMESTAMP_NTZ '2024-01-01' AS loaded_at")
+    table = load.write_bucketed(existing, name, ["k"], 8)
+    batch = spark.range(900, 1100).selectExpr("id AS k", "'new' AS v", "TIMESTAMP_NTZ '2024-01-02' AS loaded_at")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = load.upsert(table, batch, ["k"], ["loaded_at"])
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        kept = plan[plan.index("SortMergeJoin"):plan.index("WindowGroupLimit")]
+        table_side = kept[: kept.index("FileScan")]
+        assert "Bucketed: true" in plan and "Exchange" not in table_side
+        assert merged.count() == 1100 and merged.filter("v = 'new'").count() == 200
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_validity_names_broken_rules(spark):
     df = spark.createDataFrame([(1, 5), (None, 5), (2, None)], "k int, v int")
     flagged = load.flag_validity(df, {"k given": F.col("k").isNotNull(), "v small": F.col("v") < 6})

@@ -44,7 +44,7 @@ def test_failed_run_is_logged(spark, store, tmp_path):
     path = tmp_path / "feed.csv"
     path.write_text(FEED)
     kept = onb.onboard(spark, store, str(path), workflow_type=onb.PROFILING_ONLY)
-    assert set(kept.frames) == {"profile", "findings", "issues", "result"}
+    assert set(kept.frames) == {"profile", "findings", "issues", "history", "result"}
     states = {r["workflow_id"]: r["status"] for r in onb.workflow_states(store).collect()}
     assert states == {lost.workflow_id: "FAILED", kept.workflow_id: "COMPLETED"}
     listed = onb.list_workflows(store, 5, "FAILED").collect()
