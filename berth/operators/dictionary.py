@@ -57,10 +57,11 @@ def upsert_dictionary(existing: DataFrame, incoming: DataFrame, at: Column) -> D
     """New snapshot of the dictionary after one batch of entries.
 
     Known columns get type, finding and ``updated_at`` from the batch and keep the rest;
-    unknown ones are added. Both sides hold one row per key, so no key is hot.
+    unknown ones are added. A key that comes twice counts once, always in the same way. Both
+    sides then hold one row per key, so no key is hot.
     """
     carried = [c for c in existing.columns if c not in {*DICTIONARY_KEY, *UPDATED_FIELDS}]
-    new = incoming.dropDuplicates(DICTIONARY_KEY)
+    new = latest(incoming, DICTIONARY_KEY, UPDATED_FIELDS)
     old, new = existing.alias("old"), new.alias("new")
     condition = reduce(
         lambda a, b: a & b, [F.col(f"old.{k}") == F.col(f"new.{k}") for k in DICTIONARY_KEY]

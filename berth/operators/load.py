@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from berth.operators.profile import comparable, quoted
 from berth.operators.runlog import instant, latest
 from berth.session import scratch_dir
 
@@ -56,7 +57,10 @@ def upsert(
     Keys are unique within the join, so none is hot; a small batch is broadcast by
     the adaptive plan after its size is known, not by a hint.
     """
-    batch = latest(incoming, keys, newest)
+    hashed = [quoted(f.name) for f in incoming.schema.fields if comparable(f.dataType)]
+    # The same row wins among equally new ones, also when a lost task runs again.
+    marked = incoming.withColumn("_tie", F.xxhash64(*hashed))
+    batch = latest(marked, keys, [*newest, "_tie"]).drop("_tie")
     kept = existing.join(batch.select(*keys), list(keys), "left_anti")
     return kept.select(existing.columns).unionByName(batch.select(existing.columns))
 

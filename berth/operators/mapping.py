@@ -48,7 +48,7 @@ def match_columns(source: DataFrame, target: DataFrame) -> DataFrame:
     The first target column of the same name, in any case, wins. Where its type
     differs the value is cast. Source columns without a match suggest a new target.
     """
-    first = Window.partitionBy("_name").orderBy("_place")
+    first = Window.partitionBy("_name").orderBy("_place", "_target", "_type")
     targets = (
         target.select(
             F.lower("column_name").alias("_name"),

@@ -34,6 +34,17 @@ def test_rows_at_the_mark(spark):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, loose.collect()))
 
 
+def test_equally_new_rows_give_the_same_result_in_any_layout(spark):
+    existing = spark.createDataFrame([], LAYOUT)
+    rows = [(i % 5, f"v{i}", at(0)) for i in range(50)]
+    results = set()
+    for parts in (1, 3, 7):
+        incoming = spark.createDataFrame(rows[parts:] + rows[:parts], LAYOUT).repartition(parts)
+        merged = load.upsert(existing, incoming, ["k"], ["loaded_at"])
+        results.add(tuple(sorted((r["k"], r["v"]) for r in merged.collect())))
+    assert len(results) == 1
+
+
 def test_snapshot_is_written_before_it_is_read(spark):
     df = spark.range(10).toDF("k")
     saved = load.write_snapshot(df)
