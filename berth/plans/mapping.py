@@ -457,18 +457,20 @@ def _similar_sql() -> str:
 @query("synonyms", _similar_sql())
 def synonyms(spark, sf_dir):
     every = tables(spark, sf_dir)
-    counts = prof.column_counts(every)
-    fresh = counts.filter(F.col("table_name").isin("orders", "lineitem", "events"))
-    similar = mp.similar_names(fresh, counts, min_share=0.3)
-
-    def values(df: DataFrame, name: str, alias: str) -> DataFrame:
-        return df.groupBy(F.col("column_name").alias(name)).agg(
-            F.sum("non_null_count").alias(alias)
+    new = ["orders", "lineitem", "events"]
+    rows = dic.catalog_rows(spark, {("", t): df for t, df in every.items()})
+    similar = mp.similar_names(rows.filter(F.col("table_name").isin(new)), rows, min_share=0.3)
+    # Names come from the schemas; the tables are read once, for the numbers of values.
+    sizes = (
+        prof.column_counts(every)
+        .groupBy("column_name")
+        .agg(
+            F.sum(F.when(F.col("table_name").isin(new), F.col("non_null_count"))).alias("values"),
+            F.sum("non_null_count").alias("known_values"),
         )
-
-    return similar.join(values(fresh, "column_name", "values"), "column_name").join(
-        values(counts, "known_name", "known_values"), "known_name"
     )
+    known = sizes.select(F.col("column_name").alias("known_name"), "known_values")
+    return similar.join(sizes.drop("known_values"), "column_name").join(known, "known_name")
 
 
 @query(
