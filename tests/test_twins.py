@@ -6,9 +6,10 @@ import pytest
 from compare import duck_rows, spark_rows
 
 import __spark_entry__ as entry_points
+from berth.plans import catalogue
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = catalogue.QUERIES
+SQL = catalogue.SQL
 
 
 def test_registry_is_consistent():
