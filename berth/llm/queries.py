@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from berth.llm import packing
+from berth.llm import packing, pieces
 from berth.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,3 +30,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op2_sentencepiece")
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return pieces.digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
