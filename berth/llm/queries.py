@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from berth.llm import packing, pieces
+from berth.llm import packing, pieces, toxicity
 from berth.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +36,9 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return pieces.digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return toxicity.score(docs, toxicity.fit(docs, labels))
