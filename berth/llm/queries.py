@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from berth.llm import packing, pieces, toxicity
+from berth.llm import packing, pieces, toxicity, url_filter
 from berth.llm.common import read
+from berth.operators.layout import local_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,3 +43,43 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     return toxicity.score(docs, toxicity.fit(docs, labels))
+
+
+#: The rules of the url query.
+RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+@query(
+    "op9_url_filter",
+    r"""
+WITH parts AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*(/[^?#]*)', 1), '') AS path
+  FROM pages),
+judged AS (
+  SELECT page_id, host, path,
+         CASE WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com'))
+                   AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+              WHEN (host = 'example.com' OR ends_with(host, '.example.com'))
+                   AND starts_with(path, '/en/') THEN 'example.com/en/'
+              WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+              WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+              WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/'
+         END AS rule
+  FROM parts)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
+FROM judged
+""",
+)
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = local_rows(spark, RULES, "verdict string, host string, path string")
+    return url_filter.judge(read(spark, sf_dir, "pages"), rules)
