@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from berth.llm import packing, pieces, toxicity, url_filter
+from berth.llm import packing, pieces, simhash, toxicity, url_filter
 from berth.llm.common import read
 from berth.operators.layout import local_rows
 
@@ -83,3 +83,8 @@ FROM judged
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = local_rows(spark, RULES, "verdict string, host string, path string")
     return url_filter.judge(read(spark, sf_dir, "pages"), rules)
+
+
+@query("op7_simhash")
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(read(spark, sf_dir, "documents"))
