@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,3 +60,36 @@ def record_batch(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
         for c, f in zip(columns, schema, strict=True)
     ]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+_WORD_BYTES = bytes(
+    c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32
+    for c in range(256)
+)
+
+
+def words_of(text: str) -> list[bytes]:
+    """Runs of digits, letters a-z and characters beyond ASCII, A-Z lower-cased."""
+    return text.encode().translate(_WORD_BYTES).split()
+
+
+def logistic(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def fit_logistic(
+    x: np.ndarray, y: np.ndarray, share: float, ridge: float = 1e-4, steps: int = 50
+) -> np.ndarray:
+    """Weights of a logistic regression by Newton steps. ``share`` is what label 1 weighs, however
+    many of the rows have it."""
+    weight = np.where(y == 1, share / max(y.sum(), 1), (1 - share) / max((1 - y).sum(), 1))
+    beta = np.zeros(x.shape[1])
+    for _ in range(steps):
+        p = logistic(x @ beta)
+        gradient = x.T @ (weight * (p - y)) + ridge * beta
+        hessian = (x * (weight * p * (1 - p) + 1e-9)[:, None]).T @ x + ridge * np.eye(len(beta))
+        step = np.linalg.solve(hessian, gradient)
+        beta -= step
+        if np.abs(step).max() < 1e-8:
+            break
+    return beta

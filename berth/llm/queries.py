@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from berth.llm import packing, pieces, simhash, toxicity, url_filter
+from berth.llm import packing, pieces, quality, simhash, toxicity, url_filter
 from berth.llm.common import read
 from berth.operators.layout import local_rows
 
@@ -88,3 +88,9 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(read(spark, sf_dir, "documents"))
+
+
+@query("op8_quality")
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return quality.score(docs, quality.fit(docs, labels))

@@ -35,7 +35,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from berth.llm.common import bounded, fold, labels_of, record_batch, stored, texts
+from berth.llm.common import (
+    bounded,
+    fit_logistic,
+    fold,
+    labels_of,
+    logistic,
+    record_batch,
+    stored,
+    texts,
+    words_of,
+)
 
 FOLDS, HELD_OUT = 5, 0
 ORDER, SHARED = 6, 3
@@ -54,17 +64,9 @@ SCORES = "doc_id long, held_out boolean, score double, predicted int"
 _SCORE_SCHEMA = pa.schema(
     [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())]
 )
-_WORD_BYTES = bytes(
-    c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32
-    for c in range(256)
-)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def words_of(text: str) -> list[bytes]:
-    return text.encode().translate(_WORD_BYTES).split()
-
-
 def _codes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Characters of all words one behind another, each word between two end marks, and for
     each character how many of its word precede it."""
@@ -344,26 +346,10 @@ def _memo(key: str, model: Model) -> Expressions:
 
 
 def _inputs(rows: np.ndarray) -> np.ndarray:
-    """Evidence as the curve sees it: large values say no more than CERTAIN does."""
+    """Evidence as the curve sees it, and a constant; very large values say no more than large ones."""
     return np.concatenate([np.clip(rows, -30.0, 30.0) / 10.0, np.ones((len(rows), 1))], axis=1)
 
 
-def fit_curve(rows: np.ndarray, y: np.ndarray, toxic: float, steps: int = 50, ridge: float = 1e-4) -> tuple[float, ...]:
-    """Logistic regression by Newton steps; the classes weigh as much as among all labels."""
-    x = _inputs(rows)
-    weight = np.where(y == 1, toxic / max(y.sum(), 1), (1 - toxic) / max((1 - y).sum(), 1))
-    beta = np.zeros(x.shape[1])
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        gradient = x.T @ (weight * (p - y)) + ridge * beta
-        hessian = (x * (weight * p * (1 - p) + 1e-9)[:, None]).T @ x + ridge * np.eye(len(beta))
-        step = np.linalg.solve(hessian, gradient)
-        beta -= step
-        if np.abs(step).max() < 1e-8:
-            break
-    return tuple(beta)
-
-
 def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> Model:
     """Learn from the labelled rows of ``docs`` outside the held-out fold."""
     known = labels_of(labels, "toxic").where(fold("doc_id", folds) != held_out)
@@ -397,7 +383,8 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_out: int =
     y = sample.column("y").to_numpy()
     if len(set(y.tolist())) == 2:
         found = np.stack([sample.column(n).to_numpy() for n in "abc"], axis=1)
-        model.curve = fit_curve(found, y, known.agg(F.avg("y")).first()[0])
+        share = known.agg(F.avg("y")).first()[0]
+        model.curve = tuple(fit_logistic(_inputs(found), y, share))
     else:
         model.known = False
     return model
@@ -413,7 +400,7 @@ def _scorer(model: Model, docs: DataFrame):
     def score(column: pa.Array) -> np.ndarray:
         own = shared.value
         rows = _inputs(_evidence_rows(column, _memo(key, own)))
-        return 1 / (1 + np.exp(-np.clip(rows @ np.array(own.curve), -30, 30)))
+        return logistic(rows @ np.array(own.curve))
 
     return score
 
