@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from berth.llm import packing, pieces, quality, simhash, toxicity, url_filter
+from berth.llm import chat, licenses, packing, pieces, quality, simhash, toxicity, url_filter
 from berth.llm.common import read
 from berth.operators.layout import local_rows
 
@@ -94,3 +94,39 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     return quality.score(docs, quality.fit(docs, labels))
+
+
+@query("op10_licenses")
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
+@query(
+    "op3_chat",
+    r"""
+WITH said AS (
+  SELECT conv_id, turn,
+         coalesce(nullif(regexp_replace(trim(role), '[^0-9A-Za-z\x{80}-\x{10FFFF}_.-]', '_', 'g'), ''),
+                  'unnamed') AS speaker,
+         replace(coalesce(text, ''), '<|', '< |') AS text
+  FROM conversations),
+participants AS (
+  SELECT DISTINCT conv_id AS own_conv, speaker AS perspective FROM said WHERE speaker <> 'system'),
+seen AS (
+  SELECT conv_id, perspective, turn, text,
+         CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant'
+              ELSE 'user' END AS role,
+         CASE WHEN speaker NOT IN ('system', perspective) THEN speaker END AS name
+  FROM said JOIN participants ON conv_id IS NOT DISTINCT FROM own_conv),
+headed AS (
+  SELECT *, '<|im_start|>' || role || coalesce(' name=' || name, '') || chr(10) AS head FROM seen)
+SELECT conv_id, perspective, turn, role, name,
+       head || text || '<|im_end|>' || chr(10) AS rendered,
+       CAST(CASE WHEN role = 'assistant' THEN length(head) ELSE 0 END AS INTEGER) AS learn_from,
+       CAST(CASE WHEN role = 'assistant' THEN length(head) + length(text) + 10 ELSE 0 END AS INTEGER)
+         AS learn_to
+FROM headed
+""",
+)
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(read(spark, sf_dir, "conversations"))
