@@ -7,7 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from berth.llm import chat, licenses, packing, pieces, quality, simhash, toxicity, url_filter
+from berth.llm import (
+    chat,
+    licenses,
+    multi_index,
+    packing,
+    pieces,
+    quality,
+    simhash,
+    toxicity,
+    url_filter,
+)
 from berth.llm.common import read
 from berth.operators.layout import local_rows
 
@@ -130,3 +140,8 @@ FROM headed
 )
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(read(spark, sf_dir, "conversations"))
+
+
+@query("op6_multi_index")
+def op6_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.search(read(spark, sf_dir, "embeddings"), every=20)
