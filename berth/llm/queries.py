@@ -15,6 +15,7 @@ from berth.llm import (
     pieces,
     quality,
     simhash,
+    small_world,
     toxicity,
     url_filter,
 )
@@ -145,3 +146,8 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_multi_index")
 def op6_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.search(read(spark, sf_dir, "embeddings"), every=20)
+
+
+@query("op4_small_world")
+def op4_small_world(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return small_world.near_duplicates(read(spark, sf_dir, "embeddings"))
