@@ -316,7 +316,7 @@ class UnitMemo(dict):
         for left, right in zip(parts, parts[1:], strict=False):
             if (left[-1], right[0]) in self.model.joined:
                 return self.of(BLANK + chunk)
-        if not parts or not parts[0][0].isalpha():
+        if len(parts) < 2 or not parts[0][0].isalpha():
             return self.of(BLANK + chunk)
         coded = [self[parts[0]], *map(self.part, parts[1:])]
         ids, counts, decoded = zip(*coded, strict=True)

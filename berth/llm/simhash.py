@@ -152,13 +152,18 @@ def groups(docs: DataFrame) -> DataFrame:
     )
 
 
+def _unused(columns: list[str], name: str) -> str:
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row, all columns, of each group: the one with the smallest doc_id, and of several such
     the first as they are stored. Input columns keep their names, whatever these are."""
     columns = docs.columns
-    own = "fp"
-    while own in columns:
-        own = f"_{own}"
+    own, spot, kept_spot = (_unused(columns, n) for n in ("fp", "place", "kept"))
     copy = stored(with_fingerprint(docs, own), "documents")
     place = F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
     rows = copy.select(
@@ -171,7 +176,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
         firsts.join(classes(rows.select("doc_id", "fp")), "fp")
         .groupBy("root")
         .agg(F.min("best").alias("best"))
-        .select(F.col("best.place").alias("_kept"))
+        .select(F.col("best.place").alias(kept_spot))
     )
-    marked = copy.select("*", place.alias("_place"))
-    return marked.join(kept, F.col("_place") == F.col("_kept"), "left_semi").select(*columns)
+    marked = copy.select("*", place.alias(spot))
+    return marked.join(kept, F.col(spot) == F.col(kept_spot), "left_semi").select(*columns)

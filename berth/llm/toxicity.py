@@ -400,7 +400,7 @@ def _scorer(model: Model, docs: DataFrame):
     def score(column: pa.Array) -> np.ndarray:
         own = shared.value
         rows = _inputs(_evidence_rows(column, _memo(key, own)))
-        return logistic(rows @ np.array(own.curve))
+        return logistic((rows * np.array(own.curve)).sum(axis=1))
 
     return score
 
