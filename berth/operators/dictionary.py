@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from berth.operators.layout import literal, local_rows
-from berth.operators.profile import CHUNK, quoted, tick
+from berth.operators.profile import quoted, tick
 from berth.operators.runlog import latest
 
 # Texts that consumers of proposals look for.
@@ -93,61 +93,97 @@ def listing(dictionary: DataFrame, n: int = 100) -> DataFrame:
     return dictionary.orderBy("table_name", "column_name").limit(n)
 
 
-def _narrow_measures(i: int, name: str, dtype: T.DataType) -> tuple[list[str], str]:
-    """Aggregates and the narrowest type that holds all values of a column."""
-    source, shown = tick(name), dtype.simpleString()
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        inside = " ".join(
-            f"WHEN _lo{i} >= {-(2 ** (bits - 1))} AND _hi{i} <= {2 ** (bits - 1) - 1} THEN '{t}'"
-            for t, bits in (("tinyint", 8), ("smallint", 16), ("int", 32))
-        )
-        return (
-            [f"min({source}) AS _lo{i}", f"max({source}) AS _hi{i}"],
-            f"CASE WHEN _lo{i} IS NULL THEN '{shown}' {inside} ELSE 'bigint' END",
-        )
+def _narrow_cell(slot: int, name: str, dtype: T.DataType) -> str:
+    """What a value says about the narrowest type of its column, as a struct."""
+    source = tick(name)
+    said = {"whole": "bigint", "cents": "boolean", "top": "double", "size": "int", "day": "boolean"}
+    found = {}
+    if _is_whole(dtype):
+        found["whole"] = source
+    elif isinstance(dtype, (T.FloatType, T.DoubleType)):
+        found["cents"], found["top"] = f"{source} = round({source}, 2)", f"abs({source})"
+    elif isinstance(dtype, T.StringType):
+        found["size"] = f"length({source})"
+    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        found["day"] = f"{source} = date_trunc('DAY', {source})"
+    cells = ", ".join(f"CAST({found.get(n, 'NULL')} AS {t}) AS {n}" for n, t in said.items())
+    return f"struct({slot} AS slot, {source} IS NOT NULL AS given, {cells})"
+
+
+def _is_whole(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+
+
+def _narrow_kind(dtype: T.DataType) -> str:
+    if _is_whole(dtype):
+        return "whole"
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        digits = f"length(CAST(CAST(floor(_top{i}) AS bigint) AS string))"
-        return (
-            [
-                f"bool_and({source} = round({source}, 2)) AS _cents{i}",
-                f"max(abs({source})) AS _top{i}",
-            ],
-            f"CASE WHEN _cents{i} AND _top{i} < 1e12 "
-            f"THEN concat('decimal(', {digits} + 2, ',2)') ELSE '{shown}' END",
-        )
+        return "fraction"
     if isinstance(dtype, T.StringType):
-        return (
-            [f"max(length({source})) AS _len{i}"],
-            f"concat('varchar(', greatest(coalesce(_len{i}, 1), 1), ')')",
-        )
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return (
-            [f"bool_and({source} = date_trunc('DAY', {source})) AS _days{i}"],
-            f"CASE WHEN _days{i} THEN 'date' ELSE '{shown}' END",
-        )
-    return [], f"'{shown}'"
+        return "text"
+    return "moment" if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)) else "other"
+
+
+_INSIDE = " ".join(
+    f"WHEN low >= {-(2 ** (bits - 1))} AND high <= {2 ** (bits - 1) - 1} THEN '{t}'"
+    for t, bits in (("tinyint", 8), ("smallint", 16), ("int", 32))
+)
+_PROPOSED = (
+    "CASE kind "
+    f"WHEN 'whole' THEN CASE WHEN low IS NULL THEN data_type {_INSIDE} ELSE 'bigint' END "
+    "WHEN 'fraction' THEN CASE WHEN cents AND top < 1e12 THEN "
+    "concat('decimal(', length(CAST(CAST(floor(top) AS bigint) AS string)) + 2, ',2)') "
+    "ELSE data_type END "
+    "WHEN 'text' THEN concat('varchar(', greatest(coalesce(size, 1), 1), ')') "
+    "WHEN 'moment' THEN CASE WHEN day THEN 'date' ELSE data_type END ELSE data_type END"
+)
 
 
 def narrow_types(tables: dict[str, DataFrame]) -> DataFrame:
-    """Proposed type and observed nulls of every column; no rows are shuffled."""
-    frames = []
+    """Proposed type and observed nulls of every column.
+
+    One scan per table at any width; what is shuffled is a row per column and task."""
+    columns, parts = [], []
     for table, df in tables.items():
-        fields = list(enumerate(df.schema.fields))
-        for start in range(0, len(fields), CHUNK):
-            measures, structs = ["count(1) AS _rows"], []
-            for i, field in fields[start : start + CHUNK]:
-                found, proposal = _narrow_measures(i, field.name, field.dataType)
-                measures += [f"count({tick(field.name)}) AS _n{i}", *found]
-                structs.append(
-                    f"struct({literal(table)} AS table_name, "
-                    f"{literal(field.name)} AS column_name, {i} AS ordinal, "
-                    f"'{field.dataType.simpleString()}' AS data_type, "
-                    f"{proposal} AS proposed_type, "
-                    f"_rows = 0 OR _n{i} < _rows AS nullable)"
-                )
-            wide = df.agg(*[F.expr(m) for m in measures])
-            frames.append(wide.selectExpr(f"inline(array({', '.join(structs)}))"))
-    return reduce(DataFrame.unionByName, frames)
+        cells = []
+        for i, field in enumerate(df.schema.fields):
+            slot = len(columns)
+            shown = field.dataType.simpleString()
+            columns.append((slot, table, field.name, i, shown, _narrow_kind(field.dataType)))
+            cells.append(_narrow_cell(slot, field.name, field.dataType))
+        if cells:
+            parts.append(df.selectExpr(f"inline(array({', '.join(cells)}))"))
+    spark = next(iter(tables.values())).sparkSession
+    layout = local_rows(
+        spark,
+        columns,
+        "number int, table_name string, column_name string, ordinal int, data_type string, "
+        "kind string",
+    )
+    found = (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("slot")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if("given").alias("given"),
+            F.min("whole").alias("low"),
+            F.max("whole").alias("high"),
+            F.bool_and("cents").alias("cents"),
+            F.max("top").alias("top"),
+            F.max("size").alias("size"),
+            F.bool_and("day").alias("day"),
+        )
+    )
+    # At most one row per column; tables without rows have none.
+    rows = layout.join(F.broadcast(found), F.col("number") == F.col("slot"), "left")
+    return rows.selectExpr(
+        "table_name",
+        "column_name",
+        "ordinal",
+        "data_type",
+        f"{_PROPOSED} AS proposed_type",
+        "n IS NULL OR given < n AS nullable",
+    )
 
 
 def ddl_texts(

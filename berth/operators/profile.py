@@ -29,9 +29,6 @@ from berth.operators.layout import literal, local_rows
 # digest of 64 characters. Shorter ones stay as they are, so the two cannot meet.
 DIGEST_FROM_BYTES = 64
 
-# Columns per aggregate; keeps the generated code of wide tables small enough to compile.
-CHUNK = 12
-
 
 def quoted(name: str) -> Column:
     """The column of that very name, dots and blanks included."""
@@ -145,25 +142,32 @@ def _fixed_stats(
     return frames
 
 
-def _text_distinct(
-    tables: dict[str, DataFrame], slots: list[Slot], by: Sequence[str]
-) -> DataFrame | None:
-    parts = []
-    for table, df in tables.items():
-        cells = []
-        for slot in slots:
-            if slot.is_text and slot.table == table:
-                name = tick(slot.name)
-                key = (
-                    f"CASE WHEN octet_length({name}) >= {DIGEST_FROM_BYTES} "
-                    f"THEN sha2({name}, 256) ELSE {name} END"
-                )
-                cells.append((slot.number, key))
-        if cells:
-            parts.append(_value_rows(df, by, cells).filter("value IS NOT NULL"))
-    if not parts:
-        return None
-    return _union(parts).distinct().groupBy(*by, "slot").agg(F.expr("count(1) AS distinct_count"))
+def _digest(name: str, dtype: T.StringType) -> str:
+    """What stands for a text in its distinct count. Only texts that are equal byte by byte may
+    be digested; under another collation the value itself is grouped."""
+    if dtype != T.StringType():
+        return name
+    return (
+        f"CASE WHEN octet_length({name}) >= {DIGEST_FROM_BYTES} THEN sha2({name}, 256) ELSE {name} END"
+    )
+
+
+def _text_distinct(tables: dict[str, DataFrame], slots: list[Slot], by: Sequence[str]) -> DataFrame:
+    """(by.., slot, distinct_count) of the text columns, one grouping for each collation."""
+    counts = []
+    for dtype in {s.dtype.simpleString(): s.dtype for s in slots}.values():
+        parts = []
+        for table, df in tables.items():
+            cells = [
+                (s.number, _digest(tick(s.name), dtype))
+                for s in slots
+                if s.table == table and s.dtype == dtype
+            ]
+            if cells:
+                parts.append(_value_rows(df, by, cells).filter("value IS NOT NULL"))
+        grouped = _union(parts).groupBy(*by, "slot", "value").agg(F.expr("count(1) AS n"))
+        counts.append(grouped.groupBy(*by, "slot").agg(F.expr("count(1) AS distinct_count")))
+    return _union(counts)
 
 
 def _scan_stats(
@@ -172,17 +176,16 @@ def _scan_stats(
     by: Sequence[str],
     approx_rsd: float | None,
 ) -> list[DataFrame]:
-    """Aggregates over disjoint sets of columns; without ``by`` they shuffle no rows."""
+    """One aggregate per table; without ``by`` it shuffles no rows."""
     frames = []
     for table, df in tables.items():
-        for is_text in (False, True):
-            mine = [s for s in slots if s.table == table and s.is_text == is_text]
-            for start in range(0, len(mine), CHUNK):
-                frames.append(_scan_chunk(df, mine[start : start + CHUNK], by, approx_rsd))
+        mine = [s for s in slots if s.table == table]
+        if mine:
+            frames.append(_scan_table(df, mine, by, approx_rsd))
     return frames
 
 
-def _scan_chunk(
+def _scan_table(
     df: DataFrame, slots: list[Slot], by: Sequence[str], approx_rsd: float | None
 ) -> DataFrame:
     measures = ["count(1) AS _rows"]
@@ -242,10 +245,16 @@ def profile_tables(
             counted = _text_distinct(tables, text, by)
             if not by:
                 counted = F.broadcast(counted)  # at most one row per column
+            # Groups may be named by NULL, which equals nothing but itself.
+            own = {k: f"_own_{i}" for i, k in enumerate(keys)}
+            counted = counted.select(*[quoted(k).alias(v) for k, v in own.items()], "distinct_count")
+            same = reduce(
+                Column.__and__, [quoted(k).eqNullSafe(F.col(v)) for k, v in own.items()]
+            )
             frames.append(
-                scanned.join(counted, keys, "left").withColumn(
-                    "distinct_count", F.expr("coalesce(distinct_count, 0)")
-                )
+                scanned.join(counted, same, "left")
+                .drop(*own.values())
+                .withColumn("distinct_count", F.expr("coalesce(distinct_count, 0)"))
             )
         if unsupported:
             frames += _scan_stats(tables, unsupported, by, None)
@@ -479,10 +488,12 @@ def top_values(df: DataFrame, columns: Sequence[str], k: int = 5) -> DataFrame:
     return counted.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-# Shapes of text values, and the types a value of each shape may fit.
+# Shapes of text values, and the types a value of each shape may fit. Numbers with
+# a plus sign or leading zeros have no such shape: as numbers they would not read as they were.
 TEXT_SHAPES = {
-    "whole number": r"^[+-]?[0-9]{1,19}\z",
-    "number": r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z",
+    "whole number": r"^(0|-?[1-9][0-9]*)\z",
+    "plain number": r"^-?((0|[1-9][0-9]*)(\.[0-9]*)?|\.[0-9]+)\z",
+    "number": r"^-?((0|[1-9][0-9]*)(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\z",
     "date": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z",
     "timestamp": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?\z",
     "truth value": r"^(?i:true|false)\z",
@@ -492,14 +503,19 @@ TEXT_TYPES = {
     "boolean": 1,
     "int": 2,
     "bigint": 4,
+    "decimal(38,0)": 64,
     "double": 8,
+    "decimal(38,18)": 128,
     "date": 16,
     "timestamp_ntz": 32,
 }
+# A double keeps every number of so many digits; the exact type has room for these many.
+DOUBLE_DIGITS = 15
+WHOLE_DIGITS, FRACTION_DIGITS = 20, 18
 
 
 def _fitting_types(value: str) -> str:
-    """Bits of the types that a text value fits; NULL for no value."""
+    """Bits of the types that keep a text value as it is; NULL for no value."""
 
     def shape(name: str) -> str:
         return f"{value} RLIKE r'{TEXT_SHAPES[name]}'"
@@ -507,44 +523,67 @@ def _fitting_types(value: str) -> str:
     def casts(dtype: str) -> str:
         return f"try_cast({value} AS {dtype}) IS NOT NULL"
 
+    def bit(dtype: str, test: str) -> str:
+        return f"CASE WHEN {test} THEN {TEXT_TYPES[dtype]} ELSE 0 END"
+
+    mantissa = f"regexp_replace({value}, '[eE].*', '')"
+    digits = f"length(regexp_replace({mantissa}, '^[-0.]+|[^0-9]', ''))"
+    size = f"abs(try_cast({value} AS double))"
+    held = f"{digits} <= {DOUBLE_DIGITS} AND ({digits} = 0 OR {size} BETWEEN 1e-300 AND 1e300)"
+    whole = f"length(regexp_replace({value}, '-|[.].*', ''))"
+    fraction = f"length(regexp_replace({value}, '^[^.]*[.]?', ''))"
+    exact = f"{whole} <= {WHOLE_DIGITS} AND {fraction} <= {FRACTION_DIGITS}"
+    numbers = " + ".join(
+        [
+            bit("int", casts("int")),
+            bit("bigint", casts("bigint")),
+            bit("decimal(38,0)", f"{whole} <= 38"),
+            bit("double", held),
+            bit("decimal(38,18)", exact),
+        ]
+    )
     return (
         f"CASE WHEN {value} IS NULL THEN NULL "
-        f"WHEN {shape('whole number')} THEN "
-        f"CASE WHEN {casts('int')} THEN 14 WHEN {casts('bigint')} THEN 12 ELSE 8 END "
-        f"WHEN {shape('number')} THEN 8 "
-        f"WHEN {shape('date')} THEN CASE WHEN {casts('date')} THEN 16 ELSE 0 END "
-        f"WHEN {shape('timestamp')} THEN CASE WHEN {casts('timestamp_ntz')} THEN 32 ELSE 0 END "
-        f"WHEN {shape('truth value')} THEN 1 ELSE 0 END"
+        f"WHEN {shape('whole number')} THEN {numbers} "
+        f"WHEN {shape('plain number')} THEN {bit('double', held)} + {bit('decimal(38,18)', exact)} "
+        f"WHEN {shape('number')} THEN {bit('double', held)} "
+        f"WHEN {shape('date')} THEN {bit('date', casts('date'))} "
+        f"WHEN {shape('timestamp')} THEN {bit('timestamp_ntz', casts('timestamp_ntz'))} "
+        f"WHEN {shape('truth value')} THEN {TEXT_TYPES['boolean']} ELSE 0 END"
     )
 
 
 def infer_text_schema(df: DataFrame) -> DataFrame:
-    """Schema rows for a table of strings: the narrowest type that every value fits.
+    """Schema rows for a table of strings: the narrowest type that keeps every value.
 
-    One aggregate over the whole input; each value is matched once and leaves the bits
-    of the types it fits. A column without values stays a string.
+    One scan at any width: each value is matched once and becomes the bits of the types
+    it fits, which are combined per column before the shuffle. Whole numbers beyond
+    ``bigint`` and long fractions get an exact decimal, and what no type would give back
+    as it was (leading zeros, plus signs) stays text, as does a column without values.
     """
     names = df.columns
-    frames = []
-    for start in range(0, len(names), CHUNK):
-        measures, structs = ["count(1) AS _rows"], []
-        for i, name in list(enumerate(names))[start : start + CHUNK]:
-            measures += [
-                f"count({tick(name)}) AS _n{i}",
-                f"bit_and({_fitting_types(tick(name))}) AS _fit{i}",
-            ]
-            ladder = " ".join(f"WHEN _fit{i} & {bit} <> 0 THEN '{t}'" for t, bit in TEXT_TYPES.items())
-            structs.append(
-                f"struct({literal(name)} AS column_name, "
-                f"CASE {ladder} ELSE 'string' END AS data_type, _n{i} < _rows AS nullable, "
-                f"{i} AS order_id)"
-            )
-        frames.append(
-            df.agg(*[F.expr(m) for m in measures]).selectExpr(f"inline(array({', '.join(structs)}))")
+    cells = ", ".join(
+        f"struct({i} AS slot, {_fitting_types(tick(n))} AS fit)" for i, n in enumerate(names)
+    )
+    found = (
+        df.selectExpr(f"inline(array({cells}))")
+        .groupBy("slot")
+        .agg(
+            F.expr("count(1) AS _rows"), F.expr("count(fit) AS _given"), F.expr("bit_and(fit) AS _fit")
         )
-    return _union(frames).withColumn(
-        "expression", F.format_string("CAST(%s AS %s)", "column_name", "data_type")
     )
+    layout = local_rows(
+        df.sparkSession, list(enumerate(names)), "order_id int, column_name string"
+    )
+    ladder = " ".join(f"WHEN _fit & {bit} <> 0 THEN '{t}'" for t, bit in TEXT_TYPES.items())
+    # At most one row per column; a table without rows has none.
+    rows = layout.join(F.broadcast(found), F.col("order_id") == F.col("slot"), "left")
+    return rows.selectExpr(
+        "column_name",
+        f"CASE {ladder} ELSE 'string' END AS data_type",
+        "coalesce(_given < _rows, false) AS nullable",
+        "order_id",
+    ).withColumn("expression", F.format_string("CAST(%s AS %s)", "column_name", "data_type"))
 
 
 def declared_schema(df: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from berth.operators import profile as prof
-from berth.operators.layout import spread
 from berth.plans import sqltext
 from berth.plans.registry import query, table, tables
 
@@ -141,30 +140,36 @@ def quality_score_tables(spark, sf_dir):
     return prof.quality_score(profile_all_tables(spark, sf_dir), by=["table_name"])
 
 
-_TEXT_COLUMNS = [*sqltext.columns("lineitem"), ("shipped", "boolean"), ("ship_day", "date")]
+_TEXT_COLUMNS = [*[c for c, _ in sqltext.columns("lineitem")], "shipped", "ship_day"]
 
 
-def _infer_sql() -> str:
-    text = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c, _ in sqltext.columns("lineitem"))
-    source = (
-        f"(SELECT {text}, CAST(l_linestatus = 'F' AS VARCHAR) AS shipped, "
-        "CASE WHEN l_orderkey % 5 <> 0 THEN CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END "
-        "AS ship_day FROM lineitem) AS t"
-    )
+def ladder_sql(source: str, names: list[str]) -> str:
+    """Schema rows of a relation of texts, type by type with one pass each."""
     shapes = prof.TEXT_SHAPES
+    mantissa = "regexp_replace({c}, '[eE].*', '')"
+    digits = f"length(regexp_replace({mantissa}, '^[-0.]+|[^0-9]', '', 'g'))"
+    whole = "length(regexp_replace({c}, '-|[.].*', '', 'g'))"
+    fraction = "length(regexp_replace({c}, '^[^.]*[.]?', ''))"
+    held = (
+        f"{digits} <= 15 AND ({digits} = 0 OR "
+        "abs(TRY_CAST({c} AS DOUBLE)) BETWEEN 1e-300 AND 1e300)"
+    )
     fits = {
         "boolean": "regexp_matches({c}, '%s')" % shapes["truth value"],
         "int": "regexp_matches({c}, '%s') AND TRY_CAST({c} AS INTEGER) IS NOT NULL"
         % shapes["whole number"],
         "bigint": "regexp_matches({c}, '%s') AND TRY_CAST({c} AS BIGINT) IS NOT NULL"
         % shapes["whole number"],
-        "double": "regexp_matches({c}, '%s')" % shapes["number"],
+        "decimal(38,0)": f"regexp_matches({{c}}, '{shapes['whole number']}') AND {whole} <= 38",
+        "double": "regexp_matches({c}, '%s')" % shapes["number"] + f" AND {held}",
+        "decimal(38,18)": "regexp_matches({c}, '%s')" % shapes["plain number"]
+        + f" AND {whole} <= 20 AND {fraction} <= 18",
         "date": "regexp_matches({c}, '%s') AND TRY_CAST({c} AS DATE) IS NOT NULL" % shapes["date"],
         "timestamp_ntz": "regexp_matches({c}, '%s') AND TRY_CAST({c} AS TIMESTAMP) IS NOT NULL"
         % shapes["timestamp"],
     }
     parts = []
-    for i, (name, _) in enumerate(_TEXT_COLUMNS):
+    for i, name in enumerate(names):
         ladder = " ".join(
             f"WHEN bool_and({name} IS NULL OR ({test.replace('{c}', name)})) THEN '{dtype}'"
             for dtype, test in fits.items()
@@ -177,9 +182,19 @@ def _infer_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _infer_sql() -> str:
+    text = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c, _ in sqltext.columns("lineitem"))
+    source = (
+        f"(SELECT {text}, CAST(l_linestatus = 'F' AS VARCHAR) AS shipped, "
+        "CASE WHEN l_orderkey % 5 <> 0 THEN CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END "
+        "AS ship_day FROM lineitem) AS t"
+    )
+    return ladder_sql(source, _TEXT_COLUMNS)
+
+
 @query("infer_schema_text", _infer_sql())
 def infer_schema_text(spark, sf_dir):
-    lineitem = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    lineitem = table(spark, sf_dir, "lineitem")
     text = lineitem.select(
         *[F.col(c).cast("string").alias(c) for c in lineitem.columns],
         (F.col("l_linestatus") == "F").cast("string").alias("shipped"),
@@ -190,6 +205,29 @@ def infer_schema_text(spark, sf_dir):
     return prof.infer_text_schema(text).drop("expression")
 
 
+# Texts that a narrower type would not give back as they are, and many plain columns.
+WIDE_TEXT = {
+    "key20": "concat('1234567890', lpad(CAST(c_custkey AS STRING), 10, '0'))",
+    "postcode": "lpad(CAST(c_custkey % 99999 AS STRING), 5, '0')",
+    "signed": "concat('+', CAST(c_custkey AS STRING))",
+    "fraction": "concat(CAST(c_custkey AS STRING), '.', lpad(CAST(c_custkey AS STRING), 16, '0'))",
+    "short_fraction": "concat(CAST(c_custkey AS STRING), '.25')",
+    "power": "concat(CAST(c_custkey % 9 + 1 AS STRING), 'e', CAST(c_custkey % 30 AS STRING))",
+    **{f"plain{k}": f"CAST(c_custkey % {k + 2} AS STRING)" for k in range(28)},
+}
+
+
+def wide_text_sql() -> str:
+    cells = ", ".join(f"{e} AS {n}" for n, e in WIDE_TEXT.items()).replace("AS STRING", "AS VARCHAR")
+    return f"(SELECT {cells} FROM customer) AS w"
+
+
+@query("infer_schema_wide", ladder_sql(wide_text_sql(), list(WIDE_TEXT)))
+def infer_schema_wide(spark, sf_dir):
+    text = table(spark, sf_dir, "customer").selectExpr(*[f"{e} AS {n}" for n, e in WIDE_TEXT.items()])
+    return prof.infer_text_schema(text).drop("expression")
+
+
 @query(
     "column_report",
     "WITH p AS (" + sqltext.profile(sqltext.raw_rows("lineitem")) + ") "

@@ -5,12 +5,12 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
 from berth.operators import profile as prof
 from berth.operators import runlog as log
 from berth.operators import textops
+from berth.plans import catalogue, profiling
 
-QUERIES = entry_points.queries()
+QUERIES = catalogue.QUERIES
 # These run whole jobs while they build their frame; their operators are covered elsewhere.
 EAGER = ("stream_", "onboarding_", "read_", "append_", "insert_", "snapshot_", "failed_", "many_", "corrupt_")
 
@@ -26,11 +26,11 @@ def test_no_pairing_of_whole_tables(name, spark, sf_dir):
     assert "BroadcastNestedLoopJoin" not in plan
 
 
-def test_approximate_profile_is_one_scan_per_chunk_without_value_shuffle(spark, sf_dir):
+def test_approximate_profile_is_one_scan_without_value_shuffle(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     plan = plan_of(prof.profile(df, distinct="approx"))
     assert "hashpartitioning" not in plan
-    assert plan.count("FileScan") == 2  # fixed-width columns, then text columns
+    assert plan.count("FileScan") == 1
 
 
 def test_exact_profile_reads_fixed_width_columns_once(spark, sf_dir):
@@ -71,3 +71,16 @@ def test_newest_n_is_a_bounded_heap(spark, sf_dir):
 def test_only_needed_columns_are_read(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/lineitem.parquet").agg(F.sum("l_tax"))
     assert "struct<l_tax:double>" in plan_of(df)
+
+
+def test_inference_of_a_wide_csv_is_one_scan(spark, sf_dir):
+    from berth.operators import dictionary as dic
+    from berth.session import scratch_dir
+
+    path = scratch_dir(spark, "wide")
+    cells = [f"{e} AS {n}" for n, e in profiling.WIDE_TEXT.items()]
+    spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr(*cells).write.csv(path, header=True)
+    text = spark.read.option("header", True).csv(path)
+    assert len(text.columns) > 30
+    assert plan_of(prof.infer_text_schema(text)).count("FileScan csv") == 1
+    assert plan_of(dic.narrow_types({"wide": text})).count("FileScan csv") == 1

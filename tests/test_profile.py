@@ -167,3 +167,33 @@ def test_text_type_ladder(spark):
 def test_declared_schema(spark):
     df = spark.createDataFrame([(1, dt.date(2024, 1, 1))], "a int, b date")
     assert [r["data_type"] for r in prof.declared_schema(df).collect()] == ["int", "date"]
+
+
+def test_types_give_values_back_as_they_were(spark):
+    rows = [
+        ("12345678901234567890", "00501", "+5", "1234567890.1234567890", "1e400", "9" * 39, "-0"),
+        ("12345678901234567891", "10001", "7", "2", "1", "1", "5"),
+    ]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string, e string, f string, g string")
+    types = {r["column_name"]: r["data_type"] for r in prof.infer_text_schema(df).collect()}
+    assert types == {
+        "a": "decimal(38,0)", "b": "string", "c": "string", "d": "decimal(38,18)", "e": "string",
+        "f": "string", "g": "double",
+    }
+    for name, dtype in types.items():
+        back = df.selectExpr(f"count(DISTINCT CAST({name} AS {dtype})) AS n").collect()[0]["n"]
+        assert back == 2, name
+
+
+def test_groups_named_by_null_keep_their_distinct_texts(spark):
+    df = spark.createDataFrame([(None, "x"), (None, "y"), ("g", "x")], "g string, v string")
+    rows = {r["g"]: r for r in prof.profile(df, by=["g"]).collect()}
+    assert rows[None]["distinct_count"] == 2 and rows["g"]["distinct_count"] == 1
+
+
+def test_collated_texts_are_counted_by_their_collation(spark):
+    df = spark.sql(
+        "SELECT s COLLATE UTF8_LCASE AS c, s AS b FROM VALUES (repeat('Ab', 40)), (repeat('aB', 40)), ('x') AS t(s)"
+    )
+    rows = by_name(prof.profile(df))
+    assert rows["c"]["distinct_count"] == 2 and rows["b"]["distinct_count"] == 3
