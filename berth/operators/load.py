@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from berth.operators.profile import comparable, quoted
-from berth.operators.runlog import instant, latest
+from berth.operators.runlog import latest
 from berth.session import scratch_dir
 
 
@@ -36,17 +37,34 @@ def reject_rows(flagged: DataFrame) -> DataFrame:
     return flagged.filter(~F.col("is_valid_record")).drop("is_valid_record")
 
 
-def high_water_mark(df: DataFrame, column: str) -> dt.datetime | None:
-    """Largest value of the load column, one row; None for an empty target."""
-    return df.agg(F.max(column).alias("mark")).collect()[0]["mark"]
+def high_water_mark(df: DataFrame, column: str) -> Column | None:
+    """Largest value of the load column as a literal of its type; None for an empty target.
+
+    The value comes to the driver as text and goes back the same way, both in the session's
+    time zone, so the driver's own zone has no part in it.
+    """
+    dtype = df.schema[column].dataType
+    if isinstance(dtype, (T.FloatType, T.DoubleType, T.BinaryType)):
+        raise ValueError(f"a load column of type {dtype.simpleString()} has no exact mark")
+    text = df.agg(F.max(quoted(column)).cast("string").alias("mark")).collect()[0]["mark"]
+    return None if text is None else F.lit(text).cast(dtype)
 
 
-def newer_than(df: DataFrame, column: str, mark: dt.datetime | None, inclusive: bool) -> DataFrame:
+def newer_than(df: DataFrame, column: str, mark: Column | None, inclusive: bool) -> DataFrame:
     """Rows beyond the mark, which is a literal and so prunes the scan; all without a mark."""
     if mark is None:
         return df
-    bound = instant(mark)
-    return df.filter(F.col(column) >= bound if inclusive else F.col(column) > bound)
+    value = quoted(column)
+    return df.filter(value >= mark if inclusive else value > mark)
+
+
+def _keyed(keys: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [quoted(k).isNotNull() for k in keys])
+
+
+def rows_without_key(incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Incoming rows that no upsert can place, because a part of their key is NULL."""
+    return incoming.filter(~_keyed(keys))
 
 
 def upsert(
@@ -55,14 +73,16 @@ def upsert(
     """Existing rows without the incoming keys, and the newest incoming row per key.
 
     Keys are unique within the join, so none is hot; a small batch is broadcast by
-    the adaptive plan after its size is known, not by a hint.
+    the adaptive plan after its size is known, not by a hint. Rows with a NULL in their
+    key are left to quarantine (``rows_without_key``). A column that only one side has is
+    NULL in the rows of the other.
     """
     hashed = [quoted(f.name) for f in incoming.schema.fields if comparable(f.dataType)]
     # The same row wins among equally new ones, also when a lost task runs again.
-    marked = incoming.withColumn("_tie", F.xxhash64(*hashed))
+    marked = incoming.filter(_keyed(keys)).withColumn("_tie", F.xxhash64(*hashed))
     batch = latest(marked, keys, [*newest, "_tie"]).drop("_tie")
     kept = existing.join(batch.select(*keys), list(keys), "left_anti")
-    return kept.select(existing.columns).unionByName(batch.select(existing.columns))
+    return kept.select(existing.columns).unionByName(batch, allowMissingColumns=True)
 
 
 def incremental_load(
@@ -75,8 +95,9 @@ def incremental_load(
 ) -> DataFrame:
     """Curated table after loading the source rows newer than its high-water mark.
 
-    With ``inclusive`` rows at the mark are taken again, so that none that arrived late
-    with the same time is lost; the upsert makes that harmless.
+    The load column may be of any exact type. With ``inclusive`` rows at the mark are taken
+    again, so that none that arrived late with the same time is lost; the upsert makes that
+    harmless. ``updated_at`` stamps what is loaded, in a table that had no such column too.
     """
     mark = high_water_mark(existing, load_column)
     fresh = newer_than(source, load_column, mark, inclusive)

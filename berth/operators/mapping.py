@@ -90,6 +90,11 @@ def name_tokens(name: Column) -> Column:
     return F.array_distinct(F.filter(parts, lambda p: p != ""))
 
 
+#: Names of more words than this are not met by the sets of their words, of which there are
+#: two to the power of their number.
+MOST_WORDS = 8
+
+
 def _shared_sets(words: Column, min_share: float) -> Column:
     """All sets of words that a name may share with a name as similar as ``min_share``.
 
@@ -104,6 +109,40 @@ def _shared_sets(words: Column, min_share: float) -> Column:
     return F.filter(every, lambda s: (F.size(s) > 0) & (F.size(s) >= least))
 
 
+def _rarest_words(names: DataFrame, every: DataFrame, min_share: float) -> DataFrame:
+    """(name, words, word): the rarest words of each name. Names as similar as ``min_share``
+    differ in too few words to share none of these."""
+    counts = every.select(F.explode("words").alias("word")).groupBy("word").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    ranked = (
+        names.select("name", F.explode("words").alias("word"))
+        .join(counts, "word")
+        .groupBy("name")
+        .agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("ranked"))
+    )
+    size = F.size("ranked")
+    kept = size - F.ceil(size * F.lit(min_share)).cast("int") + 1
+    rare = F.slice("ranked", F.lit(1), kept)
+    return ranked.select(
+        "name",
+        F.transform("ranked", lambda x: x["word"]).alias("words"),
+        F.explode(F.transform(rare, lambda x: x["word"])).alias("word"),
+    )
+
+
+def _similar_long(new: DataFrame, known: DataFrame, min_share: float) -> DataFrame:
+    """Pairs (column_name, known_name) that may be similar, of which one name is long."""
+    every = new.union(known).distinct()
+    a = _rarest_words(new, every, min_share).toDF("column_name", "_new", "word")
+    b = _rarest_words(known, every, min_share).toDF("known_name", "_known", "word")
+    sizes = F.size("_new"), F.size("_known")
+    near = (F.least(*sizes) >= F.greatest(*sizes) * F.lit(min_share)) & (
+        F.greatest(*sizes) > MOST_WORDS
+    )
+    return a.join(b, "word").filter(near).select("column_name", "known_name", "_new", "_known")
+
+
 def similar_names(
     new: DataFrame, known: DataFrame, min_share: float = 0.5, k: int = 3
 ) -> DataFrame:
@@ -114,12 +153,18 @@ def similar_names(
     size of the known name. Known names under the same set and size are equally similar
     or better, so the first k + 1 of them in order (one may be the new name itself) are
     all that can be among the best k: the join grows with the names, not with their
-    pairs, however many share a word.
+    pairs, however many share a word. Names of more than MOST_WORDS words, and their
+    partners, meet on their rarest words instead, of which they have few.
     """
+    words_of = F.array_sort(name_tokens(F.col("name")))
+    news, knowns = (
+        df.select(F.col("column_name").alias("name")).distinct().withColumn("words", words_of)
+        for df in (new, known)
+    )
+    short = F.size("words") <= MOST_WORDS
     known_sets = (
-        known.select(F.col("column_name").alias("known_name"))
-        .distinct()
-        .withColumn("_known", F.array_sort(name_tokens(F.col("known_name"))))
+        knowns.filter(short)
+        .select(F.col("name").alias("known_name"), F.col("words").alias("_known"))
         .withColumn("_size", F.size("_known"))
         .withColumn("_shared", F.explode(_shared_sets(F.col("_known"), min_share)))
         .withColumn("_shared", F.array_join("_shared", " "))
@@ -132,23 +177,26 @@ def similar_names(
     )
     largest = F.floor(F.size("_set") / F.lit(min_share)) + F.size("_set") - F.size("_new")
     wanted = (
-        new.select("column_name")
-        .distinct()
-        .withColumn("_new", F.array_sort(name_tokens(F.col("column_name"))))
+        news.filter(short)
+        .select(F.col("name").alias("column_name"), F.col("words").alias("_new"))
         .withColumn("_set", F.explode(_shared_sets(F.col("_new"), min_share)))
         .filter(largest >= F.size("_set"))
         .withColumn("_size", F.explode(F.sequence(F.size("_set"), largest.cast("int"))))
         .withColumn("_shared", F.array_join("_set", " "))
     )
+    met = wanted.join(candidates, ["_shared", "_size"]).select(
+        "column_name", "known_name", "_new", "_known"
+    )
     common = F.size(F.array_intersect("_new", "_known"))
     pairs = (
-        wanted.join(candidates, ["_shared", "_size"])
+        met.unionByName(_similar_long(news, knowns, min_share))
         .filter(F.col("column_name") != F.col("known_name"))
         .select(
             "column_name",
             "known_name",
             (common / F.size(F.array_union("_new", "_known"))).alias("similarity"),
         )
+        .filter(F.col("similarity") >= F.lit(min_share))
         .distinct()
         .withColumn("edit_distance", F.levenshtein("column_name", "known_name"))
     )
@@ -156,28 +204,57 @@ def similar_names(
     return pairs.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
-def with_suggestions(mappings: DataFrame, similar: DataFrame) -> DataFrame:
-    """Give unmatched source columns their most similar target, scored by the similarity."""
-    top = similar.filter(F.col("rank") == 1).select(
-        F.col("column_name").alias("source_column"),
-        F.col("known_name").alias("_similar"),
-        F.col("similarity").alias("_score"),
+def with_suggestions(
+    mappings: DataFrame, similar: DataFrame, target: DataFrame | None = None
+) -> DataFrame:
+    """Give unmatched source columns a similar target, scored by the similarity.
+
+    Targets are given once: one that a column already has by name is out, and of the other
+    pairs those stand that are the best for both sides (ties in order of the names). With
+    ``target`` (column_name, data_type) the target's type is taken over, and a cast if it
+    differs from the source's.
+    """
+    taken = mappings.filter(~F.col("suggestion")).select(F.col("target_column").alias("_similar"))
+    open_pairs = (
+        similar.select(
+            F.col("column_name").alias("source_column"),
+            F.col("known_name").alias("_similar"),
+            F.col("similarity").alias("_score"),
+        )
+        .join(mappings.filter("suggestion").select("source_column"), "source_column", "left_semi")
+        .join(taken, "_similar", "left_anti")
     )
-    use = F.col("suggestion") & F.col("_similar").isNotNull()
-    return (
-        mappings.join(top, "source_column", "left")
-        .withColumns(
-            {
-                "target_column": F.when(use, F.col("_similar")).otherwise(F.col("target_column")),
-                "confidence_score": F.when(use, F.col("_score")).otherwise(
-                    F.col("confidence_score")
-                ),
-                "transformation_type": F.when(use, "DERIVED").otherwise(
-                    F.col("transformation_type")
-                ),
-            }
+    for_source = Window.partitionBy("source_column").orderBy(F.desc("_score"), "_similar")
+    for_target = Window.partitionBy("_similar").orderBy(F.desc("_score"), "source_column")
+    agreed = (
+        open_pairs.withColumn("_first", F.row_number().over(for_source))
+        .withColumn("_second", F.row_number().over(for_target))
+        .filter((F.col("_first") == 1) & (F.col("_second") == 1))
+        .drop("_first", "_second")
+    )
+    if target is not None:
+        types = target.groupBy(F.col("column_name").alias("_similar")).agg(
+            F.min("data_type").alias("_type")
         )
-        .drop("_similar", "_score")
+        agreed = agreed.join(types, "_similar", "left")
+    else:
+        agreed = agreed.withColumn("_type", F.lit(None).cast("string"))
+    use = F.col("_similar").isNotNull()
+    cast = use & (F.col("_type") != F.col("source_data_type"))
+    logic = F.concat(F.lit("CAST("), "source_column", F.lit(" AS "), "_type", F.lit(")"))
+    changes = {
+        "target_column": F.coalesce("_similar", "target_column"),
+        "confidence_score": F.coalesce("_score", "confidence_score"),
+        "transformation_type": F.when(cast, "TYPE_CAST")
+        .when(use, "DERIVED")
+        .otherwise(F.col("transformation_type")),
+        "target_data_type": F.coalesce("_type", "target_data_type"),
+        "transformation_logic": F.when(cast, logic).otherwise(F.col("transformation_logic")),
+    }
+    return (
+        mappings.join(agreed, "source_column", "left")
+        .withColumns(changes)
+        .drop("_similar", "_score", "_type")
     )
 
 

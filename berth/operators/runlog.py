@@ -325,23 +325,35 @@ def step_sequence(steps: DataFrame) -> DataFrame:
     )
 
 
-def step_positions(steps: DataFrame, bucket: str = "hour") -> DataFrame:
-    """Position of every step within its run.
+def step_positions(steps: DataFrame, parts: int = 64) -> DataFrame:
+    """Position of every step within its run, by start time and then execution; NULLs first.
 
-    A run is numbered per time bucket, and the buckets before it are counted in. So a
-    run with a third of all steps is spread over as many groups as it has buckets.
+    Steps are counted per run and second; the seconds of a run are cut into up to ``parts``
+    pieces of similar size, so a run with a third of all steps, in an hour or in a year, is
+    spread over as many groups. Within a piece steps are numbered, and the steps before the
+    piece are added. Rows without a run or a time take part.
     """
-    marked = steps.withColumn("_bucket", F.date_trunc(bucket, "start_time"))
-    sizes = marked.groupBy("workflow_id", "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy("workflow_id").orderBy("_bucket")
-    earlier = before.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
-    inside = Window.partitionBy("workflow_id", "_bucket").orderBy("start_time", "execution_id")
+    second = F.date_trunc("second", "start_time")
+    marked = steps.withColumns({"_run": F.col("workflow_id"), "_second": second})
+    counts = marked.groupBy("_run", "_second").agg(F.count(F.lit(1)).alias("_size"))
+    within = Window.partitionBy("_run").orderBy("_second")
+    total = F.sum("_size").over(Window.partitionBy("_run"))
+    seconds = counts.select(
+        F.col("_run").alias("_own_run"),
+        F.col("_second").alias("_own_second"),
+        (F.sum("_size").over(within) - F.col("_size")).alias("_before"),
+        total.alias("_total"),
+    ).withColumn("_piece", F.floor(F.col("_before") * parts / F.col("_total")))
+    first = F.min("_before").over(Window.partitionBy("_own_run", "_piece"))
+    seconds = seconds.withColumn("_offset", first).drop("_before", "_total")
+    same = F.col("_run").eqNullSafe(F.col("_own_run")) & F.col("_second").eqNullSafe(
+        F.col("_own_second")
+    )
+    inside = Window.partitionBy("_run", "_piece").orderBy("start_time", "execution_id")
     return (
-        marked.withColumn("_place", F.row_number().over(inside))
-        .join(offsets.drop("_size"), ["workflow_id", "_bucket"])
-        .withColumn("position", F.col("_offset") + F.col("_place"))
-        .drop("_bucket", "_place", "_offset")
+        marked.join(seconds, same)
+        .withColumn("position", F.col("_offset") + F.row_number().over(inside))
+        .drop("_run", "_second", "_own_run", "_own_second", "_piece", "_offset")
     )
 
 

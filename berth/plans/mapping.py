@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from berth.operators import dictionary as dic
 from berth.operators import load
 from berth.operators import mapping as mp
 from berth.operators import profile as prof
+from berth.operators.layout import local_rows
 from berth.operators.runlog import instant
 from berth.plans import sqltext
 from berth.plans.dictionary import FEED_SQL, order_feed
@@ -473,33 +474,103 @@ def synonyms(spark, sf_dir):
     return similar.join(sizes.drop("known_values"), "column_name").join(known, "known_name")
 
 
-@query(
-    "map_with_suggestions",
-    "WITH m AS (" + _mapping_sql("lineitem", "", sqltext.columns("supplier"))
-    + "), a AS (SELECT source_column AS name, string_split(source_column, '_') AS w FROM m), "
-    "b AS (SELECT unnest(["
-    + ", ".join(f"'{c}'" for c, _ in sqltext.columns("supplier"))
-    + "]) AS name), p AS (SELECT a.name AS source_column, b.name AS known, "
-    "CAST(len(list_intersect(a.w, string_split(b.name, '_'))) AS DOUBLE) / "
-    "len(list_distinct(list_concat(a.w, string_split(b.name, '_')))) AS s FROM a, b), "
-    "t AS (SELECT *, row_number() OVER (PARTITION BY source_column ORDER BY s DESC, known) AS r "
-    "FROM p WHERE s >= CAST(0.3 AS DOUBLE)) "
-    "SELECT ordinal, source_column, coalesce(known, target_column) AS target_column, "
-    "coalesce(s, confidence_score) AS confidence_score, CASE WHEN known IS NULL THEN "
-    "transformation_type ELSE 'DERIVED' END AS transformation_type, non_null_count "
-    "FROM m LEFT JOIN t USING (source_column) WHERE r = 1 OR r IS NULL",
-)
-def map_with_suggestions(spark, sf_dir):
-    lineitem, supplier = (table(spark, sf_dir, t) for t in ("lineitem", "supplier"))
-    source, target = mp.source_columns(lineitem), mp.source_columns(supplier)
-    mappings = mp.match_columns(source, target)
-    suggested = mp.with_suggestions(mappings, mp.similar_names(source, target, min_share=0.3))
-    return _counted(lineitem, suggested).select(
+def _suggested_sql(source: str, target: list[tuple[str, str]]) -> str:
+    known = ", ".join(f"('{c}', '{t}')" for c, t in target)
+    return (
+        f"WITH m AS ({_mapping_sql(source, '', target)}), "
+        "a AS (SELECT source_column AS name, string_split(source_column, '_') AS w FROM m "
+        "WHERE suggestion), "
+        f"b AS (SELECT * FROM (VALUES {known}) AS v(name, dtype) "
+        "WHERE name NOT IN (SELECT target_column FROM m WHERE NOT suggestion)), "
+        "p AS (SELECT a.name AS source_column, b.name AS known, b.dtype, "
+        "CAST(len(list_intersect(a.w, string_split(b.name, '_'))) AS DOUBLE) / "
+        "len(list_distinct(list_concat(a.w, string_split(b.name, '_')))) AS s FROM a, b), "
+        "t AS (SELECT *, row_number() OVER (PARTITION BY source_column ORDER BY s DESC, known) AS r, "
+        "row_number() OVER (PARTITION BY known ORDER BY s DESC, source_column) AS q "
+        "FROM p WHERE s >= CAST(0.3 AS DOUBLE)) "
+        "SELECT ordinal, source_column, coalesce(known, target_column) AS target_column, "
+        "coalesce(dtype, target_data_type) AS target_data_type, "
+        "coalesce(s, confidence_score) AS confidence_score, CASE WHEN known IS NULL THEN "
+        "transformation_type WHEN dtype <> source_data_type THEN 'TYPE_CAST' ELSE 'DERIVED' END "
+        "AS transformation_type, CASE WHEN dtype <> source_data_type THEN concat('CAST(', "
+        "source_column, ' AS ', dtype, ')') ELSE transformation_logic END AS transformation_logic, "
+        "non_null_count FROM m LEFT JOIN (SELECT * FROM t WHERE r = 1 AND q = 1) AS t "
+        "USING (source_column)"
+    )
+
+
+def _suggested(spark, sf_dir, source: str, target: DataFrame) -> DataFrame:
+    given = table(spark, sf_dir, source)
+    columns = mp.source_columns(given)
+    mappings = mp.match_columns(columns, target)
+    similar = mp.similar_names(columns, target, min_share=0.3, k=50)
+    suggested = mp.with_suggestions(mappings, similar, target)
+    return _counted(given, suggested).select(
         "ordinal",
         "source_column",
         "target_column",
+        "target_data_type",
         "confidence_score",
         "transformation_type",
+        "transformation_logic",
         "non_null_count",
     )
 
+
+@query("map_with_suggestions", _suggested_sql("lineitem", sqltext.columns("supplier")))
+def map_with_suggestions(spark, sf_dir):
+    return _suggested(spark, sf_dir, "lineitem", mp.source_columns(table(spark, sf_dir, "supplier")))
+
+
+# Targets for which several source columns compete, one of them taken by name.
+_CONTESTED = [("key_l", "string"), ("l_tax", "double"), ("date_l", "date"), ("l_number", "int")]
+
+
+@query("map_with_competition", _suggested_sql("lineitem", _CONTESTED))
+def map_with_competition(spark, sf_dir):
+    target = local_rows(
+        spark,
+        [(c, t, i) for i, (c, t) in enumerate(_CONTESTED)],
+        "column_name string, data_type string, ordinal int",
+    )
+    return _suggested(spark, sf_dir, "lineitem", target)
+
+
+# Marks of other types than time: whole numbers and text, and a stamp on what was loaded.
+_MARKED = "o_orderkey < (SELECT max(o_orderkey) / 2 FROM orders)"
+_STAMP = "2024-05-01 00:00:00"
+
+
+def _halves(spark, sf_dir, mark: Column) -> tuple[DataFrame, DataFrame]:
+    orders = table(spark, sf_dir, "orders")
+    middle = orders.agg((F.max("o_orderkey") / 2).alias("middle")).collect()[0]["middle"]
+    rows = orders.select("o_orderkey", "o_totalprice", mark.alias("mark"))
+    changed = rows.withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    return rows.filter(F.col("o_orderkey") < middle), changed
+
+
+def _halves_sql(mark: str, stamp: bool) -> str:
+    old, new = (
+        (", CAST(NULL AS TIMESTAMP) AS updated_at", f", TIMESTAMP '{_STAMP}'") if stamp else ("", "")
+    )
+    return (
+        f"SELECT o_orderkey, o_totalprice, {mark} AS mark{old} FROM orders WHERE {_MARKED} "
+        f"UNION ALL SELECT o_orderkey, o_totalprice * 2, {mark}{new} FROM orders WHERE NOT {_MARKED}"
+    )
+
+
+@query("incremental_load_number", _halves_sql("o_orderkey", False))
+def incremental_load_number(spark, sf_dir):
+    existing, source = _halves(spark, sf_dir, F.col("o_orderkey"))
+    return load.incremental_load(existing, source, ["o_orderkey"], "mark")
+
+
+_PADDED = "lpad(CAST(o_orderkey AS VARCHAR), 12, '0')"
+
+
+@query("incremental_load_stamped", _halves_sql(_PADDED, True))
+def incremental_load_stamped(spark, sf_dir):
+    padded = F.lpad(F.col("o_orderkey").cast("string"), 12, "0")
+    existing, source = _halves(spark, sf_dir, padded)
+    stamp = F.lit(_STAMP).cast("timestamp_ntz")
+    return load.incremental_load(existing, source, ["o_orderkey"], "mark", updated_at=stamp)

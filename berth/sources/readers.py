@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from berth.operators.layout import literal
 from berth.operators.profile import infer_text_schema, tick
 
 # Names of the file formats, and cells that stand for no value.
@@ -31,6 +34,9 @@ def null_tokens_to_null(df: DataFrame) -> DataFrame:
     )
 
 
+CAST_ERRORS = "cast_errors"
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -38,17 +44,54 @@ def read_csv(
     infer: bool = False,
     multi_line: bool = False,
     with_file: bool = False,
+    by_header: bool = False,
+    with_errors: bool = False,
 ) -> DataFrame:
     """Comma-separated files with a header, optional quotes and padding.
 
     Rows with too few cells are filled with nulls, surplus cells are dropped. Cells are
     read as text, null tokens become NULL, and only then are they typed: by ``schema``,
     by ``infer`` (a pass over all rows), or not at all. A cell that does not fit its type
-    becomes NULL. ``multi_line`` allows line breaks within quotes but keeps a file from
-    being split among tasks, so it is off unless asked for.
+    becomes NULL; ``with_errors`` names the columns of such cells in ``cast_errors``.
+    Files whose header differs from the first one's are an error, never read by position;
+    with ``by_header`` files are read per header and put together by name, for which their
+    first lines are collected in a pass over the text. ``multi_line`` allows line breaks
+    within quotes but keeps a file from being split among tasks, so it is off unless asked for.
     """
+    groups = files_by_header(spark, path) if by_header else [path]
+    frames = [_csv_text(spark, g, multi_line, with_file) for g in groups]
+    text = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    if schema is not None:
+        types = {f.name: f.dataType.simpleString() for f in T.StructType.fromDDL(schema).fields}
+    elif infer:
+        names = [n for n in text.columns if not (with_file and n == "source_path")]
+        rows = infer_text_schema(text.select(*[tick(n) for n in names])).collect()
+        types = {r["column_name"]: r["data_type"] for r in rows}
+    else:
+        types = {}
+    typed = [
+        f"try_cast({tick(n)} AS {types[n]}) AS {tick(n)}" if n in types else tick(n)
+        for n in text.columns
+    ]
+    if with_errors:
+        lost = [
+            f"CASE WHEN {tick(n)} IS NOT NULL AND try_cast({tick(n)} AS {types[n]}) IS NULL "
+            f"THEN {literal(n)} END"
+            for n in text.columns
+            if n in types
+        ]
+        empty = "CAST(array() AS array<string>)"
+        named = f"array_compact(array({', '.join(lost)}))" if lost else empty
+        typed.append(f"{named} AS {CAST_ERRORS}")
+    return text.selectExpr(*typed) if types or with_errors else text
+
+
+def _csv_text(
+    spark: SparkSession, path: str | list[str], multi_line: bool, with_file: bool
+) -> DataFrame:
     text = (
         spark.read.option("header", True)
+        .option("enforceSchema", False)
         .option("quote", '"')
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", True)
@@ -57,23 +100,26 @@ def read_csv(
         .option("multiLine", multi_line)
         .csv(path)
     )
-    names = text.columns
     if with_file:
         text = text.withColumn("source_path", F.col("_metadata.file_path"))
-    text = null_tokens_to_null(text)
-    if schema is not None:
-        types = {f.name: f.dataType.simpleString() for f in T.StructType.fromDDL(schema).fields}
-    elif infer:
-        rows = infer_text_schema(text.select(*[tick(n) for n in names])).collect()
-        types = {r["column_name"]: r["data_type"] for r in rows}
-    else:
-        return text
-    return text.selectExpr(
-        *[
-            f"try_cast({tick(n)} AS {types[n]}) AS {tick(n)}" if n in types else tick(n)
-            for n in text.columns
-        ]
+    return null_tokens_to_null(text)
+
+
+def files_by_header(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
+    """Paths grouped by their first line, from one job; a row per file comes to the driver."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+        ).alias("place"),
+        "value",
     )
+    first = lines.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    groups: dict[str, list[str]] = {}
+    for row in first.orderBy("file").collect():
+        groups.setdefault(row["header"], []).append(row["file"])
+    return list(groups.values())
 
 
 def read_json(

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from berth.operators.profile import comparable, quoted
 from berth.session import scratch_dir
 from berth.sources.readers import read_staged
 
@@ -59,6 +61,38 @@ def error_condition(error: Exception) -> str:
     return type(error).__name__
 
 
+def _every_value(df: DataFrame, number: int) -> DataFrame:
+    """One row (number, n) for which each value of each column has been read."""
+    seen = F.xxhash64(*[F.to_json(F.struct(quoted(f.name))) if not comparable(f.dataType) else quoted(f.name)
+                        for f in df.schema.fields]) if df.columns else F.lit(0)
+    read = df.select(seen.alias("seen"))
+    return read.agg(F.count(F.lit(1)).alias("n"), F.bit_xor("seen").alias("mark")).select(
+        F.lit(number).alias("number"), "n", "mark"
+    )
+
+
+def _measured_together(readable: list[tuple]) -> Iterator[list[tuple]]:
+    """Status rows of inputs, measured in one job. If that fails, each half is measured on its
+    own, so one bad input among many costs a logarithmic number of jobs."""
+    if not readable:
+        return
+    try:
+        frames = [_every_value(df, number) for number, _, _, df in readable]
+        found = {r["number"]: r["n"] for r in reduce(DataFrame.unionByName, frames).collect()}
+        yield [
+            (name, kind, "COMPLETED", found[number], len(df.columns), None)
+            for number, name, kind, df in readable
+        ]
+    except (PySparkException, Py4JJavaError) as error:
+        if len(readable) == 1:
+            _, name, kind, _ = readable[0]
+            yield [(name, kind, "FAILED", None, None, ERROR_SUMMARY % error_condition(error))]
+            return
+        half = len(readable) // 2
+        yield from _measured_together(readable[:half])
+        yield from _measured_together(readable[half:])
+
+
 def measure_inputs(
     spark: SparkSession,
     inputs: Sequence[tuple[str, str]],
@@ -66,19 +100,21 @@ def measure_inputs(
 ) -> DataFrame:
     """One status row per (path, format): counts for a readable input, the error for another.
 
-    An input that cannot be read does not stop the rest. One row per input comes back to
-    the driver, which is what the caller has listed.
+    An input that cannot be read does not stop the rest. Every value of every column is read,
+    so damage behind intact footers is found. One row per input comes back to the driver,
+    which is what the caller has listed.
     """
-    rows = []
-    for path, file_format in inputs:
+    rows, readable = [], []
+    for number, (path, file_format) in enumerate(inputs):
         name = path.rstrip("/").rsplit("/", 1)[-1]
         try:
-            df = read(spark, path, file_format)
-            count = df.agg(F.count(F.lit(1)).alias("n")).collect()[0]["n"]
-            rows.append((name, file_format, "COMPLETED", count, len(df.columns), None))
+            # Opening looks at listings, headers and footers only.
+            readable.append((number, name, file_format, read(spark, path, file_format)))
         except (PySparkException, Py4JJavaError) as error:
             summary = ERROR_SUMMARY % error_condition(error)
             rows.append((name, file_format, "FAILED", None, None, summary))
+    for part in _measured_together(readable):
+        rows += part
     return spark.createDataFrame(
         rows,
         "file_name string, file_format string, status string, row_count bigint, "

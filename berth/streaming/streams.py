@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from berth.operators.profile import comparable, quoted
 from berth.operators.runlog import latest
 from berth.session import scratch_dir
 
@@ -77,9 +78,25 @@ def load_changes(stream: DataFrame, path: str, checkpoint: str) -> None:
 def current_rows(
     spark: SparkSession, path: str, schema: str, keys: Sequence[str], newest: Sequence[str]
 ) -> DataFrame:
-    """Curated view of a change folder: the newest row per key, later batches first on ties."""
+    """Curated view of a change folder: the newest row per key, later batches first on ties, and
+    among rows of one batch the same one each time."""
     changes = spark.read.schema(f"{schema}, {BATCH} bigint").parquet(path)
-    return latest(changes, keys, [*newest, BATCH]).drop(BATCH)
+    hashed = [quoted(f.name) for f in changes.schema.fields if comparable(f.dataType)]
+    marked = changes.withColumn("_tie", F.xxhash64(*hashed))
+    return latest(marked, keys, [*newest, BATCH, "_tie"]).drop(BATCH, "_tie")
+
+
+def compact_changes(
+    spark: SparkSession, path: str, schema: str, keys: Sequence[str], newest: Sequence[str]
+) -> str:
+    """Write the current rows as the first batch of a new change folder, whose path is returned.
+
+    Readers go on with the old folder until they are pointed to the new one; later batches
+    of the stream are written there.
+    """
+    fresh = scratch_dir(spark, "changes")
+    current_rows(spark, path, schema, keys, newest).write.parquet(f"{fresh}/{BATCH}=-1")
+    return fresh
 
 
 def windowed_metrics(

@@ -179,3 +179,61 @@ def test_metrics_and_removal(spark):
         assert total[agent, "SUCCESS_RATE"] == sum(r[3] == "COMPLETED" for r in mine)
         assert total[agent, "EXECUTION_TIME"] == float(sum(r[5] for r in mine))
     assert log.remove_runs(df, hot).filter("workflow_id = 'hot'").count() == 0
+
+
+def test_marks_of_any_type_and_zone(spark, monkeypatch):
+    import time
+
+    for zone in ("Asia/Tokyo", "America/New_York"):
+        monkeypatch.setenv("TZ", zone)
+        time.tzset()
+        try:
+            existing = spark.sql("SELECT 1 AS k, TIMESTAMP '2024-01-01 12:00:00' AS loaded_at")
+            source = spark.sql(
+                "SELECT k, loaded_at FROM VALUES (2, TIMESTAMP '2024-01-01 11:00:00'), "
+                "(3, TIMESTAMP '2024-01-01 13:00:00') AS t(k, loaded_at)"
+            )
+            loaded = load.incremental_load(existing, source, ["k"], "loaded_at")
+            assert {r["k"] for r in loaded.collect()} == {1, 3}
+        finally:
+            monkeypatch.undo()
+            time.tzset()
+    for low, mark, high, kind in (
+        ("5", "9", "10", "bigint"), ("2024-01-01", "2024-02-01", "2024-03-01", "date"),
+        ("a", "it's", "z", "string"), ("1.10", "1.20", "1.30", "decimal(10,2)"),
+    ):
+        existing = spark.createDataFrame([(1, mark)], "k int, m string").withColumn("m", F.col("m").cast(kind))
+        source = spark.createDataFrame([(2, low), (3, high)], "k int, m string").withColumn("m", F.col("m").cast(kind))
+        rows = load.incremental_load(existing, source, ["k"], "m").collect()
+        assert {r["k"] for r in rows} == {1, 3}, kind
+
+
+def test_rows_without_a_key_go_to_quarantine(spark):
+    existing = spark.createDataFrame([(1, "a", at(0))], LAYOUT)
+    incoming = spark.createDataFrame([(None, "x", at(1)), (None, "y", at(1)), (2, "b", at(1))], LAYOUT)
+    merged = load.upsert(existing, incoming, ["k"], ["loaded_at"])
+    assert sorted(r["k"] for r in merged.collect()) == [1, 2]
+    again = load.upsert(merged, incoming, ["k"], ["loaded_at"])
+    assert again.count() == 2
+    assert sorted(r["v"] for r in load.rows_without_key(incoming, ["k"]).collect()) == ["x", "y"]
+
+
+def test_the_stamp_reaches_a_table_that_had_none(spark):
+    existing = spark.createDataFrame([(1, "a", at(0))], LAYOUT)
+    source = spark.createDataFrame([(2, "b", at(1))], LAYOUT)
+    rows = load.incremental_load(existing, source, ["k"], "loaded_at", updated_at=F.lit("now")).collect()
+    assert {r["k"]: r["updated_at"] for r in rows} == {1: None, 2: "now"}
+
+
+def test_positions_of_steps_without_run_or_time_and_of_one_hour(spark):
+    rows, df = some_steps(spark, 60)
+    odd = [(None, 900 + i, "A", "FAILED", at(0) if i else None, None, 1, None, None) for i in range(3)]
+    odd += [("r0", 950, "A", "FAILED", None, None, 1, None, None)]
+    odd += [("hot", 1000 + i, "A", "FAILED", at(1) + dt.timedelta(seconds=i), None, 1, None, None) for i in range(500)]
+    df = df.unionByName(steps(spark, odd))
+    got = {r["execution_id"]: r["position"] for r in log.step_positions(df).collect()}
+    every = rows + odd
+    assert len(got) == len(every)
+    for run in {r[0] for r in every}:
+        own = sorted((r[4] is not None, r[4] or T0, r[1]) for r in every if r[0] == run)
+        assert [got[r[2]] for r in own] == list(range(1, len(own) + 1))

@@ -156,3 +156,28 @@ def test_model_type_and_keys(spark):
     assert kinds == {"f": "fct", "d": "dim"}
     roles = {(r["table_name"], r["column_name"]): r["role"] for r in dic.key_candidates(rows).collect()}
     assert roles["d", "a_key"] == "PRIMARY_KEY" and roles["f", "a_key"] == "CLUSTERING"
+
+
+def test_names_of_many_words(spark):
+    words = [f"w{i}" for i in range(40)]
+    names = ["_".join(words), "_".join(words[:30] + ["x"]), "_".join(words[:8]), "_".join(words[:12]), "w1_w2"]
+    df = spark.createDataFrame([(n,) for n in names], "column_name string")
+    got = {(r["column_name"], r["known_name"]): r["similarity"] for r in mp.similar_names(df, df, 0.5, 5).collect()}
+    expected = {}
+    for a in names:
+        for b in names:
+            x, y = set(a.split("_")), set(b.split("_"))
+            if a != b and len(x & y) / len(x | y) >= 0.5:
+                expected[a, b] = len(x & y) / len(x | y)
+    assert got == expected
+
+
+def test_competing_sources_get_one_target_each(spark):
+    source = spark.createDataFrame([("part_key", "bigint", 0), ("old_part_key", "bigint", 1)], "column_name string, data_type string, ordinal int")
+    target = spark.createDataFrame([("key_part", "string", 0)], "column_name string, data_type string, ordinal int")
+    mappings = mp.match_columns(source, target)
+    rows = {r["source_column"]: r for r in mp.with_suggestions(mappings, mp.similar_names(source, target), target).collect()}
+    best, other = rows["part_key"], rows["old_part_key"]
+    assert (best["target_column"], best["target_data_type"], best["transformation_type"]) == ("key_part", "string", "TYPE_CAST")
+    assert best["transformation_logic"] == "CAST(part_key AS string)"
+    assert (other["target_column"], other["target_data_type"]) == ("old_part_key", "bigint")

@@ -95,3 +95,36 @@ def test_scratch_folder_is_shared(spark):
     assert first != second
     base = base or spark.sparkContext.getCheckpointDir()
     assert first.startswith(base.rstrip("/"))
+
+
+def test_columns_are_never_swapped_between_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("y,x,z\n3,4,5\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_csv(spark, str(tmp_path)).collect()
+    rows = readers.read_csv(spark, str(tmp_path), by_header=True, infer=True).collect()
+    assert sorted((r["x"], r["y"], r["z"]) for r in rows if r["z"]) == [(4, 3, 5)]
+    assert [(r["x"], r["y"]) for r in rows if r["z"] is None] == [(1, 2)]
+
+
+def test_lost_cells_are_named(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\nbad,3\nNULL,worse\n")
+    rows = readers.read_csv(spark, str(tmp_path), schema="x int, y int", with_errors=True).collect()
+    assert [(r["x"], r["y"], r["cast_errors"]) for r in rows] == [(1, 2, []), (None, 3, ["x"]), (None, None, ["y"])]
+
+
+def test_damage_behind_an_intact_footer_is_found(spark, tmp_path):
+    import glob
+
+    spark.range(100_000).selectExpr("id", "concat('v', id) AS v").coalesce(1).write.parquet(str(tmp_path / "t.parquet"))
+    spark.range(7).write.parquet(str(tmp_path / "ok.parquet"))
+    part = glob.glob(str(tmp_path / "t.parquet" / "part-*.parquet"))[0]
+    with open(part, "r+b") as f:
+        f.seek(1000)
+        f.write(b"\0" * 200_000)
+    for crc in glob.glob(str(tmp_path / "t.parquet" / ".part-*.crc")):
+        open(crc, "wb").close()
+    inputs = [(str(tmp_path / n), "PARQUET_FORMAT") for n in ("ok.parquet", "t.parquet")]
+    rows = {r["file_name"]: r for r in sinks.measure_inputs(spark, inputs).collect()}
+    assert (rows["ok.parquet"]["status"], rows["ok.parquet"]["row_count"]) == ("COMPLETED", 7)
+    assert rows["t.parquet"]["status"] == "FAILED"
