@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +63,18 @@ def record_batch(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
+_SOLE: dict[object, object] = {}
+
+
+def sole(key: object, make: Callable[[], Any]) -> Any:
+    """What a Python worker remembers for the operator at work. Workers serve one operator after
+    another, so what the one before remembered is dropped."""
+    if key not in _SOLE:
+        _SOLE.clear()
+        _SOLE[key] = make()
+    return _SOLE[key]
+
+
 _WORD_BYTES = bytes(
     c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32
     for c in range(256)

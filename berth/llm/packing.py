@@ -21,7 +21,6 @@ import sys
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from berth.llm.common import record_batch, stored, texts
+from berth.llm.common import record_batch, sole, stored, texts
 
 SIZE = 2048
 CLOSING_ID = 1
@@ -37,7 +36,7 @@ CLOSING_ID = 1
 ROWS_PER_GROUP = 1_000
 MOST_GROUPS = 200_000
 #: Chunks of text in the younger of the two generations that a Python worker remembers.
-MEMO = 250_000
+MEMO = 160_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PLACED = PIECES + ", sequence_id long, offset long"
@@ -130,16 +129,11 @@ class ChunkIds(dict):
         return b"".join([self.encode(first) if first else b"", *map(self.__getitem__, others)])
 
 
-@lru_cache(maxsize=2)
-def _chunk_ids(path: str) -> ChunkIds:
-    return ChunkIds(path)
-
-
 def pieces(docs: DataFrame, tokenizer_path: str, size: int = SIZE, closing: int = CLOSING_ID) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens), one row per piece of each document."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _chunk_ids(tokenizer_path)
+        memo = sole(("packing", tokenizer_path), lambda: ChunkIds(tokenizer_path))
         end = np.asarray([closing], dtype="<u4").tobytes()
         for batch in batches:
             rows: list[list] = [[], [], [], [], []]

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from berth.llm.common import record_batch, texts
+from berth.llm.common import record_batch, sole, texts
 
 BLANK = "▁"
 NEVER = float("-inf")
@@ -334,16 +334,11 @@ class UnitMemo(dict):
         return ",".join(ids), sum(counts), "".join(decoded).removeprefix(" ")
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
-@lru_cache(maxsize=2)
-def _memo(path: str) -> UnitMemo:
-    return UnitMemo(model(path))
-
-
 def digests(docs: DataFrame, model_path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each whole text."""
 
@@ -351,7 +346,7 @@ def digests(docs: DataFrame, model_path: str) -> DataFrame:
         return hashlib.sha256(text.encode()).hexdigest()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _memo(model_path)
+        memo = sole(("pieces", model_path), lambda: UnitMemo(model(model_path)))
         for batch in batches:
             rows: list[list] = [[], [], []]
             for text in texts(batch.column(1)):

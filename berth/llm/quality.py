@@ -37,6 +37,7 @@ from berth.llm.common import (
     labels_of,
     logistic,
     record_batch,
+    sole,
     stored,
     texts,
 )
@@ -52,7 +53,7 @@ COST = 0.1
 OWN_WEIGHT = 0.75
 EPOCHS = 30
 #: Words that a Python worker remembers in each generation.
-MEMO = 150_000
+MEMO = 100_000
 
 SCORES = "doc_id long, held_out boolean, score double, predicted int"
 _SCORE_SCHEMA = pa.schema(
@@ -98,15 +99,12 @@ class Hashes(dict):
         return found
 
 
-_HASHES = Hashes()
-
-
 def indicators(text: str) -> np.ndarray:
     """Sorted places that a whole text fills."""
     words = text.split()
     if not words:
         return np.zeros(0, np.int64)
-    both = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    both = np.fromiter(map(sole("quality", Hashes).__getitem__, words), np.uint64, len(words))
     word, form = both >> np.uint64(32), both & np.uint64(0xFFFFFFFF)
     parts = [word * np.uint64(4), form * np.uint64(4) + np.uint64(1)]
     for kind, one in ((2, word), (3, form)):

@@ -25,6 +25,7 @@ and kept by ``keep_ordinary``.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,6 +43,7 @@ from berth.llm.common import (
     labels_of,
     logistic,
     record_batch,
+    sole,
     stored,
     texts,
     words_of,
@@ -58,7 +60,7 @@ SAMPLE = 2_000
 #: One labelled text in so many is left out of the counts, for the curve.
 CURVE_FOLDS = 6
 #: Expressions that a Python worker remembers in each generation.
-MEMO = 150_000
+MEMO = 100_000
 
 SCORES = "doc_id long, held_out boolean, score double, predicted int"
 _SCORE_SCHEMA = pa.schema(
@@ -334,17 +336,6 @@ def _evidence_rows(column: pa.Array, memo: Expressions) -> np.ndarray:
     return np.array(rows, dtype=np.float64).reshape(-1, 3)
 
 
-_MEMOS: dict[str, Expressions] = {}
-
-
-def _memo(key: str, model: Model) -> Expressions:
-    """One memory per worker, for the model in use."""
-    if key not in _MEMOS:
-        _MEMOS.clear()
-        _MEMOS[key] = Expressions(model)
-    return _MEMOS[key]
-
-
 def _inputs(rows: np.ndarray) -> np.ndarray:
     """Evidence as the curve sees it, and a constant; very large values say no more than large ones."""
     return np.concatenate([np.clip(rows, -30.0, 30.0) / 10.0, np.ones((len(rows), 1))], axis=1)
@@ -395,11 +386,11 @@ def _scorer(model: Model, docs: DataFrame):
     if not model.known:
         return lambda column: np.zeros(len(column))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    key = f"{docs.sparkSession.sparkContext.applicationId}-{shared._jbroadcast.id()}"
+    key = ("toxicity", uuid.uuid4().hex)
 
     def score(column: pa.Array) -> np.ndarray:
         own = shared.value
-        rows = _inputs(_evidence_rows(column, _memo(key, own)))
+        rows = _inputs(_evidence_rows(column, sole(key, lambda: Expressions(own))))
         return logistic((rows * np.array(own.curve)).sum(axis=1))
 
     return score
