@@ -41,7 +41,7 @@ SHAPES = {
         r"[0-9]+ [A-Za-z0-9 .]*[A-Za-z0-9.] "
         r"(?:St|Street|Ave|Avenue|Rd|Road|Blvd|Dr|Drive|Ln|Lane|Way|Ct|Court)\.?"
     ),
-    "NAME": r"[A-Z][a-z]+ [A-Z][a-z]+",
+    "NAME": r"\p{Lu}\p{Ll}+ \p{Lu}\p{Ll}+",
     "DATE_OF_BIRTH": r"(?:19[0-9]{2}|20[01][0-9])-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])",
     "PASSPORT": r"[A-Z]{1,2}[0-9]{6,8}",
     "MEDICAL_RECORD_NUMBER": r"MRN[-: ]?[0-9]{5,10}",
@@ -52,7 +52,23 @@ SHAPES = {
 }
 
 # Labels whose shape is telling inside running text; the others need the whole value.
-TEXT_LABELS = ["SSN", "EMAIL", "PHONE", "CREDIT_CARD", "MEDICAL_RECORD_NUMBER"]
+TEXT_LABELS = [
+    "SSN",
+    "EMAIL",
+    "PHONE",
+    "CREDIT_CARD",
+    "MEDICAL_RECORD_NUMBER",
+    "HEALTH_PLAN",
+    "PRESCRIPTION",
+]
+
+# Words in a column's name without which its dates are no birthdays and its bare numbers no
+# telephone numbers.
+NAME_HINTS = {
+    "DATE_OF_BIRTH": ["birth", "born", "dob"],
+    "PHONE": ["phone", "tel", "mobile", "fax"],
+}
+BARE_PHONE = r"1?[2-9][0-9]{9}"
 
 # What stands in place of a masked value.
 PREFIX_LENGTH = 3
@@ -81,17 +97,30 @@ def is_card_number(value: Column) -> Column:
     return F.call_function("luhn_check", F.regexp_replace(value, "[ -]", ""))
 
 
-def value_label(value: str) -> Column:
-    """Label of a whole value (a column name): the first shape it has, NULL for none."""
+def value_label(value: str, hinted: dict[str, str] | None = None) -> Column:
+    """Label of a whole value (a column name): the first shape it has, NULL for none.
+
+    ``hinted`` names a boolean column per label that needs a hint from its column's name; without
+    it the shape alone decides, and bare numbers are no telephone numbers.
+    """
     tests = []
     for label in PII_LABELS + PHI_LABELS:
         test = rf"{value} RLIKE r'^(?:{SHAPES[label]})\z'"
         if label == "CREDIT_CARD":
             test += f" AND luhn_check(regexp_replace({value}, '[ -]', ''))"
+        if hinted and label == "PHONE":
+            test = rf"({test} OR ({hinted[label]} AND {value} RLIKE r'^(?:{BARE_PHONE})\z'))"
+        elif hinted and label in hinted:
+            test += f" AND {hinted[label]}"
         tests.append(f"WHEN {test} THEN '{label}'")
     return F.expr(f"CASE {' '.join(tests)} END")
 
 
+def name_hints(name: str) -> dict[str, bool]:
+    """For each label that needs one, whether the column's name has its hint."""
+    return {k: any(part in name.lower() for part in parts) for k, parts in NAME_HINTS.items()}
+
+
 def find_all(value: Column, label: str) -> Column:
     """All pieces of a text that have the shape of the label."""
     found = F.regexp_extract_all(value, F.lit(f"({SHAPES[label]})"), F.lit(1))
@@ -118,9 +147,17 @@ def mask_digest(value: Column, salt: str = "") -> Column:
 
 
 def redact(text: Column, labels: list[str] | None = None) -> Column:
-    """Replace every piece of a text with a telling shape by its label in brackets."""
+    """Replace every piece of a text with a telling shape by its label in brackets.
+
+    Runs of digits are card numbers only with the right check digit; others stay."""
     for label in labels or TEXT_LABELS:
-        text = F.regexp_replace(text, SHAPES[label], f"[{label}]")
+        mark = f"[{label}]"
+        if label == "CREDIT_CARD":
+            pieces = find_all(text, label)
+            cards = F.aggregate(pieces, text, lambda t, piece: F.replace(t, piece, F.lit(mark)))
+            text = F.when(F.size(pieces) > 0, cards).otherwise(text)
+        else:
+            text = F.regexp_replace(text, SHAPES[label], mark)
     return text
 
 

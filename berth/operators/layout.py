@@ -1,4 +1,4 @@
-"""Small relations from the driver, and spreading small inputs over the cores."""
+"""Small relations from the driver."""
 
 from __future__ import annotations
 
@@ -28,17 +28,3 @@ def local_rows(spark: SparkSession, rows: Sequence[tuple], layout: str) -> DataF
     )
     df = spark.sql(f"SELECT {columns} FROM VALUES {values}")
     return df if rows else df.limit(0)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a table with fewer splits than there are cores one split per core.
-
-    For work that costs far more per row than moving the row does, such as matching
-    patterns in texts. A table with enough splits of its own stays as it is, so nothing
-    is shuffled at scale. ``keys`` should be a unique key of the table. Call it on a table
-    as it is read: to count the splits of a plan with shuffles, Spark would have to run them.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)

@@ -44,28 +44,46 @@ def table_risk(findings: DataFrame, by: str = "table_name") -> DataFrame:
     )
 
 
-def _text_columns(df: DataFrame) -> list[str]:
-    kinds = (T.StringType, T.DateType)
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
+def value_as_text(name: str, dtype: T.DataType) -> str | None:
+    """A value as it is searched; days without a time read as dates. None for nested types,
+    truth values and bytes."""
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        column = tick(name)
+        return (
+            f"CASE WHEN {column} = date_trunc('DAY', {column}) THEN "
+            f"CAST(CAST({column} AS date) AS string) ELSE CAST({column} AS string) END"
+        )
+    if isinstance(dtype, (T.StringType, T.DateType, T.NumericType)):
+        return f"CAST({tick(name)} AS string)"
+    return None
 
 
 def value_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Values per (table, column, label), with the smallest masked sample of each label.
 
-    Every value of every text or date column is labelled in the scan. Rows shrink to
-    (column, label, three characters) counts on the map side, so what is shuffled does
-    not grow with the tables.
+    Every value of every column of text, numbers, dates or times is labelled in the scan. Rows
+    shrink to (column, label, three characters) counts on the map side, so what is shuffled
+    does not grow with the tables.
     """
     parts = []
     for table, df in tables.items():
-        cells = ", ".join(
-            f"struct({literal(c)} AS column_name, CAST({tick(c)} AS string) AS value)"
-            for c in _text_columns(df)
-        )
+        cells = []
+        for field in df.schema.fields:
+            value = value_as_text(field.name, field.dataType)
+            if value is not None:
+                hints = ", ".join(
+                    f"{str(hint).lower()} AS {label}"
+                    for label, hint in sens.name_hints(field.name).items()
+                )
+                name = literal(field.name)
+                cells.append(f"struct({name} AS column_name, {value} AS value, {hints})")
         if cells:
-            values = df.selectExpr(f"inline(array({cells}))").filter("value IS NOT NULL")
+            values = df.selectExpr(f"inline(array({', '.join(cells)}))").filter("value IS NOT NULL")
             parts.append(values.withColumn("table_name", F.lit(table)))
-    labelled = reduce(DataFrame.unionByName, parts).withColumn("label", sens.value_label("value"))
+    hinted = {label: label for label in sens.NAME_HINTS}
+    labelled = reduce(DataFrame.unionByName, parts).withColumn(
+        "label", sens.value_label("value", hinted)
+    )
     prefix = F.when(F.col("label").isNotNull(), F.substring("value", 1, sens.PREFIX_LENGTH))
     by_prefix = (
         labelled.groupBy("table_name", "column_name", "label", prefix.alias("prefix"))
@@ -138,13 +156,28 @@ def text_findings(df: DataFrame, column: str, labels: list[str] | None = None) -
     return wide.select(F.inline(F.array(*rows)))
 
 
-def mask_columns(df: DataFrame, findings: dict[str, str], digest: bool = False) -> DataFrame:
-    """Mask columns by finding (column -> label); the other columns stay as they are."""
+def mask_columns(
+    df: DataFrame, findings: dict[str, str], digest: bool = False, cells: bool = False
+) -> DataFrame:
+    """Mask columns by finding (column -> label); the other columns stay as they are.
+
+    With ``cells`` single values of the other text columns are masked too where they have a
+    label of their own, as in a column of which too few values have one for a finding.
+    """
     masked = {
         name: sens.mask_digest(quoted(name)) if digest else sens.mask_value(quoted(name), label)
         for name, label in findings.items()
         if name in df.columns
     }
+    if cells:
+        for field in df.schema.fields:
+            if isinstance(field.dataType, T.StringType) and field.name not in masked:
+                hints = {k: str(h).lower() for k, h in sens.name_hints(field.name).items()}
+                label, value = sens.value_label(tick(field.name), hints), quoted(field.name)
+                hidden = F.when(
+                    sens.kind_of(label) == "PHI", F.lit(sens.REDACTED)
+                ).otherwise(sens.mask_prefix(value))
+                masked[field.name] = F.when(label.isNotNull(), hidden).otherwise(value)
     return df.withColumns(masked)
 
 

@@ -123,14 +123,15 @@ def complete(
 
 
 def hashed_terms(df: DataFrame, key: str, column: str, dimensions: int = 256) -> DataFrame:
-    """Sparse term-frequency vector per row: (key, bucket, weight), words hashed to buckets."""
+    """Sparse term-frequency vector per row: (key, bucket, weight), words hashed to buckets.
+
+    Words are hashed before anything is counted, so a row sends at most ``dimensions`` counts
+    through the one shuffle."""
     bucket = F.conv(F.substring(F.md5(F.col("word").cast("binary")), 1, 6), 16, 10).cast("int")
     return (
         _word_rows(df, column, key)
-        .groupBy(key, "word")
-        .agg(F.count(F.lit(1)).alias("n"))
         .groupBy(key, (bucket % dimensions).alias("bucket"))
-        .agg(F.sum("n").alias("weight"))
+        .agg(F.count(F.lit(1)).alias("weight"))
     )
 
 

@@ -22,13 +22,14 @@ UPDATED = dt.datetime(2024, 2, 1)
 
 _CONTACT_TYPES = [("c_custkey", "bigint"), *[(c, "string") for c in CONTACT_COLUMNS]]
 _CONTACTS = f"({contacts_sql()}) AS contacts"
-_FOUND_IN = {"contacts": list(CONTACT_COLUMNS), "customer": ["c_name", "c_mktsegment"]}
+# What a later onboarding brings: customer again, and the new contact file.
+_FOUND_IN = {"contacts": _CONTACT_TYPES, "customer": sqltext.columns("customer")}
 
 
 def _found(spark, sf_dir) -> DataFrame:
-    customer = table(spark, sf_dir, "customer").select("c_name", "c_mktsegment")
-    people = contacts(spark, sf_dir).drop("c_custkey")
-    return sens.value_findings({"contacts": people, "customer": customer})
+    return sens.value_findings(
+        {"contacts": contacts(spark, sf_dir), "customer": table(spark, sf_dir, "customer")}
+    )
 
 
 def _counts(every: dict[str, DataFrame]) -> DataFrame:
@@ -194,14 +195,14 @@ def _ddl_sql(type_column: str) -> str:
         "concat('CREATE OR REPLACE TABLE LAKE.STAGING.', table_name, ' (', chr(10), "
         f"string_agg({line}, ',' || chr(10) ORDER BY ordinal), chr(10), chr(10), ');') AS ddl, "
         f"table_name AS ddl_table_name FROM ({rows}) AS c LEFT JOIN (SELECT table_name, "
-        f"column_name, label FROM ({findings_sql(_FOUND_IN)}) AS g) AS f "
+        f"column_name, label FROM ({findings_sql()}) AS g) AS f "
         "USING (table_name, column_name) GROUP BY table_name"
     )
 
 
 def _proposals(spark, sf_dir, type_column) -> DataFrame:
     every = {**tables(spark, sf_dir), "contacts": contacts(spark, sf_dir)}
-    found = _found(spark, sf_dir).select("table_name", "column_name", "label")
+    found = sens.value_findings(every).select("table_name", "column_name", "label")
     columns = dic.narrow_types(every).join(found, ["table_name", "column_name"], "left")
     texts = dic.ddl_texts(columns, "LAKE", "STAGING", type_column)
     return texts.withColumn("ddl_table_name", dic.ddl_table_name(F.col("ddl")))

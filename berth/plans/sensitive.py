@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from berth.functions import sensitive as sens
 from berth.operators import profile as prof
 from berth.operators import sensitive as op
-from berth.operators.layout import spread
 from berth.plans import sqltext
 from berth.plans.registry import query, table, tables
 
@@ -73,27 +72,66 @@ def _luhn_sql(value: str) -> str:
     )
 
 
-def label_sql(value: str) -> str:
+def label_sql(value: str, name: str | None = None) -> str:
+    """Label of a value; with a column name, its hints take part."""
+    hints = sens.name_hints(name) if name else {}
     tests = []
     for label in sens.PII_LABELS + sens.PHI_LABELS:
         test = f"regexp_full_match({value}, '{sens.SHAPES[label]}')"
         if label == "CREDIT_CARD":
             test = f"CASE WHEN {test} THEN {_luhn_sql(value)} ELSE false END"
+        if hints.get("PHONE") and label == "PHONE":
+            test = f"({test} OR regexp_full_match({value}, '{sens.BARE_PHONE}'))"
+        if label == "DATE_OF_BIRTH" and hints and not hints[label]:
+            continue
         tests.append(f"WHEN {test} THEN '{label}'")
     return f"CASE {' '.join(tests)} END"
 
 
-# Tables whose text and date columns are searched value by value.
+# Numbers and times among the contacts, as schema inference leaves them.
+TYPED_CONTACTS = {
+    "card_number": ("CAST(4111111111111111 AS BIGINT)", "bigint"),
+    "mobile": ("CAST(2015550000 + c_custkey % 10000 AS BIGINT)", "bigint"),
+    "birth_time": ("CAST('1980-02-03' AS TIMESTAMP_NTZ)", "timestamp_ntz"),
+    "opened": ("CAST('1980-02-03' AS TIMESTAMP_NTZ)", "timestamp_ntz"),
+}
+
+
+def typed_contacts(spark, sf_dir) -> DataFrame:
+    customer = table(spark, sf_dir, "customer")
+    return customer.selectExpr("c_custkey", *[f"{e} AS {n}" for n, (e, _) in TYPED_CONTACTS.items()])
+
+
+def typed_contacts_sql() -> str:
+    cells = ", ".join(f"{e} AS {n}" for n, (e, _) in TYPED_CONTACTS.items())
+    return f"SELECT c_custkey, {cells} FROM customer".replace("TIMESTAMP_NTZ", "TIMESTAMP")
+
+
+# All columns of all tables whose values can be searched, with their types.
 _SEARCHED = {
-    "contacts": ["person", *[c for c in CONTACT_COLUMNS if c != "person"]],
-    "customer": ["c_name", "c_mktsegment"],
-    "supplier": ["s_name"],
-    "part": ["p_name", "p_brand", "p_type"],
-    "orders": ["o_orderstatus", "o_orderpriority"],
-    "documents": ["text", "lang", "source"],
+    "contacts": [("c_custkey", "bigint"), *[(c, "string") for c in CONTACT_COLUMNS]],
+    "typed_contacts": [("c_custkey", "bigint"), *[(c, t) for c, (_, t) in TYPED_CONTACTS.items()]],
+    **{
+        t: [(c, kind) for c, kind in sqltext.columns(t) if not kind.startswith("array")]
+        for t in sqltext.COLUMNS
+    },
 }
 
 
+def _relation(name: str) -> str:
+    own = {"contacts": contacts_sql, "typed_contacts": typed_contacts_sql}
+    return f"({own[name]()}) AS {name}" if name in own else name
+
+
+def _as_text_sql(name: str, dtype: str) -> str:
+    if dtype == "timestamp_ntz":
+        return (
+            f"CASE WHEN {name} = date_trunc('day', {name}) THEN CAST(CAST({name} AS DATE) AS "
+            f"VARCHAR) ELSE CAST({name} AS VARCHAR) END"
+        )
+    return f"CAST({name} AS VARCHAR)"
+
+
 def _order_sql(label: str) -> str:
     labels = sens.PII_LABELS + sens.PHI_LABELS
     return "CASE " + label + " " + " ".join(
@@ -106,15 +144,15 @@ def _kind_sql(label: str) -> str:
     return f"CASE WHEN {label} IN ({pii}) THEN 'PII' ELSE 'PHI' END"
 
 
-def findings_sql(searched: dict[str, list[str]] = _SEARCHED) -> str:
+def findings_sql(searched: dict[str, list[tuple[str, str]]] = _SEARCHED) -> str:
     """One finding per column at most, as a query text over CTE-free relations."""
     parts = []
     for name, cols in searched.items():
-        relation = f"({contacts_sql()}) AS contacts" if name == "contacts" else name
-        for c in cols:
+        for c, dtype in cols:
             parts.append(
-                f"SELECT '{name}' AS table_name, '{c}' AS column_name, {label_sql(c)} AS label, "
-                f"{c} AS v FROM {relation} WHERE {c} IS NOT NULL"
+                f"SELECT '{name}' AS table_name, '{c}' AS column_name, {label_sql('v', c)} AS label, "
+                f"v FROM (SELECT {_as_text_sql(c, dtype)} AS v FROM {_relation(name)}) "
+                "WHERE v IS NOT NULL"
             )
     values = " UNION ALL ".join(parts)
     return (
@@ -135,12 +173,8 @@ def findings_sql(searched: dict[str, list[str]] = _SEARCHED) -> str:
 
 
 def searched_tables(spark, sf_dir) -> dict[str, DataFrame]:
-    found = {
-        n: spread(table(spark, sf_dir, n).select(*cols))
-        for n, cols in _SEARCHED.items()
-        if n != "contacts"
-    }
-    return {"contacts": contacts(spark, sf_dir), **found}
+    own = {"contacts": contacts(spark, sf_dir), "typed_contacts": typed_contacts(spark, sf_dir)}
+    return {**own, **tables(spark, sf_dir)}
 
 
 @query("pii_by_value", findings_sql())
@@ -253,20 +287,25 @@ def _find_sql(label: str) -> str:
 )
 def pii_in_text(spark, sf_dir):
     texts = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return op.text_findings(spread(texts, "doc_id"), "text")
+    return op.text_findings(texts, "text")
 
 
 def redact_sql(text: str) -> str:
-    return reduce(
-        lambda t, x: f"regexp_replace({t}, '{sens.SHAPES[x]}', '[{x}]', 'g')",
-        sens.TEXT_LABELS,
-        text,
-    )
-
-
-@query("mask_text", f"SELECT doc_id, {redact_sql('text')} AS redacted FROM documents")
+    """Nested SELECTs, one for each label, so that a text is written down once a step."""
+    step = f"SELECT doc_id, {text} AS t FROM documents"
+    for x in sens.TEXT_LABELS:
+        if x == "CREDIT_CARD":
+            cards = f"list_filter(regexp_extract_all(t, '{sens.SHAPES[x]}'), lambda x: {_luhn_sql('x')})"
+            put = f"list_reduce(list_prepend(t, {cards}), lambda a, b: replace(a, b, '[{x}]'))"
+        else:
+            put = f"regexp_replace(t, '{sens.SHAPES[x]}', '[{x}]', 'g')"
+        step = f"SELECT doc_id, {put} AS t FROM ({step})"
+    return f"SELECT doc_id, t AS redacted FROM ({step})"
+
+
+@query("mask_text", redact_sql("text"))
 def mask_text(spark, sf_dir):
-    texts = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
     return texts.select("doc_id", sens.redact(F.col("text")).alias("redacted"))
 
 
@@ -294,16 +333,24 @@ _CONTACT_LABELS = {
 }
 
 
+def _mask_cell_sql(name: str) -> str:
+    label = label_sql(name, name)
+    return (
+        f"CASE WHEN {label} IS NULL THEN {name} WHEN {_kind_sql(label)} = 'PHI' THEN "
+        f"'***REDACTED***' ELSE concat(substr({name}, 1, 3), '***') END AS {name}"
+    )
+
+
 @query(
     "masked_table",
-    "SELECT c_custkey, remark, segment, "
+    f"SELECT c_custkey, {_mask_cell_sql('remark')}, {_mask_cell_sql('segment')}, "
     + ", ".join(_mask_sql(n, x) for n, x in _CONTACT_LABELS.items())
     + f" FROM ({contacts_sql()}) AS contacts",
 )
 def masked_table(spark, sf_dir):
     people = contacts(spark, sf_dir)
     found = op.value_findings({"contacts": people})
-    return op.mask_columns(people, op.findings_map(found, "contacts"))
+    return op.mask_columns(people, op.findings_map(found, "contacts"), cells=True)
 
 
 @query(
@@ -316,13 +363,11 @@ def tokenized_table(spark, sf_dir):
 
 
 def _tags_sql() -> str:
-    cols = [
-        (t, c) for t, cs in _SEARCHED.items() for c in (["c_custkey", *cs] if t == "contacts" else cs)
-    ]
     rows = " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS non_null_count FROM "
-        + (f"({contacts_sql()}) AS contacts" if t == "contacts" else t)
-        for t, c in cols
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS non_null_count "
+        f"FROM {_relation(t)}"
+        for t, cs in {**_SEARCHED, "embeddings": sqltext.columns("embeddings")}.items()
+        for c, _ in cs
     )
     named = f"({_name_test(sens.PII_NAME_PARTS)} OR {_name_test(sens.PHI_NAME_PARTS)})"
     return (

@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 from berth.functions import sensitive as sens
 from berth.functions import text as tx
 from berth.operators import textops as op
-from berth.operators.layout import spread
 from berth.plans.registry import query, table
 
 def documents(spark, sf_dir, *more):
-    """Texts of the documents, spread over the cores where the file has few splits."""
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", *more), "doc_id")
+    return table(spark, sf_dir, "documents").select("doc_id", "text", *more)
 
 
 # Frequent words of the languages in the documents table.

@@ -15,6 +15,7 @@ VALUES = {
     "4111 1111 1111 1112": None,
     "12 Long Harbour Rd": "ADDRESS",
     "Jane Roe": "NAME",
+    "José Ruiz": "NAME",
     "1984-07-09": "DATE_OF_BIRTH",
     "2023-07-09": None,
     "AB1234567": "PASSPORT",
@@ -65,3 +66,24 @@ def test_tags_stay_with_the_schema(spark):
     assert df.schema["a"].metadata["tag"] == "PII"
     with pytest.raises(ValueError):
         op.attach_tags(df, {"a": "SECRET"})
+
+
+def test_numbers_and_times_are_searched(spark):
+    df = spark.sql(
+        "SELECT 4111111111111111 AS card, 2015550123 AS phone, 2015550123 AS amount, "
+        "TIMESTAMP '1980-02-03 00:00:00' AS birth_time, TIMESTAMP '1980-02-03 00:00:00' AS sold"
+    )
+    found = {r["column_name"]: r["label"] for r in op.value_findings({"t": df}).collect()}
+    assert found == {"card": "CREDIT_CARD", "phone": "PHONE", "birth_time": "DATE_OF_BIRTH"}
+
+
+def test_single_values_are_masked_where_a_column_has_no_finding(spark):
+    df = spark.createDataFrame([("a@b.example.org",), ("none",), (None,), ("E11.9",)], "remark string")
+    rows = [r["remark"] for r in op.mask_columns(df, {}, cells=True).collect()]
+    assert rows == ["a@b***", "none", None, "***REDACTED***"]
+
+
+def test_digits_without_the_check_digit_stay(spark):
+    df = spark.createDataFrame([("order 1234567890123, card 4111 1111 1111 1111",), (None,)], "t string")
+    rows = [r["t"] for r in df.select(sens.redact(F.col("t")).alias("t")).collect()]
+    assert rows == ["order 1234567890123, card [CREDIT_CARD]", None]
