@@ -67,6 +67,21 @@ def run_headers(steps: DataFrame) -> DataFrame:
     )
 
 
+def headers_since(
+    steps: DataFrame, as_of: dt.datetime, days: float = 0, hours: float = 0
+) -> DataFrame:
+    """Headers of the runs that started in the span before ``as_of``.
+
+    All steps of such a run lie in the span, so only these are aggregated, and the span reaches
+    the scan. Of what is older just run and time are read, to leave out runs that had begun.
+    """
+    begun = F.col("start_time") < instant(as_of - dt.timedelta(days=days, hours=hours))
+    recent = steps.filter(since(as_of, days, hours) | F.col("start_time").isNull())
+    older = steps.filter(begun).select(F.col("workflow_id").alias("_begun")).distinct()
+    started = recent.join(older, F.col("workflow_id").eqNullSafe(F.col("_begun")), "left_anti")
+    return run_headers(started)
+
+
 def lifecycle(events: DataFrame) -> DataFrame:
     """Current state of runs from status events (workflow_id, status, at, seq).
 

@@ -38,6 +38,11 @@ def runs(spark, sf_dir):
     return log.run_headers(steps(spark, sf_dir))
 
 
+def started(spark, sf_dir, days=0, hours=0):
+    """Runs that started in the span before AS_OF."""
+    return log.headers_since(steps(spark, sf_dir), AS_OF, days, hours)
+
+
 _STEPS = (
     "steps AS (SELECT event_id AS execution_id, concat(CAST(user_id AS VARCHAR), '-', "
     "strftime(ts, '%Y%m%d')) AS workflow_id, CASE event_id % 3 WHEN 0 THEN 'PROFILING' WHEN 1 "
@@ -136,7 +141,7 @@ def latest_turns(spark, sf_dir):
     f"count(*) FILTER (WHERE status = 'IN_PROGRESS') AS in_progress FROM runs WHERE {_from('7 DAY')}",
 )
 def runs_7d(spark, sf_dir):
-    return log.totals(runs(spark, sf_dir), AS_OF)
+    return log.totals(started(spark, sf_dir, days=7), AS_OF)
 
 
 @query(
@@ -146,7 +151,7 @@ def runs_7d(spark, sf_dir):
 )
 def runs_24h(spark, sf_dir):
     # The tables end a day before as_of, so the span of 24 hours is doubled.
-    return log.recent_summary(runs(spark, sf_dir), AS_OF, hours=48)
+    return log.recent_summary(started(spark, sf_dir, hours=48), AS_OF, hours=48)
 
 
 @query("agents_active", f"{_WITH} SELECT count(DISTINCT agent_name) AS agent_count FROM steps")
@@ -178,7 +183,7 @@ def runs_failed_recent(spark, sf_dir):
     f"FROM runs WHERE {_from('7 DAY')} GROUP BY ALL",
 )
 def runs_daily(spark, sf_dir):
-    return log.per_day(runs(spark, sf_dir), AS_OF)
+    return log.per_day(started(spark, sf_dir, days=7), AS_OF)
 
 
 _MONITOR = (
@@ -188,7 +193,9 @@ _MONITOR = (
 
 
 def _monitor(spark, sf_dir):
-    return log.monitor(runs(spark, sf_dir), AS_OF, ["FAILED", "IN_PROGRESS"], days=14)
+    return log.monitor(
+        started(spark, sf_dir, days=14), AS_OF, ["FAILED", "IN_PROGRESS"], days=14
+    )
 
 
 @query("runs_monitor", f"{_WITH}, {_MONITOR} SELECT {_RUN_SELECT} FROM monitor")
@@ -258,7 +265,7 @@ def run_status(spark, sf_dir):
     f"count(*) FILTER (WHERE status = 'FAILED') AS failed_count FROM runs WHERE {_from('26 HOUR')}",
 )
 def perf_overall(spark, sf_dir):
-    return log.performance(runs(spark, sf_dir), AS_OF, hours=26)
+    return log.performance(started(spark, sf_dir, hours=26), AS_OF, hours=26)
 
 
 _AGENT = (

@@ -237,3 +237,15 @@ def test_positions_of_steps_without_run_or_time_and_of_one_hour(spark):
     for run in {r[0] for r in every}:
         own = sorted((r[4] is not None, r[4] or T0, r[1]) for r in every if r[0] == run)
         assert [got[r[2]] for r in own] == list(range(1, len(own) + 1))
+
+
+def test_headers_of_a_window_equal_all_headers_in_it(spark):
+    rows, df = some_steps(spark, 300)
+    odd = [(None, 800, "A", "FAILED", at(14), None, 1, None, None), (None, 801, "A", "FAILED", at(2), None, 1, None, None)]
+    odd += [("late", 802, "A", "FAILED", at(14), None, 1, None, None), ("late", 803, "A", "COMPLETED", None, None, 1, None, None)]
+    df = df.unionByName(steps(spark, odd))
+    for hours in (1, 3, 8):
+        window = log.since(at(15), hours=hours)
+        every = log.run_headers(df).filter(window)
+        some = log.headers_since(df, at(15), hours=hours).filter(window)
+        assert sorted(map(str, some.collect())) == sorted(map(str, every.collect()))

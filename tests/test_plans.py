@@ -84,3 +84,17 @@ def test_inference_of_a_wide_csv_is_one_scan(spark, sf_dir):
     assert len(text.columns) > 30
     assert plan_of(prof.infer_text_schema(text)).count("FileScan csv") == 1
     assert plan_of(dic.narrow_types({"wide": text})).count("FileScan csv") == 1
+
+
+@pytest.mark.parametrize("name", ["runs_7d", "runs_24h", "runs_daily", "runs_monitor", "perf_overall"])
+def test_report_windows_reach_the_scan(name, spark, sf_dir):
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    scans = plan.split("FileScan")[1:]
+    assert any("GreaterThanOrEqual(ts" in s for s in scans)
+    older = [s for s in scans if "LessThan(ts" in s]
+    assert older and all("props" not in s.split("ReadSchema")[1] for s in older)
+
+
+def test_hashed_terms_shuffle_once(spark, sf_dir):
+    plan = plan_of(QUERIES["hashed_terms"](spark, sf_dir))
+    assert plan.count("Exchange") == 1
