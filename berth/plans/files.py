@@ -153,9 +153,14 @@ def preview_rows(spark, sf_dir):
     return readers.preview(table(spark, sf_dir, "part"), ["p_partkey"])
 
 
-@query("sample_share")
+@query(
+    "sample_share",
+    "SELECT o_orderkey FROM orders WHERE "
+    "CAST(concat('0x', substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 6)) AS INTEGER) < 1677721",
+)
 def sample_share(spark, sf_dir):
-    return readers.sample_share(table(spark, sf_dir, "orders"), 0.1).select("o_orderkey")
+    orders = table(spark, sf_dir, "orders")
+    return readers.sample_share(orders, 0.1, keys=["o_orderkey"]).select("o_orderkey")
 
 
 @query(
@@ -253,3 +258,71 @@ def corrupt_lines(spark, sf_dir):
         .groupBy(F.col("corrupt_line").alias("line"))
         .agg(F.count(F.lit(1)).alias("lines"))
     )
+
+
+@query("read_json_whole", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def read_json_whole(spark, sf_dir):
+    # A folder of documents, each an array over many lines.
+    customer = table(spark, sf_dir, "customer")
+    documents = (
+        customer.select(
+            F.floor(F.col("c_custkey") / 500).alias("file"),
+            F.to_json(F.struct("c_custkey", "c_name", "c_acctbal")).alias("object"),
+        )
+        .groupBy("file")
+        .agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("object"), ",\n"), F.lit("\n]")).alias("value"))
+    )
+    path = scratch_dir(spark, "json-documents")
+    documents.repartition("file").write.partitionBy("file").text(path)
+    read = readers.read_staged(spark, path, readers.JSON_FORMAT)
+    return read.select("c_custkey", "c_name", "c_acctbal")
+
+
+@query(
+    "read_csv_headers",
+    "SELECT n_nationkey, n_name, CASE WHEN n_regionkey < 3 THEN n_regionkey END AS n_regionkey "
+    "FROM nation",
+)
+def read_csv_headers(spark, sf_dir):
+    # Files of other columns in another order; what a file lacks is NULL.
+    nation = table(spark, sf_dir, "nation")
+    path = scratch_dir(spark, "csv-headers")
+    first = nation.filter("n_regionkey < 3").select("n_regionkey", "n_name", "n_nationkey")
+    second = nation.filter("n_regionkey >= 3").select("n_nationkey", "n_name")
+    for rows in (first, second):
+        rows.write.mode("append").option("header", True).csv(path)
+    schema = "n_nationkey int, n_name string, n_regionkey int"
+    read = readers.read_csv(spark, path, schema=schema, by_header=True)
+    return read.select("n_nationkey", "n_name", "n_regionkey")
+
+
+@query(
+    "read_csv_errors",
+    "SELECT CAST(c_custkey AS BIGINT) AS c_custkey, CASE WHEN c_custkey % 4 > 0 THEN c_acctbal END "
+    "AS c_acctbal, CASE WHEN c_custkey % 4 = 0 THEN 1 ELSE 0 END AS lost FROM customer",
+)
+def read_csv_errors(spark, sf_dir):
+    path = scratch_dir(spark, "csv-errors")
+    table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey", "if(c_custkey % 4 = 0, 'unknown', CAST(c_acctbal AS STRING)) AS c_acctbal"
+    ).write.option("header", True).csv(path)
+    schema = "c_custkey bigint, c_acctbal double"
+    read = readers.read_csv(spark, path, schema=schema, with_errors=True)
+    return read.select("c_custkey", "c_acctbal", F.size(readers.CAST_ERRORS).alias("lost"))
+
+
+@query(
+    "schema_declared",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{t}' AS data_type, {i} AS order_id, count({c}) AS given "
+        "FROM lineitem"
+        for i, (c, t) in enumerate(sqltext.columns("lineitem"))
+    ),
+)
+def schema_declared(spark, sf_dir):
+    lineitem = readers.read_staged(spark, f"{sf_dir}/lineitem.parquet", readers.PARQUET_FORMAT)
+    counts = prof.column_counts({"": lineitem}).select(
+        "column_name", F.col("non_null_count").alias("given")
+    )
+    rows = prof.declared_schema(lineitem).select("column_name", "data_type", "order_id")
+    return rows.join(counts, "column_name")

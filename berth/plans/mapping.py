@@ -22,6 +22,8 @@ SCHEMAS = {
     "supply": ["supplier", "part"],
     "geo": ["nation", "region"],
     "text": ["documents", "pages", "conversations", "labels", "benchmark"],
+    "log": ["events"],
+    "vectors": ["embeddings"],
 }
 
 # Targets for the orders table, with the name prefix of its columns left out.

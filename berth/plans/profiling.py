@@ -53,6 +53,57 @@ def profile_percentiles(spark, sf_dir):
     return prof.percentiles(table(spark, sf_dir, "lineitem"), _NUMERIC)
 
 
+@query(
+    "profile_approx_bounds",
+    "SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, count({c}) AS non_null_count, "
+        "true AS within FROM lineitem"
+        for c, _ in sqltext.columns("lineitem")
+    ) + ") AS t",
+)
+def profile_approx_bounds(spark, sf_dir):
+    """Whether each approximate distinct count is within four standard errors of the exact one."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    exact = prof.profile(lineitem).select("column_name", F.col("distinct_count").alias("true_count"))
+    error = F.abs(F.col("distinct_count") - F.col("true_count"))
+    return (
+        prof.profile(lineitem, distinct="approx", rsd=0.05)
+        .join(F.broadcast(exact), "column_name")
+        .select(
+            "column_name", "row_count", "non_null_count",
+            (error <= F.col("true_count") * 0.2 + 1).alias("within"),
+        )
+    )
+
+
+@query(
+    "profile_percentile_bounds",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({s} AS DOUBLE) AS share, true AS within, "
+        f"count({c}) AS given FROM lineitem"
+        for c in _NUMERIC
+        for s in (0.25, 0.5, 0.75)
+    ),
+)
+def profile_percentile_bounds(spark, sf_dir):
+    """Whether the share of values below and up to each percentile encloses the share asked for,
+    give or take the sketch's error."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    found = prof.percentiles(lineitem, _NUMERIC)
+    values = lineitem.select(*[F.col(c).cast("double").alias(c) for c in _NUMERIC]).unpivot(
+        [], _NUMERIC, "column_name", "v"
+    )
+    # A few rows per column.
+    ranks = values.join(F.broadcast(found), "column_name").groupBy("column_name", "share").agg(
+        F.count("v").alias("given"),
+        F.count_if(F.col("v") < F.col("value")).alias("below"),
+        F.count_if(F.col("v") <= F.col("value")).alias("upto"),
+    )
+    wanted, slack = F.col("share") * F.col("given"), F.col("given") * 0.001 + 1
+    within = (F.col("below") <= wanted + slack) & (F.col("upto") >= wanted - slack)
+    return ranks.select("column_name", "share", within.alias("within"), "given")
+
+
 _COUNTED = ["l_returnflag", "l_linestatus", "l_linenumber", "l_suppkey", "l_partkey"]
 
 

@@ -275,3 +275,15 @@ def embed_topk(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     top = op.nearest(vectors, "vec_id", "embedding", op.centroid(vectors, "embedding"))
     return top.withColumn("cosine", F.round("cosine", 6))
+
+
+@query(
+    "quote_text",
+    "SELECT doc_id, replace(concat(lang, chr(39), 's ', source), chr(39), chr(39) || chr(39)) "
+    "AS quoted FROM documents",
+)
+def quote_text(spark, sf_dir):
+    named = F.concat("lang", F.lit("'s "), "source")
+    return documents(spark, sf_dir, "lang", "source").select(
+        "doc_id", tx.quote_sql(named).alias("quoted")
+    )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from berth.operators.layout import literal
-from berth.operators.profile import infer_text_schema, tick
+from berth.operators.profile import infer_text_schema, quoted, tick
 
 # Names of the file formats, and cells that stand for no value.
 CSV_FORMAT = "CSV_FORMAT"
@@ -170,9 +170,19 @@ def sample(df: DataFrame, keys: list[str], n: int = SAMPLE_SIZE) -> DataFrame:
     return df.orderBy(*keys).limit(n)
 
 
-def sample_share(df: DataFrame, share: float, seed: int = 42) -> DataFrame:
-    """A share of the rows, repeatable by seed; no shuffle and no sort."""
-    return df.sample(fraction=share, seed=seed)
+def sample_share(
+    df: DataFrame, share: float, seed: int = 42, keys: list[str] | None = None
+) -> DataFrame:
+    """A share of the rows; no shuffle and no sort.
+
+    By ``seed`` the draw depends on how the rows are laid out in files. By ``keys`` it depends
+    on the digest of the key only, so the same rows are drawn from any copy of the table.
+    """
+    if keys is None:
+        return df.sample(fraction=share, seed=seed)
+    text = F.concat_ws("|", *[quoted(k).cast("string") for k in keys])
+    drawn = F.conv(F.substring(F.md5(text.cast("binary")), 1, 6), 16, 10).cast("int")
+    return df.filter(drawn < F.lit(int(share * 16**6)))
 
 
 def preview(df: DataFrame, keys: list[str]) -> DataFrame:
