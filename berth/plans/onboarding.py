@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +79,13 @@ class Store:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def holds(self, name: str) -> bool:
+        """Whether anything has been written under the name."""
+        try:
+            return bool(self.read(name).columns)
+        except AnalysisException:
+            return False
+
     def log(self, **values) -> None:
         row = {part.split(" ")[0]: None for part in LOG_LAYOUT.split(", ")}
         row.update({name: None if v is None else str(v) for name, v in values.items()})
@@ -150,8 +158,14 @@ def onboard(
             columns.select("table_name", "column_name", "data_type"),
             frames["findings"],
             source_system,
-        ).select(*dic.DICTIONARY_KEY, *dic.UPDATED_FIELDS, log.instant(_now()).alias("updated_at"))
-        frames["dictionary"] = store.append("dictionary", entries, workflow_id)
+        ).select(*dic.DICTIONARY_KEY, *dic.UPDATED_FIELDS)
+        now = log.instant(_now())
+        rows = entries.withColumns({"created_at": now, "updated_at": now})
+        if store.holds("dictionary"):
+            # Known columns keep the day they were first seen.
+            merged = dic.upsert_dictionary(dictionary_state(store), entries, now)
+            rows = merged.join(entries.select(*dic.DICTIONARY_KEY), dic.DICTIONARY_KEY, "left_semi")
+        frames["dictionary"] = store.append("dictionary", rows, workflow_id)
         return texts.PROPOSAL_TEXT % (table, len(df.columns))
 
     def mapping(df: DataFrame) -> str:
@@ -184,6 +198,9 @@ def onboard(
         try:
             if df is None:
                 df = readers.read_staged(spark, path, file_format)
+                if file_format != readers.PARQUET_FORMAT:
+                    # Text is parsed once; all steps read typed columns.
+                    df = store.append("landing", df, workflow_id)
             summary = steps[agent](df)
         except Exception as error:
             reason = sinks.ERROR_SUMMARY % sinks.error_condition(error)
@@ -212,6 +229,8 @@ def onboard(
             summary=summary,
         )
         done.append(agent)
+    steps_done = step_states(store).filter(F.col("workflow_id") == workflow_id)
+    frames["metrics"] = store.append("metrics", log.step_metrics(steps_done), workflow_id)
     summary = texts.RUN_TEXT % len(done)
     store.log(
         **common,

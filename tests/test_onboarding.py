@@ -44,7 +44,7 @@ def test_failed_run_is_logged(spark, store, tmp_path):
     path = tmp_path / "feed.csv"
     path.write_text(FEED)
     kept = onb.onboard(spark, store, str(path), workflow_type=onb.PROFILING_ONLY)
-    assert set(kept.frames) == {"profile", "findings", "issues", "history", "result"}
+    assert set(kept.frames) == {"profile", "findings", "issues", "history", "result", "metrics"}
     states = {r["workflow_id"]: r["status"] for r in onb.workflow_states(store).collect()}
     assert states == {lost.workflow_id: "FAILED", kept.workflow_id: "COMPLETED"}
     listed = onb.list_workflows(store, 5, "FAILED").collect()
@@ -52,3 +52,29 @@ def test_failed_run_is_logged(spark, store, tmp_path):
     assert onb.workflow_status(store, "nobody").count() == 0
     with pytest.raises(ValueError):
         onb.onboard(spark, store, str(path), workflow_type="OTHER")
+
+
+def test_later_runs_keep_what_is_known(spark, store, tmp_path):
+    path = tmp_path / "feed.csv"
+    path.write_text(FEED)
+    onb.onboard(spark, store, str(path))
+    first = {r["column_name"]: r for r in onb.dictionary_state(store).collect()}
+    path.write_text(FEED.replace("amount", "price"))
+    done = onb.onboard(spark, store, str(path))
+    rows = {r["column_name"]: r for r in onb.dictionary_state(store).collect()}
+    assert set(rows) == {"id", "email", "amount", "price"}
+    assert rows["id"]["created_at"] == first["id"]["created_at"] < rows["id"]["updated_at"]
+    assert rows["amount"]["updated_at"] == first["amount"]["updated_at"]
+    assert rows["price"]["created_at"] == rows["price"]["updated_at"]
+    kinds = [(r["agent_name"], r["metric_type"]) for r in done.frames["metrics"].collect()]
+    assert len(kinds) == len(set(kinds)) == 6
+
+
+def test_text_is_parsed_once_for_all_steps(spark, store, tmp_path):
+    path = tmp_path / "feed.csv"
+    path.write_text(FEED)
+    done = onb.onboard(spark, store, str(path))
+    for name in ("loaded", "profile"):
+        plan = done.frames[name]._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan csv" not in plan
+    assert store.read("landing").count() == 3
