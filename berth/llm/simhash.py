@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from berth.llm.common import record_batch, stored, texts
+from berth.llm.common import stored, texts
 from berth.llm.components import connect
 
 SHINGLE = 3
