@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from berth.llm.common import stored, texts
+from berth.llm.common import sole, stored, texts
 from berth.llm.components import connect
 
 SHINGLE = 3
@@ -67,6 +67,7 @@ def with_fingerprint(docs: DataFrame, name: str = "fp") -> DataFrame:
     at = docs.columns.index("text")
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sole("simhash", dict)  # nothing to remember; frees what an operator before did
         for batch in batches:
             found = pa.array([fingerprint(t) for t in texts(batch.column(at))], pa.int64())
             yield batch.append_column(name, found)
