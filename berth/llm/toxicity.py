@@ -60,7 +60,7 @@ SAMPLE = 2_000
 #: One labelled text in so many is left out of the counts, for the curve.
 CURVE_FOLDS = 6
 #: Expressions that a Python worker remembers in each generation.
-MEMO = 150_000
+MEMO = 100_000
 
 SCORES = "doc_id long, held_out boolean, score double, predicted int"
 _SCORE_SCHEMA = pa.schema(
