@@ -4,13 +4,14 @@ Two models, of toxic and of ordinary texts, predict each character of an express
 between non-word characters, with marks for its ends) from the characters before it. Their
 upper orders are counted per class, by texts; the lower orders are continuation counts of both
 classes together, so that rare expressions fall back on the same shared estimate and tell
-little. The counts of all labelled texts are gathered by a shuffle, first per word, then per
-n-gram.
+little. The counts of all labelled texts but those drawn for the curve are gathered by a shuffle,
+first per word, then per n-gram.
 
 A text is compared passage by passage: the difference of the two log-likelihoods of a passage
 is divided by its length. What is scored is the most toxic expression, the most toxic passage
 of PASSAGE expressions and the whole text; a logistic curve through these three, fitted on a
-bounded sample of labelled texts that were left out of the counts, gives the score.
+bounded sample of labelled texts, gives the score. Only this sample, at most SAMPLE texts of each
+class, is left out of the counts.
 
 Bounds, all independent of the corpus: the models keep at most MAX_GRAMS n-grams
 (the most frequent ones; the others are estimated by their backoff) and the curve is fitted on at most
@@ -57,8 +58,9 @@ PASSAGE = 4
 LONGEST = 40
 MAX_GRAMS = 400_000
 SAMPLE = 2_000
-#: One labelled text in so many is left out of the counts, for the curve.
-CURVE_FOLDS = 6
+#: One labelled text in so many, but no more than SAMPLE of a class, is left out of the counts
+#: and serves the curve.
+CURVE_SHARE = 6
 #: Expressions that a Python worker remembers in each generation.
 MEMO = 100_000
 
@@ -341,13 +343,24 @@ def _inputs(rows: np.ndarray) -> np.ndarray:
     return np.concatenate([np.clip(rows, -30.0, 30.0) / 10.0, np.ones((len(rows), 1))], axis=1)
 
 
+def _drawn(labelled: DataFrame) -> DataFrame:
+    """(doc_id, y) of the texts for the curve: of each class one in CURVE_SHARE, SAMPLE at most,
+    drawn by a hash of the id."""
+    rows = []
+    for y, n in labelled.groupBy("y").count().collect():
+        of_class = labelled.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id")
+        rows += of_class.select("doc_id", "y").limit(min(SAMPLE, n // CURVE_SHARE)).collect()
+    return labelled.sparkSession.createDataFrame(rows, "doc_id long, y int")
+
+
 def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> Model:
     """Learn from the labelled rows of ``docs`` outside the held-out fold."""
     known = labels_of(labels, "toxic").where(fold("doc_id", folds) != held_out)
-    known = known.withColumn("curve", F.pmod(F.xxhash64("doc_id"), F.lit(CURVE_FOLDS)) == 0)
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = given.join(bounded(known), "doc_id")
-    model = fit_counts(stored(word_counts(rows.where(~F.col("curve"))), "words"))
+    labelled = stored(given.select("doc_id").join(bounded(known), "doc_id").distinct(), "labelled")
+    drawn = _drawn(labelled)
+    counted = labelled.join(F.broadcast(drawn), "doc_id", "left_anti")
+    model = fit_counts(stored(word_counts(given.join(bounded(counted), "doc_id")), "words"))
     if not model.known:
         return model
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -359,11 +372,6 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_out: int =
             found = _evidence_rows(batch.column(0), memo)
             yield record_batch(schema, [batch.column(1), *map(pa.array, found.T.copy())])
 
-    # At most SAMPLE ids of each class, drawn by a hash of the id.
-    drawn = known.where("curve").where("y = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    drawn = drawn.union(
-        known.where("curve").where("y = 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    )
     sample = (
         given.join(F.broadcast(drawn), "doc_id")
         .select("text", "y")

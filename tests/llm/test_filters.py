@@ -87,6 +87,15 @@ def test_filters_keep_whole_rows(spark, learned):
     assert len(ids - clean) < 0.05 * len(truth)
 
 
+def test_only_the_texts_of_the_curve_are_left_out_of_the_counts(spark, learned, monkeypatch):
+    given, marks, truth = learned
+    counted, count = [], toxicity.word_counts
+    monkeypatch.setattr(toxicity, "SAMPLE", 5)
+    monkeypatch.setattr(toxicity, "word_counts", lambda rows: counted.append(rows.count()) or count(rows))
+    assert toxicity.fit(given, marks).known
+    assert counted == [sum(not held_out(i, 5, 0) for i in truth) - 10]
+
+
 def test_descent_finds_the_optimum():
     # Compare with a long run of plain subgradient steps on the same objective.
     draw = np.random.default_rng(1)
