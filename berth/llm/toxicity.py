@@ -13,9 +13,10 @@ of PASSAGE expressions and the whole text; a logistic curve through these three,
 bounded sample of labelled texts, gives the score. Only this sample, at most SAMPLE texts of each
 class, is left out of the counts.
 
-Bounds, all independent of the corpus: the models keep at most MAX_GRAMS n-grams
-(the most frequent ones; the others are estimated by their backoff) and the curve is fitted on at most
-SAMPLE texts of each class.
+The models grow with the counted texts: every n-gram and context that changes an estimate is kept.
+They are sorted by Spark and streamed into files that Spark brings to every node; workers map these
+files and read the places they look up. Only the curve has a bound: at most SAMPLE texts of each
+class.
 
 Defined results: a null or empty text, and one without words, has the score of a text about
 which nothing is known; a null doc_id is scored and never learned from; several labels of one
@@ -26,6 +27,7 @@ and kept by ``keep_ordinary``.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -34,6 +36,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,7 +59,8 @@ DISCOUNT = 0.75
 PASSAGE = 4
 #: Longer expressions are cut into pieces of so many characters.
 LONGEST = 40
-MAX_GRAMS = 400_000
+#: N-grams in a row of bytes on their way to the driver's file.
+FILE_ROWS = 100_000
 SAMPLE = 2_000
 #: One labelled text in so many, but no more than SAMPLE of a class, is left out of the counts
 #: and serves the curve.
@@ -185,21 +189,72 @@ def gram_counts(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     return upper, lower
 
 
+class Table:
+    """Sorted hashes with two values each, in files that Spark brings to every node. They are mapped
+    where they are used, so that the workers of a node share what they read of them."""
+
+    def __init__(self, stem: str, rows: int):
+        self.stem, self.rows, self.mapped = stem, rows, None
+
+    def __getstate__(self) -> tuple[str, int]:
+        return self.stem, self.rows
+
+    def __setstate__(self, state: tuple[str, int]) -> None:
+        self.__init__(*state)
+
+    def _open(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.mapped is None:
+            self.mapped = tuple(
+                np.asarray(np.memmap(SparkFiles.get(f"{self.stem}.{part}"), kind, "r", shape=shape))
+                for part, kind, shape in (("keys", "<i8", self.rows), ("values", "<f8", (self.rows, 2)))
+            )
+        return self.mapped
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the keys are in the table, and the values of those."""
+        if not self.rows:
+            return np.zeros(len(keys), dtype=bool), np.zeros((0, 2))
+        table, values = self._open()
+        at = np.minimum(np.searchsorted(table, keys), self.rows - 1)
+        hit = table[at] == keys
+        return hit, values[at[hit]]
+
+
+def filed(df: DataFrame) -> Table:
+    """The rows (key, p0, p1) as a Table. The driver holds one sorted partition at a time."""
+    context = df.sparkSession.sparkContext
+    schema = pa.schema([("keys", pa.binary()), ("p", pa.binary())])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, FILE_ROWS):
+                keys, *p = (c.to_numpy() for c in batch.slice(k, FILE_ROWS).columns)
+                blobs = keys.astype("<i8").tobytes(), np.stack(p, axis=1).astype("<f8").tobytes()
+                yield record_batch(schema, [[blob] for blob in blobs])
+
+    stem, size = f"toxicity-{uuid.uuid4().hex}", 0
+    # The folder of Spark's files on the driver goes when the session ends.
+    paths = [os.path.join(SparkFiles.getRootDirectory(), f"{stem}.{part}") for part in ("keys", "values")]
+    packed = df.orderBy("key").mapInArrow(pack, "keys binary, p binary")
+    with open(paths[0], "wb") as keys, open(paths[1], "wb") as values:
+        for row in packed.toLocalIterator():
+            size += keys.write(row[0])
+            values.write(row[1])
+    if size:
+        for path in paths:
+            context.addFile(path)
+    return Table(stem, size // 8)
+
+
 @dataclass
 class Model:
-    """Sorted hashes of n-grams and contexts with what they contribute to either class."""
+    """Hashes of n-grams and contexts with what they contribute to either class."""
 
-    gram: np.ndarray
-    share: np.ndarray  # of each kept n-gram, its discounted share of its context, per class
-    context: np.ndarray
-    backoff: np.ndarray  # of each kept context, what it leaves to the next lower order, per class
+    gram: Table  # of each n-gram, its discounted share of its context, per class
+    context: Table  # of each context, what it leaves to the next lower order, per class
     curve: tuple[float, ...] = (0.0, 0.0, 0.0, 0.0)
     known: bool = True
 
-    def _rows(self, table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-        return at, table[at] == keys
-
     def deltas(self, words: list[bytes]) -> np.ndarray:
         """Toxic minus ordinary log-likelihood of each expression."""
         parts, rows = [], []
@@ -210,20 +265,26 @@ class Model:
         hashes, depth = grams(parts, ORDER)
         p = np.full((len(depth), 2), 1e-6)
         for n in range(1, ORDER + 1):
-            here = np.flatnonzero(depth >= max(n - 1, 1))
-            contexts, seen = self._rows(self.context, hashes[n - 1][here - 1].view(np.int64))
-            here, contexts = here[seen], contexts[seen]
-            value = self.backoff[contexts] * p[here]
-            found, hit = self._rows(self.gram, hashes[n][here].view(np.int64))
-            value[hit] += self.share[found[hit]]
+            # A context of an upper order is kept only if the next shorter one is, where that is of
+            # an upper order too; a share only if its context is.
+            if n <= SHARED + 1:
+                here = np.flatnonzero(depth >= max(n - 1, 1))
+            else:
+                here = here[depth[here] >= n - 1]
+            seen, backoff = self.context.find(hashes[n - 1][here - 1].view(np.int64))
+            here = here[seen]
+            value = backoff * p[here]
+            hit, share = self.gram.find(hashes[n][here].view(np.int64))
+            value[hit] += share
             p[here] = np.maximum(value, 1e-12)
         steps = np.where(depth > 0, np.log(p[:, 1] / p[:, 0]), 0.0)
         lengths = np.array([len(w.decode()) + 2 for w in parts])
         return np.bincount(np.repeat(np.array(rows), lengths), steps, len(words))
 
 
-def fit_counts(words: DataFrame, max_grams: int = MAX_GRAMS) -> Model:
-    """The two models from counts of words; tables beyond the bound keep what is most frequent."""
+def fit_counts(words: DataFrame) -> Model:
+    """The two models from counts of words. What changes no estimate is left out: n-grams without
+    a share of their context, and contexts that leave everything to the lower order."""
     upper, lower = gram_counts(words)
     d = DISCOUNT
 
@@ -244,36 +305,21 @@ def fit_counts(words: DataFrame, max_grams: int = MAX_GRAMS) -> Model:
     low_contexts = lower.groupBy("n", "context").agg(
         F.sum("types").alias("all0"), F.sum(taken("types")).alias("given0")
     )
-    shares = (
-        upper.where(F.col("ordinary") + F.col("toxic") > 1)
-        .join(contexts, ["n", "context"])
-        .select("gram", part("ordinary", "all0").alias("p0"), part("toxic", "all1").alias("p1"),
-                (F.col("ordinary") + F.col("toxic")).alias("weight"))
+    shares = upper.join(contexts, ["n", "context"]).select(
+        F.col("gram").alias("key"), part("ordinary", "all0").alias("p0"), part("toxic", "all1").alias("p1")
     )
     low_shares = lower.join(low_contexts, ["n", "context"]).select(
-        "gram", part("types", "all0").alias("p0"), part("types", "all0").alias("p1"),
-        F.lit(1 << 60).alias("weight"),
+        F.col("gram").alias("key"), part("types", "all0").alias("p0"), part("types", "all0").alias("p1")
     )
-    backoffs = contexts.where(F.col("all0") + F.col("all1") > 1).select(
-        "context", left("all0", "given0").alias("p0"), left("all1", "given1").alias("p1"),
-        (F.col("all0") + F.col("all1")).alias("weight"),
+    backoffs = contexts.select(
+        F.col("context").alias("key"), left("all0", "given0").alias("p0"), left("all1", "given1").alias("p1")
     )
     low_backoffs = low_contexts.select(
-        "context", left("all0", "given0").alias("p0"), left("all0", "given0").alias("p1"),
-        F.lit(1 << 60).alias("weight"),
+        F.col("context").alias("key"), left("all0", "given0").alias("p0"), left("all0", "given0").alias("p1")
     )
-
-    def table(df: DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
-        rows = df.orderBy(F.desc("weight"), key).limit(max_grams).select(key, "p0", "p1").toArrow()
-        keys = rows.column(0).to_numpy()
-        order = np.argsort(keys, kind="stable")
-        values = np.stack([rows.column(c).to_numpy() for c in (1, 2)], axis=1)
-        return keys[order], values[order]
-
-    gram, share = table(shares.unionByName(low_shares), "gram")
-    context, backoff = table(backoffs.unionByName(low_backoffs), "context")
-    known = len(gram) > 0 and len(context) > 0
-    return Model(gram, share, context, backoff, known=known)
+    gram = filed(shares.unionByName(low_shares).where("p0 > 0 OR p1 > 0"))
+    context = filed(backoffs.unionByName(low_backoffs).where("p0 < 1 OR p1 < 1"))
+    return Model(gram, context, known=not words.isEmpty())
 
 
 class Expressions(dict):

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import TEXTS, docs, invented, labels
 
@@ -87,6 +88,17 @@ def test_filters_keep_whole_rows(spark, learned):
     assert len(ids - clean) < 0.05 * len(truth)
 
 
+def test_many_common_trigrams_leave_the_class_conditional_ones(spark):
+    # About half a million n-grams of the shared orders, and three toxic expressions.
+    draw = np.random.default_rng(6)
+    rare = {"".join(map(chr, row)) for row in draw.integers(0x4E00, 0x9FA5, (110_000, 3))}
+    rows = [(w.encode(), 2, 0) for w in rare] + [(w, 0, 9) for w in (b"gronk", b"snarf", b"vlurg")]
+    columns = [pa.array(c) for c in zip(*rows, strict=True)]
+    words = spark.createDataFrame(pa.table(columns, ["word", "ordinary", "toxic"]))
+    model = toxicity.fit_counts(words)
+    assert model.deltas([b"gronk", b"snarf"]).min() > 1
+
+
 def test_only_the_texts_of_the_curve_are_left_out_of_the_counts(spark, learned, monkeypatch):
     given, marks, truth = learned
     counted, count = [], toxicity.word_counts
