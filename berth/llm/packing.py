@@ -1,6 +1,9 @@
 """Packing of tokenised documents by shortest-pack-first over the length histogram.
 
 A document becomes its token ids and a closing id; it is cut into full sequences and one rest.
+With ``added``, as the queries and the pipeline have it, the ids are those of the library's
+``Tokenizer.from_file(path).encode(text, add_special_tokens=False)``: an added token of the
+vocabulary that stands in a text, such as <|endoftext|>, is its own id. Without, it is spelled out.
 The histogram of piece lengths has at most ``size`` entries whatever the corpus, so it is packed
 on the driver: lengths are placed longest first, each into the pattern with the most room, and a
 pattern carries the number of sequences that follow it. Pieces then find their place by rank:
@@ -79,13 +82,21 @@ class ChunkIds(dict):
     chunks have equal ids wherever they stand, and a worker encodes each about once. What is used
     again moves to the younger generation; the older one is dropped when the younger is full."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Where they get ids of their own, texts are split at them before.
         self.tokenizer.encode_special_tokens = True
-        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        ids = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        special = set(ids)
+        self.added = {token: _packed([i]) for token, i in ids.items()}
+        self.parts = None
+        if added and ids:
+            # Of tokens that begin at one place the longest is taken, as in the library.
+            longest = sorted(ids, key=len, reverse=True)
+            self.parts = regex.compile(f"({'|'.join(map(regex.escape, longest))})")
         chars = _byte_of_char()
         ranks = {
             bytes(chars[c] for c in token): i
@@ -121,6 +132,14 @@ class ChunkIds(dict):
         return found
 
     def document(self, text: str) -> bytes:
+        """Ids of a text: of the added tokens that stand in it, if asked for, and of what lies
+        between them."""
+        if self.parts is None or not self.parts.search(text):
+            return self.between(text)
+        pieces = self.parts.split(text)
+        return b"".join(self.added[t] if k % 2 else self.between(t) for k, t in enumerate(pieces))
+
+    def between(self, text: str) -> bytes:
         if not text:
             return b""
         if _BLANK_AFTER_SPACE.search(text):
@@ -129,11 +148,13 @@ class ChunkIds(dict):
         return b"".join([self.encode(first) if first else b"", *map(self.__getitem__, others)])
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, size: int = SIZE, closing: int = CLOSING_ID) -> DataFrame:
+def pieces(
+    docs: DataFrame, tokenizer_path: str, size: int = SIZE, closing: int = CLOSING_ID, added: bool = False
+) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens), one row per piece of each document."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = sole(("packing", tokenizer_path), lambda: ChunkIds(tokenizer_path))
+        memo = sole(("packing", tokenizer_path, added), lambda: ChunkIds(tokenizer_path, added))
         end = np.asarray([closing], dtype="<u4").tobytes()
         for batch in batches:
             rows: list[list] = [[], [], [], [], []]
@@ -195,9 +216,11 @@ def places(patterns: list[tuple[int, list[tuple[int, int]]]]) -> np.ndarray:
     return np.array(sorted(rows), dtype=np.int64).reshape(-1, 5)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, size: int = SIZE, closing: int = CLOSING_ID) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer_path: str, size: int = SIZE, closing: int = CLOSING_ID, added: bool = False
+) -> DataFrame:
     """One row per piece with its sequence and the offset there; the columns are PLACED."""
-    cut = stored(pieces(docs, tokenizer_path, size, closing), "pieces")
+    cut = stored(pieces(docs, tokenizer_path, size, closing, added), "pieces")
     # At most ``size`` rows, whatever the corpus.
     histogram = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}
     rows = max(ROWS_PER_GROUP, sum(histogram.values()) // MOST_GROUPS)

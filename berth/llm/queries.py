@@ -41,7 +41,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 @query("op5_packing")
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), added=True)
 
 
 @query("op2_sentencepiece")

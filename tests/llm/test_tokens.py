@@ -15,6 +15,7 @@ from cases import LONG, TEXTS, docs
 from tokenizers import Tokenizer
 
 from berth.llm import packing, pieces
+from berth.llm.queries import QUERIES
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -52,6 +53,27 @@ def test_small_memos_forget_without_harm(byte_bpe, monkeypatch):
     assert memo.document(LONG) == np.array(byte_bpe.encode(LONG).ids, "<u4").tobytes()
 
 
+def test_added_tokens_get_their_own_ids():
+    plain, memo = Tokenizer.from_file(BYTE_BPE), packing.ChunkIds(BYTE_BPE, added=True)
+    end = "<|endoftext|>"
+    odd = [end, end * 2, f"a {end} b", f"a  {end}  b", f"漢{end}\n{end}!", "<|endoftext", f" {end[:-1]}{end}"]
+    for text in odd + mixtures(3000, 7):
+        ids = plain.encode(text, add_special_tokens=False).ids
+        assert memo.document(text) == np.array(ids, "<u4").tobytes(), repr(text)
+    assert plain.encode(end, add_special_tokens=False).ids == [50256]
+
+
+def test_the_query_packs_added_tokens_as_the_library_does(spark, tmp_path):
+    texts = ["a<|endoftext|>b", "one two", "<|endoftext|>"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: (r.ids_crc32, r.doc_tokens) for r in QUERIES["op5_packing"](spark, str(tmp_path)).collect()}
+    plain = Tokenizer.from_file(BYTE_BPE)
+    for k, text in enumerate(texts):
+        ids = [*plain.encode(text, add_special_tokens=False).ids, 1]
+        assert found[k] == (zlib.crc32(np.array(ids, "<u4").tobytes()), len(ids))
+
+
 def test_histogram_packs_all_with_little_padding():
     draw = random.Random(3)
     histogram = Counter(draw.randint(1, 2048) for _ in range(3000)) + Counter({2048: 500, 7: 900})
