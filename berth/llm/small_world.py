@@ -3,9 +3,11 @@
 Different vectors are dealt to shards by a hash. A task builds the graph of its shard and then
 asks it for every vector of the table, in blocks, as they stream by; so memory is bounded by a
 shard and a block. A block is searched with a beam. Beams that are still full of linked vectors
-are widened until they are not; and the first block of each shard is audited: for AUDIT of its
-vectors the links are found by brute force, and the starting beam is doubled until RECALL of them
-are found. Cosines of what was found are computed in double precision, and only those of at
+are widened until they are not; and each shard is audited before it is asked. Its own vectors,
+drawn by a hash, are compared with the whole shard until AUDIT_PAIRS links without those to
+themselves are known or all are compared; and beside AUDIT_PAIRS of its nodes an asking vector is
+planted just within the threshold, so that shards with few links are measured too. The starting
+beam is doubled until RECALL of either are found; a beam as wide as the shard is brute force. Cosines of what was found are computed in double precision, and only those of at
 least the threshold are links. Each link can be found from both of its ends.
 
 Equal vectors are one node that knows how many they are, so they are never paired. Groups are
@@ -36,7 +38,7 @@ SHARDS, SHARD_ROWS = 12, 200_000
 #: Neighbours of a node on an upper level; twice as many at the bottom.
 NEIGHBOURS = 12
 BUILD_BEAM, FIRST_BEAM = 32, 24
-AUDIT, RECALL = 64, 0.995
+AUDIT, AUDIT_PAIRS, RECALL = 64, 1_000, 0.995
 #: Cells of the table of visited nodes in a block of searches.
 VISITED = 16_000_000
 
@@ -212,13 +214,18 @@ class Graph:
             again = []
             for k in range(0, len(left), block):
                 some = left[k : k + block]
+                if width >= len(self.vectors):
+                    # Also nodes that no way leads to.
+                    row, node = np.nonzero(queries[some] @ self.vectors.T >= floor)
+                    found.append((some[row], node))
+                    continue
                 ids, sims = self.search(queries[some], width)
                 near = (sims >= floor) & (ids >= 0)
-                full = near.all(axis=1) & (width < len(self.vectors))
+                full = near.all(axis=1)
                 row, col = np.nonzero(near & ~full[:, None])
                 found.append((some[row], ids[row, col]))
                 again.append(some[full])
-            left = np.concatenate(again)
+            left = np.concatenate(again) if again else left[:0]
             width = min(4 * width, len(self.vectors))
         pairs = [np.concatenate(p) for p in zip(*found, strict=True)] if found else [np.zeros(0, int)] * 2
         return pairs[0], self.order[pairs[1]]
@@ -238,20 +245,50 @@ class Shard:
         self.graph = Graph(self.vectors)
         self.width = 0
 
-    def audit(self, queries: np.ndarray) -> None:
-        some = queries[:AUDIT]
-        true = some @ self.vectors.T >= self.floor
+    def known_links(self, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(asking, found) places of links among the shard's own vectors, by brute force."""
+        pairs, count = [], 0
+        for k in range(0, len(order), AUDIT):
+            some = order[k : k + AUDIT]
+            near = self.vectors[some] @ self.vectors.T >= self.floor
+            near[np.arange(len(some)), some] = False
+            row, node = np.nonzero(near)
+            pairs.append((some[row], node))
+            count += len(row)
+            if count >= AUDIT_PAIRS:
+                break
+        return tuple(map(np.concatenate, zip(*pairs, strict=True)))
+
+    def planted(self, nodes: np.ndarray) -> np.ndarray:
+        """For each node a unit vector just within the threshold of it, in a random direction."""
+        own = self.vectors[nodes]
+        aside = np.random.default_rng(5).normal(size=own.shape)
+        aside -= np.einsum("nd,nd->n", aside, own)[:, None] * own
+        aside /= np.maximum(np.sqrt((aside**2).sum(axis=1, keepdims=True)), 1e-12)
+        cosine = min(self.floor + 1e-5, 1.0)
+        return cosine * own + math.sqrt(1 - cosine**2) * aside
+
+    def audit(self) -> None:
+        order = np.argsort(self.ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), kind="stable")
+        asking, node = self.known_links(order)
+        askers, row = np.unique(asking, return_inverse=True)
+        drawn = order[:AUDIT_PAIRS]
+        parts = [(self.vectors[askers], row, node)] if len(askers) else []
+        parts.append((self.planted(drawn), np.arange(len(drawn)), drawn))
         self.width = FIRST_BEAM
-        while True:
-            row, node = self.graph.within(some, self.floor - 1e-4, self.width)
-            if true[row, node].sum() >= RECALL * true.sum() or self.width >= len(self.vectors):
-                return
+        while self.width < len(self.vectors) and not all(self.finds(*p) for p in parts):
             self.width *= 2
 
+    def finds(self, queries: np.ndarray, row: np.ndarray, node: np.ndarray) -> bool:
+        """Whether the beam finds RECALL of the links of the queries."""
+        found = self.graph.within(queries, self.floor - 1e-4, self.width)
+        keys = [r.astype(np.int64) * len(self.vectors) + n for r, n in ((row, node), found)]
+        return np.isin(*keys).mean() >= RECALL
+
     def links(self, ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         queries = unit(vectors)
         if not self.width:
-            self.audit(queries)
+            self.audit()
         row, node = self.graph.within(queries, self.floor - 1e-4, self.width)
         exact = np.einsum("nd,nd->n", queries[row], self.vectors[node]) >= self.floor
         a, b = ids[row[exact]], self.ids[node[exact]]

@@ -214,3 +214,24 @@ def test_search_of_few(spark):
     assert multi_index.search(few.where("vec_id = 1"), every=20).collect() == []
     one = multi_index.search(table(spark, [(0, [1.0])]), every=20).collect()
     assert one == []
+
+
+def test_a_shard_without_links_is_audited_all_the_same():
+    draw, ids = np.random.default_rng(2), np.arange(400)
+    vectors = draw.normal(size=(400, 16))
+    shard = small_world.Shard(ids, vectors, 0.95)
+    for links in shard.graph.links:
+        links[links >= 200] = -1  # no way leads there
+    # The first that ask have no links, then each vector has a near one.
+    assert len(shard.links(ids[:64] + 1000, draw.normal(size=(64, 16)))[0]) == 0
+    a, b = shard.links(ids + 1000, vectors + 0.01 * draw.normal(size=vectors.shape))
+    assert {(x, x - 1000) for x in a} == set(zip(a, b, strict=True)) and len(a) == 400
+
+
+def test_audits_compare_until_enough_links_are_known():
+    draw = np.random.default_rng(3)
+    vectors = draw.normal(size=(3000, 16))
+    vectors[1500:] = vectors[:1500] + 0.01 * draw.normal(size=(1500, 16))
+    shard = small_world.Shard(np.arange(3000), vectors, 0.95)
+    asking, node = shard.known_links(np.arange(3000))
+    assert len(asking) >= small_world.AUDIT_PAIRS and (asking != node).all()
