@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from berth.llm import (
     chat,
+    filter_audit,
     licenses,
     multi_index,
     packing,
@@ -151,3 +152,52 @@ def op6_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_small_world")
 def op4_small_world(spark: SparkSession, sf_dir: str) -> DataFrame:
     return small_world.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op11_filter_audit",
+    r"""
+WITH RECURSIVE said AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+marks AS (
+  SELECT doc_id AS of_id, coalesce(max(CAST(quality = 1 AS INT)), 0) AS good,
+         coalesce(max(CAST(toxic = 1 AS INT)), 0) AS toxic
+  FROM labels GROUP BY doc_id),
+worded AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM said),
+failed AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CAST(len(words) < 200 AS INT)
+         + 2 * CAST(100 * len(list_distinct(words)) < 50 * len(words) AS INT)
+         + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) AS INT)
+         + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT)
+         + 16 * CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS INT) AS fails
+  FROM worded LEFT JOIN marks ON doc_id = of_id),
+counted AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY part, fails),
+grown AS (
+  SELECT '' AS o
+  UNION ALL
+  SELECT o || f FROM grown, unnest(['A', 'B', 'C', 'D', 'E']) AS t(f) WHERE NOT contains(o, f)),
+steps AS (
+  SELECT o, s AS step, 1 << (instr('ABCDE', o[s]) - 1) AS own,
+         CAST(list_sum(list_transform(range(1, s), lambda i: 1 << (instr('ABCDE', o[i]) - 1))) AS INT) AS before
+  FROM grown, range(1, 6) AS r(s) WHERE length(o) = 5),
+told AS (
+  SELECT part, o, step, own,
+         sum(CASE WHEN (fails & (coalesce(before, 0) | own)) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN (fails & coalesce(before, 0)) = 0 AND (fails & own) > 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN (fails & coalesce(before, 0)) > 0 AND (fails & own) > 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = own THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN (fails & coalesce(before, 0)) = 0 AND (fails & own) > 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN (fails & coalesce(before, 0)) = 0 AND (fails & own) > 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM counted, steps GROUP BY ALL)
+SELECT part, o AS filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept,
+       CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM told
+""",
+)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
