@@ -55,7 +55,6 @@ def measured(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("source", F.lit("")).alias("part"), "text"
     )
     shards = matrix.encode(given, facts=facts, fact_fields=_FACTS)
-    words = matrix.dictionary(shards)
     layout = T.StructType.fromDDL(_MEASURED)
 
     def count(own: matrix.Rows) -> pa.Table:
@@ -65,7 +64,7 @@ def measured(docs: DataFrame) -> DataFrame:
         sums = [own.sums(own.counts.astype(np.int64)), np.diff(own.starts).astype(np.int64)]
         return pa.table([*own.rows.flatten(), *(pa.array(s) for s in sums)], names=layout.names)
 
-    return matrix.resolve(shards, words.select("word", "id"), count, layout)
+    return matrix.resolve(shards, matrix.ids(matrix.numbered(shards)), count, layout)
 
 
 def _bit(k: int, failed: Column) -> Column:

@@ -2,9 +2,10 @@
 
 Words are numbered twice. A task numbers the words of its own texts as they come and writes shards
 of compressed sparse rows over these numbers, each with its own word list. The word lists, far
-shorter than the texts, are grouped into the global dictionary; joined with it, they bring a
-shard what the dictionary knows of its words (their global numbers, counts or estimates), and the
-rows of the shard are rewritten with it. Texts are read once and never shuffled.
+shorter than the texts, are sorted by word, which numbers all words once for the whole corpus; or
+they are joined with what is known of words. Either way each shard gets its list back with
+global numbers, counts or estimates, and its rows are rewritten with them. Texts are read once and
+never shuffled.
 
 A shard is closed after SHARD_TOKENS words, so it and its word list are bounded, whatever one
 source or one group of copies holds; a single longer text is a shard of its own. A common word
@@ -22,6 +23,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,9 +31,10 @@ from pyspark.sql import types as T
 
 from berth.llm.common import stored, texts
 
-SHARD_TOKENS = 1 << 20
-#: Bits of monotonically_increasing_id that count the rows of a partition.
-_ROW_BITS = 33
+SHARD_TOKENS = 1 << 22
+#: Bits for the shards of a task, and for the words of a partition of the sorted lists.
+_BITS = 33
+_CODEC = pa.Codec("zstd")
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -75,6 +78,26 @@ def _one(values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+def _packed(values: np.ndarray) -> pa.Array:
+    return pa.array([_CODEC.compress(values.astype(np.int32).tobytes(), asbytes=True)], pa.binary())
+
+
+def _unpacked(column: pa.ChunkedArray, size: int) -> np.ndarray:
+    return np.frombuffer(_CODEC.decompress(column[0].as_py(), 4 * size, asbytes=True), np.int32)
+
+
+def _steps(slots: list[np.ndarray]) -> np.ndarray:
+    """Each row's first slot and the distances of its others; small numbers, as new words have
+    neighbouring slots."""
+    return np.concatenate([np.diff(s, prepend=np.int32(0)) for s in slots])
+
+
+def _from_steps(steps: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    whole = np.cumsum(steps, dtype=np.int64)
+    before = np.concatenate([[0], whole])[starts[:-1]]
+    return whole - np.repeat(before, np.diff(starts))
+
+
 def encode(
     docs: DataFrame,
     lower: bool = False,
@@ -85,8 +108,9 @@ def encode(
 ) -> DataFrame:
     """Shards of the texts of ``docs``, written below the shared checkpoint folder: (shard, rows,
     starts, slots, counts, words). Row r of a shard has slots and counts from starts[r] to
-    starts[r + 1]; ``rows`` has the other columns of ``docs`` and the facts. ``words`` has a
-    shard's (slot, word, n), n in rows where the column ``counted`` is true (in all without it).
+    starts[r + 1]; both are compressed, slots as steps. ``rows`` has the other columns of ``docs``
+    and the facts. ``words`` has a shard's (slot, word, n), n in rows where the column ``counted``
+    is true (in all without it).
     Words are runs of characters other than blank and \\t to \\r; ``closing`` is added behind each
     text, ``lower`` turns A-Z to lower case."""
     kept = [c for c in docs.columns if c != "text"]
@@ -97,8 +121,8 @@ def encode(
             T.StructField("shard", T.LongType()),
             T.StructField("rows", T.ArrayType(row_type)),
             T.StructField("starts", T.ArrayType(T.IntegerType())),
-            T.StructField("slots", T.ArrayType(T.IntegerType())),
-            T.StructField("counts", T.ArrayType(T.IntegerType())),
+            T.StructField("slots", T.BinaryType()),
+            T.StructField("counts", T.BinaryType()),
             T.StructField(
                 "words",
                 T.ArrayType(T.StructType.fromDDL("slot int, word string, n long")),
@@ -108,7 +132,7 @@ def encode(
     names = [f.name for f in fact_fields]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = TaskContext.get().partitionId() << _ROW_BITS
+        first = TaskContext.get().partitionId() << _BITS
         number, own = 0, _Shard()
 
         def closed() -> pa.RecordBatch:
@@ -127,9 +151,9 @@ def encode(
                 ],
                 ["slot", "word", "n"],
             )
-            arrays = [rows, pa.array(starts), np.concatenate(own.slots), np.concatenate(own.counts), words]
-            arrays = [_one(a if isinstance(a, pa.Array) else pa.array(a)) for a in arrays]
-            return pa.RecordBatch.from_arrays([pa.array([first + number]), *arrays], layout.names)
+            slots, counts = _packed(_steps(own.slots)), _packed(np.concatenate(own.counts))
+            arrays = [pa.array([first + number]), _one(rows), _one(pa.array(starts)), slots, counts, _one(words)]
+            return pa.RecordBatch.from_arrays(arrays, layout.names)
 
         for batch in batches:
             at = batch.schema.names.index("text")
@@ -162,26 +186,60 @@ def local_words(shards: DataFrame) -> DataFrame:
     return shards.select("shard", F.inline("words"))
 
 
-def dictionary(shards: DataFrame) -> DataFrame:
-    """(word, n, id), written below the shared checkpoint folder: every word once, how often it
-    stands in counted rows, and its number. Numbers run from 0 without gaps; words of one
-    partition are numbered as they were written, behind the words of the partitions before."""
-    grouped = local_words(shards).groupBy("word").agg(F.sum("n").alias("n"))
-    row = F.monotonically_increasing_id()
-    placed = stored(
-        grouped.select("word", "n", F.spark_partition_id().alias("part"), row.alias("row")), "dictionary"
-    )
+def numbered(shards: DataFrame) -> DataFrame:
+    """The word lists with global numbers, written below the shared checkpoint folder: (home, slot,
+    n, part, row, word), the word only where it comes first. ``row`` numbers the words of a
+    partition of the sorted lists; ``dictionary`` and ``ids`` add the words of the partitions
+    before."""
+    lists = local_words(shards).select(F.col("shard").alias("home"), "slot", "n", "word")
+    names = ["home", "slot", "n", "part", "row", "word"]
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, row = TaskContext.get().partitionId(), None, -1
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            word = batch.column(3)
+            fresh = np.ones(len(word), dtype=bool)
+            fresh[1:] = pc.not_equal(word[1:], word[:-1]).to_numpy(zero_copy_only=False)
+            fresh[0] = last is None or word[0].as_py() != last
+            rows = row + np.cumsum(fresh)
+            row, last = int(rows[-1]), word[-1].as_py()
+            first = pc.if_else(pa.array(fresh), word, pa.scalar(None, word.type))
+            parts = pa.array(np.full(len(word), part, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], parts, pa.array(rows), first], names)
+
+    in_order = lists.repartition("word").sortWithinPartitions("word")
+    layout = "home long, slot int, n long, part int, row long, word string"
+    return stored(in_order.mapInArrow(number, layout), "numbered")
+
+
+def _with_id(rows: DataFrame) -> DataFrame:
     # One row per partition of a shuffle, which its setting bounds.
-    sizes = sorted(tuple(r) for r in placed.groupBy("part").count().collect())
+    sizes = rows.groupBy("part").agg(F.max("row") + 1).collect()
     before, offsets = 0, []
-    for part, size in sizes:
+    for part, size in sorted(tuple(r) for r in sizes):
         offsets.append((part, before))
         before += size
-    starts = placed.sparkSession.createDataFrame(offsets, "part int, before long")
-    within = F.col("row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return placed.join(F.broadcast(starts), "part").select(
-        "word", "n", (F.col("before") + within).alias("id")
-    )
+    starts = rows.sparkSession.createDataFrame(offsets, "part int, before long")
+    return rows.join(F.broadcast(starts), "part").withColumn("id", F.col("before") + F.col("row"))
+
+
+def ids(rows: DataFrame) -> DataFrame:
+    """(home, slot, id) of ``numbered`` word lists."""
+    return _with_id(rows).select("home", "slot", "id")
+
+
+def dictionary(rows: DataFrame) -> DataFrame:
+    """(word, id, n) of ``numbered`` word lists: every word once, its number (from 0, without gaps)
+    and how often it stands in counted rows."""
+    return _with_id(rows).groupBy("id").agg(F.max("word").alias("word"), F.sum("n").alias("n"))
+
+
+def brought(shards: DataFrame, values: DataFrame) -> DataFrame:
+    """(home, slot, values) of all word lists; each of their words has one row (word, values)."""
+    lists = local_words(shards).select(F.col("shard").alias("home"), "slot", "word")
+    return lists.join(values, "word").drop("word")
 
 
 @dataclass
@@ -206,28 +264,27 @@ class Rows:
 def resolve(
     shards: DataFrame, values: DataFrame, fn: Callable[[Rows], pa.Table], layout: T.StructType
 ) -> DataFrame:
-    """What ``fn`` makes of each shard, once ``values`` (word and numbers of it) have been brought
-    to the shard's words. Each word of the shards must have one row of values."""
-    names = [c for c in values.columns if c != "word"]
-    lists = local_words(shards).select(F.col("shard").alias("home"), "slot", "word")
-    brought = lists.join(values, "word").select("home", "slot", *names)
+    """What ``fn`` makes of each shard with the ``values`` (home, slot, numbers) of its words."""
+    names = [c for c in values.columns if c not in ("home", "slot")]
     left = shards.select("shard", "rows", "starts", "slots", "counts")
 
     def work(one: pa.Table, found: pa.Table) -> pa.Table:
-        rows, starts, slots, counts = (one.column(c).combine_chunks().flatten() for c in one.column_names[1:])
+        rows, starts = (one.column(c).combine_chunks().flatten() for c in ("rows", "starts"))
+        starts = starts.to_numpy()
+        steps, counts = (_unpacked(one.column(c), int(starts[-1])) for c in ("slots", "counts"))
         slot = found.column("slot").to_numpy()
         given = {}
         for name in names:
             value = found.column(name).to_numpy()
             given[name] = np.zeros(len(slot), dtype=value.dtype)
             given[name][slot] = value
-        return fn(Rows(rows, starts.to_numpy(), slots.to_numpy(), counts.to_numpy(), given))
+        return fn(Rows(rows, starts, _from_steps(steps, starts), counts, given))
 
-    return left.groupBy("shard").cogroup(brought.groupBy("home")).applyInArrow(work, layout)
+    return left.groupBy("shard").cogroup(values.groupBy("home")).applyInArrow(work, layout)
 
 
-def csr(shards: DataFrame, words: DataFrame) -> DataFrame:
-    """(shard-wise rows, starts, ids, counts): the shards over the numbers of the dictionary, each
+def csr(shards: DataFrame, lists: DataFrame) -> DataFrame:
+    """(rows, starts, ids, counts): the shards over the numbers of the ``numbered`` lists, each
     row's numbers ascending."""
     rows = shards.schema["rows"].dataType
     layout = T.StructType(
@@ -246,4 +303,4 @@ def csr(shards: DataFrame, words: DataFrame) -> DataFrame:
         arrays = [own.rows, pa.array(own.starts), pa.array(ids[order]), pa.array(own.counts[order])]
         return pa.table([_one(a) for a in arrays], names=layout.names)
 
-    return resolve(shards, words.select("word", "id"), renumber, layout)
+    return resolve(shards, ids(lists), renumber, layout)

@@ -110,8 +110,8 @@ def test_rows_over_the_dictionary_are_the_words(spark, monkeypatch, tokens):
     monkeypatch.setattr(matrix, "SHARD_TOKENS", tokens)
     given = docs(spark)
     shards = matrix.encode(given.select("doc_id", "rank", "text"), lower=True)
-    words = matrix.dictionary(shards)
-    named = {r.id: (r.word, r.n) for r in words.collect()}
+    lists = matrix.numbered(shards)
+    named = {r.id: (r.word, r.n) for r in matrix.dictionary(lists).collect()}
     assert sorted(named) == list(range(len(named)))
     counted = Counter()
     texts = sorted((r.doc_id if r.doc_id is not None else -1, r.text or "") for r in given.collect())
@@ -120,7 +120,7 @@ def test_rows_over_the_dictionary_are_the_words(spark, monkeypatch, tokens):
         counted.update(plain_words(lowered))
     assert dict(named.values()) == dict(counted)
     rows = []
-    for r in matrix.csr(shards, words).collect():
+    for r in matrix.csr(shards, lists).collect():
         for k, row in enumerate(r.rows):
             ids, counts = (c[r.starts[k] : r.starts[k + 1]] for c in (r.ids, r.counts))
             assert ids == sorted(set(ids))
@@ -138,5 +138,5 @@ def test_only_counted_rows_count(spark):
         [("a b a", True), ("a c", False), (None, True)], "text string, learn boolean"
     )
     shards = matrix.encode(given, counted="learn", closing="\n")
-    found = {r.word: r.n for r in matrix.dictionary(shards).collect()}
+    found = {r.word: r.n for r in matrix.dictionary(matrix.numbered(shards)).collect()}
     assert found == {"a": 2, "b": 1, "c": 0, "\n": 2}
