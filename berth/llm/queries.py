@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from berth.llm import (
+    best_position,
     chat,
+    context_tree,
     filter_audit,
     licenses,
     multi_index,
@@ -201,3 +203,45 @@ FROM told
 )
 def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op12_context_tree")
+def op12_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(read(spark, sf_dir, "documents"))
+
+
+@query(
+    "op13_best_position",
+    r"""
+WITH said AS (
+  SELECT row_number() OVER () AS d, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[0-9a-z\x{80}-\x{10FFFF}]+') AS words
+  FROM documents),
+sized AS (SELECT d, doc_id, words, len(words) AS n FROM said WHERE len(words) > 0),
+whole AS (SELECT count(*) AS all_docs, sum(n) AS all_terms FROM sized),
+tf AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(words) AS term FROM sized) GROUP BY d, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * all_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, whole GROUP BY term, all_docs),
+asked AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id,
+           unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term
+    FROM benchmark)
+  GROUP BY item_id, term),
+scored AS (
+  SELECT item_id, d, doc_id,
+         CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * all_docs) // all_terms)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN sized USING (d), whole
+  GROUP BY item_id, d, doc_id),
+ranked AS (
+  SELECT item_id, doc_id, score,
+         row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+""",
+)
+def op13_best_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_position.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
