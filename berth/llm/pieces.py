@@ -93,8 +93,16 @@ class PieceModel:
             if self.merged(piece, steps) == [piece]:
                 children = {left + right: (left, right) for left, right in steps}
                 self.edges[i] = (self.edge(piece, children, 0), self.edge(piece, children, 1))
-                self.automaton.add_word(piece, (len(piece), i))
+                self.automaton.add_word(piece, i)
         self.automaton.make_automaton()
+        self.lengths = [len(piece) for piece in self.text]
+        self.names = [str(i) for i in range(len(self.text))]
+        #: The longest of the automaton's pieces that a piece begins with, itself apart, or -1.
+        self.shorter = [-1] * len(self.text)
+        for i in self.edges:
+            piece = self.text[i]
+            starts = (self.id_of.get(piece[:n], -1) for n in range(len(piece) - 1, 0, -1))
+            self.shorter[i] = next((j for j in starts if j in self.edges), -1)
         self.pairs: dict[int, bool] = {}
 
     def edge(self, piece: str, children: dict, side: int) -> list[tuple[str, float]]:
@@ -159,44 +167,41 @@ class PieceModel:
 
     def segment(self, text: str) -> list[int]:
         """Ids of a text of known characters, by backtracking over longest matches."""
-        starting: list[list[tuple[int, int]]] = [[] for _ in text]
-        for last, match in self.automaton.iter(text):
-            starting[last + 1 - match[0]].append(match)
-        pairs = self.pairs
+        end, lengths, shorter, pairs = len(text), self.lengths, self.shorter, self.pairs
+        # Of matches that start together, the longest one ends last.
+        longest = [-1] * (end + 1)
+        for last, i in self.automaton.iter(text):
+            longest[last + 1 - lengths[i]] = i
         if len(pairs) >= PAIRS:
             pairs.clear()
         ids: list[int] = []
-        spans: list[int] = []
-        failed = bytearray(len(text) + 1)
-        at, end, left = 0, len(text), -1
+        failed = bytearray(end + 1)
+        at, left, i = 0, -1, longest[0]
         while at < end:
-            choices = starting[at]
-            # Matches from one start come shortest first. What fails is thrown away for good:
-            # the text before a position has one encoding only, so a position that is reached
-            # again would be reached behind the same piece.
-            while choices:
-                length, i = choices.pop()
-                if failed[at + length]:
-                    continue
-                if left >= 0:
+            # What fails is not tried again: the text before a position has one encoding only, so a
+            # position that is reached again would be reached behind the same piece.
+            while i >= 0:
+                if not failed[at + lengths[i]]:
+                    if left < 0:
+                        break
                     key = left << 32 | i
                     known = pairs.get(key)
                     if known is None:
                         known = pairs[key] = self.fits(left, i)
-                    if not known:
-                        continue
+                    if known:
+                        break
+                i = shorter[i]
+            if i >= 0:
                 ids.append(i)
-                spans.append(length)
-                at += length
-                left = i
-                break
-            else:
-                failed[at] = 1
-                if not ids:
-                    raise ValueError(f"no pieces for {text!r}")
-                ids.pop()
-                at -= spans.pop()
-                left = ids[-1] if ids else -1
+                at += lengths[i]
+                left, i = i, longest[at]
+                continue
+            failed[at] = 1
+            if not ids:
+                raise ValueError(f"no pieces for {text!r}")
+            i = ids.pop()
+            at -= lengths[i]
+            left, i = (ids[-1] if ids else -1), shorter[i]
         return ids
 
     def bytes_of(self, text: str) -> list[int]:
@@ -286,8 +291,15 @@ class UnitMemo(dict):
         self.older: dict[str, Coded] = {}
 
     def of(self, unit: str) -> Coded:
-        ids = self.model.encode_unit(unit)
-        return ",".join(map(str, ids)), len(ids), self.model.decode_part(ids)
+        model = self.model
+        whole = model.id_of.get(unit, -1)
+        if whole in model.edges:
+            return model.names[whole], 1, unit.replace(BLANK, " ")
+        ids = model.encode_unit(unit)
+        names = ",".join(map(model.names.__getitem__, ids))
+        # Known characters are decoded to themselves.
+        plain = model.letters.issuperset(unit)
+        return names, len(ids), unit.replace(BLANK, " ") if plain else model.decode_part(ids)
 
     def part(self, text: str) -> Coded:
         """What stands behind a border within a chunk; its key begins with a blank, which no
