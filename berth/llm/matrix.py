@@ -7,7 +7,7 @@ they are joined with what is known of words. Either way each shard gets its list
 global numbers, counts or estimates, and its rows are rewritten with them. Texts are read once and
 never shuffled.
 
-A shard is closed after SHARD_TOKENS words, so it and its word list are bounded, whatever one
+A shard is closed at SHARD_BYTES of text, so it and its word list are bounded, whatever one
 source or one group of copies holds; a single longer text is a shard of its own. A common word
 stands once in each shard's list, so no word is a hot key.
 
@@ -17,9 +17,8 @@ their own; an empty table has no shards.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from berth.llm.common import stored, texts
+from berth.llm.common import stored
 
-SHARD_TOKENS = 1 << 22
+SHARD_BYTES = 16 << 20
 #: Bits for the shards of a task, and for the words of a partition of the sorted lists.
 _BITS = 33
 _CODEC = pa.Codec("zstd")
@@ -42,38 +41,6 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 Facts = Callable[[str, bytes], tuple]
 
 
-@dataclass
-class _Shard:
-    """What a task gathers until the shard is closed."""
-
-    slots_of: defaultdict = field(default_factory=defaultdict)
-    rows: list[pa.RecordBatch] = field(default_factory=list)
-    facts: list[tuple] = field(default_factory=list)
-    slots: list[np.ndarray] = field(default_factory=list)
-    counts: list[np.ndarray] = field(default_factory=list)
-    counted: list[bool] = field(default_factory=list)
-    tokens: int = 0
-
-    def __post_init__(self) -> None:
-        self.slots_of.default_factory = self.slots_of.__len__
-
-    def add(self, words: list[bytes], counted: bool) -> None:
-        found = np.fromiter(map(self.slots_of.__getitem__, words), np.int32, len(words))
-        slots, counts = np.unique(found, return_counts=True)
-        self.slots.append(slots)
-        self.counts.append(counts.astype(np.int32))
-        self.counted.append(counted)
-        self.tokens += len(words)
-
-    def totals(self) -> np.ndarray:
-        """How often each word of the list stands in the counted rows."""
-        found = np.zeros(len(self.slots_of), dtype=np.int64)
-        for slots, counts, counted in zip(self.slots, self.counts, self.counted, strict=True):
-            if counted:
-                found[slots] += counts
-        return found
-
-
 def _one(values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
@@ -86,10 +53,13 @@ def _unpacked(column: pa.ChunkedArray, size: int) -> np.ndarray:
     return np.frombuffer(_CODEC.decompress(column[0].as_py(), 4 * size, asbytes=True), np.int32)
 
 
-def _steps(slots: list[np.ndarray]) -> np.ndarray:
+def _steps(slots: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Each row's first slot and the distances of its others; small numbers, as new words have
     neighbouring slots."""
-    return np.concatenate([np.diff(s, prepend=np.int32(0)) for s in slots])
+    steps = np.diff(slots, prepend=0)
+    begun = starts[:-1][np.diff(starts) > 0]
+    steps[begun] = slots[begun]
+    return steps
 
 
 def _from_steps(steps: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -98,6 +68,59 @@ def _from_steps(steps: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return whole - np.repeat(before, np.diff(starts))
 
 
+def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about SHARD_BYTES of text, or of one longer text."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy())
+        begun = 0
+        while begun < batch.num_rows:
+            before = int(ends[begun - 1]) if begun else 0
+            # As many rows as the shard has room for, and one at least.
+            end = max(int(np.searchsorted(ends, before + SHARD_BYTES - size, side="right")), begun + (not held))
+            if end > begun:
+                held.append(batch.slice(begun, end - begun))
+                size += int(ends[end - 1]) - before
+                begun = end
+            if begun < batch.num_rows:
+                yield _together(held)
+                held, size = [], 0
+    if held:
+        yield _together(held)
+
+
+def _together(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
+
+def count_words(
+    text: pa.Array, lower: bool = False, closing: str | None = None
+) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """(words, starts, slots, counts): the different words of some texts in the order in which
+    they come, and which of them each text has how often."""
+    if lower:
+        ends = np.cumsum(pc.binary_length(text).to_numpy())
+        offsets = np.concatenate([[0], ends]).astype(np.int32)
+        raw = b"".join(text.cast(pa.binary()).to_pylist()).translate(LOWER)
+        text = pa.StringArray.from_buffers(len(text), pa.py_buffer(offsets), pa.py_buffer(raw))
+    split = pc.ascii_split_whitespace(text)
+    flat, offsets = split.flatten(), split.offsets.to_numpy()
+    row = np.repeat(np.arange(len(text)), np.diff(offsets))
+    # Blanks at the ends of a text leave empty pieces.
+    real = pc.binary_length(flat).to_numpy() > 0
+    coded = flat.filter(pa.array(real)).dictionary_encode()
+    row, slots, words = row[real], coded.indices.to_numpy(), coded.dictionary
+    if closing is not None:
+        row = np.concatenate([row, np.arange(len(text))])
+        slots = np.concatenate([slots, np.full(len(text), len(words))])
+        words = pa.concat_arrays([words, pa.array([closing])])
+    width = max(len(words), 1)
+    keys, counts = np.unique(row * width + slots, return_counts=True)
+    starts = np.searchsorted(keys, np.arange(len(text) + 1) * width)
+    return words, starts, keys % width, counts
+
+
 def encode(
     docs: DataFrame,
     lower: bool = False,
@@ -131,51 +154,33 @@ def encode(
     )
     names = [f.name for f in fact_fields]
 
+    def shard(number: int, rows: pa.RecordBatch) -> pa.RecordBatch:
+        text = rows.column("text").fill_null("")
+        columns = [rows.column(c) for c in kept]
+        if facts:
+            found = [facts(t, t.encode()) for t in text.to_pylist()]
+            columns += [pa.array([f[k] for f in found]) for k in range(len(names))]
+        words, starts, slots, counts = count_words(text, lower, closing)
+        row = np.repeat(np.arange(len(text)), np.diff(starts))
+        learned = counts
+        if counted:
+            learned = counts * rows.column(counted).fill_null(False).to_numpy(zero_copy_only=False)[row]
+        totals = np.bincount(slots, weights=learned, minlength=len(words)).astype(np.int64)
+        listed = [pa.array(np.arange(len(words), dtype=np.int32)), words, pa.array(totals)]
+        arrays = [
+            pa.array([number]),
+            _one(pa.StructArray.from_arrays(columns, [*kept, *names])),
+            _one(pa.array(starts.astype(np.int32))),
+            _packed(_steps(slots, starts)),
+            _packed(counts),
+            _one(pa.StructArray.from_arrays(listed, ["slot", "word", "n"])),
+        ]
+        return pa.RecordBatch.from_arrays(arrays, layout.names)
+
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << _BITS
-        number, own = 0, _Shard()
-
-        def closed() -> pa.RecordBatch:
-            table = pa.Table.from_batches(own.rows).combine_chunks()
-            columns = [c.combine_chunks() for c in table.columns]
-            for k in range(len(names)):
-                columns.append(pa.array([f[k] for f in own.facts]))
-            rows = pa.StructArray.from_arrays(columns, [*kept, *names])
-            lengths = [len(s) for s in own.slots]
-            starts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-            words = pa.StructArray.from_arrays(
-                [
-                    pa.array(np.arange(len(own.slots_of), dtype=np.int32)),
-                    pa.array(list(own.slots_of), pa.binary()).cast(pa.string()),
-                    pa.array(own.totals()),
-                ],
-                ["slot", "word", "n"],
-            )
-            slots, counts = _packed(_steps(own.slots)), _packed(np.concatenate(own.counts))
-            arrays = [pa.array([first + number]), _one(rows), _one(pa.array(starts)), slots, counts, _one(words)]
-            return pa.RecordBatch.from_arrays(arrays, layout.names)
-
-        for batch in batches:
-            at = batch.schema.names.index("text")
-            keep = batch.select(kept)
-            teaches = batch.column(kept.index(counted)).to_pylist() if counted else None
-            begun = 0
-            for r, text in enumerate(texts(batch.column(at))):
-                raw = text.encode()
-                if facts:
-                    own.facts.append(facts(text, raw))
-                words = (raw.translate(LOWER) if lower else raw).split()
-                if closing is not None:
-                    words.append(closing.encode())
-                own.add(words, bool(teaches[r]) if teaches else True)
-                if own.tokens >= SHARD_TOKENS:
-                    own.rows.append(keep.slice(begun, r + 1 - begun))
-                    yield closed()
-                    begun, number, own = r + 1, number + 1, _Shard()
-            if begun < batch.num_rows:
-                own.rows.append(keep.slice(begun))
-        if own.rows:
-            yield closed()
+        for number, rows in enumerate(sized(batches)):
+            yield shard(first + number, rows)
 
     given = docs.select(*(F.col(f"`{c}`") for c in kept), "text")
     return stored(given.mapInArrow(build, layout), "shards")

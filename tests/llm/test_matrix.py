@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from cases import LONG, docs, labels
 from pyspark.sql import functions as F
@@ -105,9 +106,9 @@ def test_audit_of_few_rows(spark):
     assert audited(spark, [(None, None, None)]) == plain_audit([(None, None, None)], {})
 
 
-@pytest.mark.parametrize("tokens", [1, 40, 1 << 20])
-def test_rows_over_the_dictionary_are_the_words(spark, monkeypatch, tokens):
-    monkeypatch.setattr(matrix, "SHARD_TOKENS", tokens)
+@pytest.mark.parametrize("size", [1, 150, 1 << 20])
+def test_rows_over_the_dictionary_are_the_words(spark, monkeypatch, size):
+    monkeypatch.setattr(matrix, "SHARD_BYTES", size)
     given = docs(spark)
     shards = matrix.encode(given.select("doc_id", "rank", "text"), lower=True)
     lists = matrix.numbered(shards)
@@ -140,3 +141,27 @@ def test_only_counted_rows_count(spark):
     shards = matrix.encode(given, counted="learn", closing="\n")
     found = {r.word: r.n for r in matrix.dictionary(matrix.numbered(shards)).collect()}
     assert found == {"a": 2, "b": 1, "c": 0, "\n": 2}
+
+
+def test_shards_hold_all_rows_in_order_and_keep_to_their_size(monkeypatch):
+    monkeypatch.setattr(matrix, "SHARD_BYTES", 10)
+    texts = ["", "abc", None, "x" * 30, "four", "five5", "sixsix6", "", "y" * 10, "z", ""]
+    for size in (1, 2, 3, 11):
+        batches = [pa.record_batch({"text": pa.array(texts[i : i + size], pa.string())}) for i in range(0, 11, size)]
+        out = [b.column("text").to_pylist() for b in matrix.sized(iter(batches))]
+        assert sum(out, []) == texts
+        assert all(len(b) == 1 or sum(len(t or "") for t in b) <= 10 for b in out)
+
+
+def test_words_are_cut_at_the_six_blanks_only():
+    text = pa.array([" a\x1cb \x1f\u3000c\x0b\x0cD\td ", "", "\n", "É\x85é d"]).slice(0)
+    for lower in (False, True):
+        words, starts, slots, counts = matrix.count_words(text, lower, "\n")
+        found = [
+            {words[int(s)].as_py(): int(n) for s, n in zip(slots[a:b], counts[a:b], strict=True)}
+            for a, b in zip(starts, starts[1:], strict=False)
+        ]
+        expected = [
+            Counter([*plain_words(t.replace("D", "d") if lower else t), "\n"]) for t in text.to_pylist()
+        ]
+        assert found == [dict(e) for e in expected]
