@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,11 +65,41 @@ TEXT_LABELS = [
     "PRESCRIPTION",
 ]
 
-# Words in a column's name without which its dates are no birthdays and its bare numbers no
-# telephone numbers.
+# What every value with a label's shape has, told without a pattern. SIZE stands for the number of
+# bytes, V for the value.
+SIGNS = {
+    "SSN": "SIZE = 11",
+    "EMAIL": "contains(V, '@')",
+    "PHONE": "SIZE BETWEEN 12 AND 17",
+    "CREDIT_CARD": "SIZE BETWEEN 13 AND 37",
+    "ADDRESS": "V >= '0' AND V < ':' AND contains(V, ' ')",
+    "NAME": "contains(V, ' ')",
+    "DATE_OF_BIRTH": "SIZE = 10",
+    "PASSPORT": "SIZE BETWEEN 7 AND 10",
+    "MEDICAL_RECORD_NUMBER": "startswith(V, 'MRN')",
+    "HEALTH_PLAN": "(startswith(V, 'HPN') OR startswith(V, 'MBI') OR startswith(V, 'PLAN'))",
+    "DIAGNOSIS": "SIZE BETWEEN 5 AND 8",
+    "PRESCRIPTION": "(endswith(V, 'mg') OR endswith(V, 'mcg') OR endswith(V, 'ml'))",
+    "LAB_RESULT": "(endswith(V, '/L') OR endswith(V, '/dL'))",
+}
+
+# The same for pieces within a text, as a plain part or as a pattern that is found fast.
+TEXT_SIGNS = {
+    "SSN": ([], "[0-9]-[0-9]{2}-[0-9]"),
+    "EMAIL": (["@"], None),
+    "PHONE": ([], "[0-9]{3}[-. ][0-9]{4}"),
+    "CREDIT_CARD": ([], "[0-9](?:[ -]?[0-9]){12}"),
+    "MEDICAL_RECORD_NUMBER": (["MRN"], None),
+    "HEALTH_PLAN": (["HPN", "MBI", "PLAN"], None),
+    "PRESCRIPTION": ([], "[A-Za-z] [0-9]"),
+}
+
+# Words in a column's name without which its dates are no birthdays, its bare numbers no
+# telephone numbers and its pairs of words no names of persons.
 NAME_HINTS = {
     "DATE_OF_BIRTH": ["birth", "born", "dob"],
     "PHONE": ["phone", "tel", "mobile", "fax"],
+    "NAME": ["name", "person", "holder", "patient"],
 }
 BARE_PHONE = r"1?[2-9][0-9]{9}"
 
@@ -105,7 +138,8 @@ def value_label(value: str, hinted: dict[str, str] | None = None) -> Column:
     """
     tests = []
     for label in PII_LABELS + PHI_LABELS:
-        test = rf"{value} RLIKE r'^(?:{SHAPES[label]})\z'"
+        sign = re.sub(r"\bV\b", value, SIGNS[label]).replace("SIZE", f"octet_length({value})")
+        test = rf"{sign} AND {value} RLIKE r'^(?:{SHAPES[label]})\z'"
         if label == "CREDIT_CARD":
             test += f" AND luhn_check(regexp_replace({value}, '[ -]', ''))"
         if hinted and label == "PHONE":
@@ -121,11 +155,34 @@ def name_hints(name: str) -> dict[str, bool]:
     return {k: any(part in name.lower() for part in parts) for k, parts in NAME_HINTS.items()}
 
 
+def number_label(value: str, phone: bool) -> Column:
+    """Label of a whole number as text: it can be a card or, with a hint, a telephone number."""
+    card = f"octet_length({value}) BETWEEN 13 AND 19 AND {value} >= '0' AND luhn_check({value})"
+    tests = [f"WHEN {card} THEN 'CREDIT_CARD'"]
+    if phone:
+        tests.insert(0, rf"WHEN {value} RLIKE r'^(?:{BARE_PHONE})\z' THEN 'PHONE'")
+    return F.expr(f"CASE {' '.join(tests)} END")
+
+
+def day_label(value: str) -> Column:
+    """Label of a day as text, in a column whose name speaks of births."""
+    return F.expr(rf"CASE WHEN {value} RLIKE r'^(?:{SHAPES['DATE_OF_BIRTH']})\z' THEN 'DATE_OF_BIRTH' END")
+
+
+def may_hold(text: Column, label: str) -> Column:
+    """Whether a text can have a piece with the label's shape; false for most texts, told fast."""
+    parts, pattern = TEXT_SIGNS[label]
+    tests = [text.contains(p) for p in parts] + ([text.rlike(pattern)] if pattern else [])
+    return reduce(Column.__or__, tests)
+
+
 def find_all(value: Column, label: str) -> Column:
     """All pieces of a text that have the shape of the label."""
     found = F.regexp_extract_all(value, F.lit(f"({SHAPES[label]})"), F.lit(1))
     if label == "CREDIT_CARD":
         found = F.filter(found, is_card_number)
+    if label in TEXT_SIGNS:
+        found = F.when(value.isNull() | may_hold(value, label), found).otherwise(F.array().cast("array<string>"))
     return found
 
 
@@ -146,19 +203,40 @@ def mask_digest(value: Column, salt: str = "") -> Column:
     return F.sha2(F.concat(F.lit(salt), value.cast("string")), 256)
 
 
+def _without_cards(text: Column, mark: str) -> Column:
+    """The text with each run of digits that is a card number replaced where it stands."""
+    runs = F.regexp_extract_all(text, F.lit(f"({SHAPES['CREDIT_CARD']})"), F.lit(1))
+    between = F.split(text, SHAPES["CREDIT_CARD"], -1)
+    shown = F.transform(runs, lambda run: F.when(is_card_number(run), F.lit(mark)).otherwise(run))
+    return F.array_join(
+        F.flatten(F.transform(F.arrays_zip(between.alias("a"), shown.alias("b")), lambda p: F.array(p["a"], p["b"]))),
+        "",
+    )
+
+
 def redact(text: Column, labels: list[str] | None = None) -> Column:
     """Replace every piece of a text with a telling shape by its label in brackets.
 
-    Runs of digits are card numbers only with the right check digit; others stay."""
-    for label in labels or TEXT_LABELS:
+    Runs of digits are card numbers only with the right check digit; others stay. Each label's
+    pattern is run over those texts only that can have it. The text is handed from label to label
+    as the one element of an array, so that it is computed once however often a step reads it."""
+    held = F.array(text)
+
+    def step(label: str):
         mark = f"[{label}]"
-        if label == "CREDIT_CARD":
-            pieces = find_all(text, label)
-            cards = F.aggregate(pieces, text, lambda t, piece: F.replace(t, piece, F.lit(mark)))
-            text = F.when(F.size(pieces) > 0, cards).otherwise(text)
-        else:
-            text = F.regexp_replace(text, SHAPES[label], mark)
-    return text
+
+        def replaced(t: Column) -> Column:
+            if label == "CREDIT_CARD":
+                new = _without_cards(t, mark)
+            else:
+                new = F.regexp_replace(t, SHAPES[label], mark)
+            return F.when(may_hold(t, label), new).otherwise(t) if label in TEXT_SIGNS else new
+
+        return replaced
+
+    for label in labels or TEXT_LABELS:
+        held = F.transform(held, step(label))
+    return held[0]
 
 
 def classification(label: Column, kind: Column) -> Column:

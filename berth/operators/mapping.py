@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from berth.operators.layout import literal, local_rows
+from berth.operators.load import write_snapshot
 from berth.operators.profile import tick
 
 # Scores of mappings by rule, and what stands in for missing fields.
@@ -204,13 +207,41 @@ def similar_names(
     return pairs.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
+def _assigned(pairs: DataFrame) -> DataFrame:
+    """A stable assignment among scored pairs (source_column, _similar, _score): no source and
+    target that are not given to each other both have each other before what they got. Ties go in
+    order of the names.
+
+    In each round the pairs that are best for both sides stand, and all other pairs of these
+    columns go; a column whose first choice was given away is free for its next one. Rounds are as
+    many as choices hang on one another, mostly one to three.
+    """
+    for_source = Window.partitionBy("source_column").orderBy(F.desc("_score"), "_similar")
+    for_target = Window.partitionBy("_similar").orderBy(F.desc("_score"), "source_column")
+    left = write_snapshot(pairs, label="pairs")
+    stand: list[DataFrame] = [left.limit(0)]
+    while left.limit(1).count():
+        agreed = (
+            left.withColumn("_first", F.row_number().over(for_source))
+            .withColumn("_second", F.row_number().over(for_target))
+            .filter((F.col("_first") == 1) & (F.col("_second") == 1))
+            .drop("_first", "_second")
+        )
+        agreed = write_snapshot(agreed, label="pairs")
+        stand.append(agreed)
+        for side in ("source_column", "_similar"):
+            left = left.join(agreed.select(side), side, "left_anti")
+        left = write_snapshot(left, label="pairs")
+    return reduce(DataFrame.unionByName, stand)
+
+
 def with_suggestions(
     mappings: DataFrame, similar: DataFrame, target: DataFrame | None = None
 ) -> DataFrame:
     """Give unmatched source columns a similar target, scored by the similarity.
 
-    Targets are given once: one that a column already has by name is out, and of the other
-    pairs those stand that are the best for both sides (ties in order of the names). With
+    Targets are given once: one that a column already has by name is out, and the others are
+    assigned among all ``similar`` pairs, so a column that another one outdoes gets its next choice. With
     ``target`` (column_name, data_type) the target's type is taken over, and a cast if it
     differs from the source's.
     """
@@ -224,14 +255,7 @@ def with_suggestions(
         .join(mappings.filter("suggestion").select("source_column"), "source_column", "left_semi")
         .join(taken, "_similar", "left_anti")
     )
-    for_source = Window.partitionBy("source_column").orderBy(F.desc("_score"), "_similar")
-    for_target = Window.partitionBy("_similar").orderBy(F.desc("_score"), "source_column")
-    agreed = (
-        open_pairs.withColumn("_first", F.row_number().over(for_source))
-        .withColumn("_second", F.row_number().over(for_target))
-        .filter((F.col("_first") == 1) & (F.col("_second") == 1))
-        .drop("_first", "_second")
-    )
+    agreed = _assigned(open_pairs)
     if target is not None:
         types = target.groupBy(F.col("column_name").alias("_similar")).agg(
             F.min("data_type").alias("_type")
@@ -313,6 +337,11 @@ def cast_plan(mappings: DataFrame) -> list[tuple[str, str, str]]:
     return [tuple(r) for r in rows.collect()]
 
 
+def target_names(mappings: DataFrame) -> list[str]:
+    """Names of the mapped columns in source order."""
+    return [target for _, target, _ in cast_plan(mappings)]
+
+
 def apply_mapping(
     df: DataFrame,
     plan: list[tuple[str, str, str]],

@@ -526,27 +526,35 @@ def _fitting_types(value: str) -> str:
     def bit(dtype: str, test: str) -> str:
         return f"CASE WHEN {test} THEN {TEXT_TYPES[dtype]} ELSE 0 END"
 
-    mantissa = f"regexp_replace({value}, '[eE].*', '')"
-    digits = f"length(regexp_replace({mantissa}, '^[-0.]+|[^0-9]', ''))"
-    size = f"abs(try_cast({value} AS double))"
-    held = f"{digits} <= {DOUBLE_DIGITS} AND ({digits} = 0 OR {size} BETWEEN 1e-300 AND 1e300)"
-    whole = f"length(regexp_replace({value}, '-|[.].*', ''))"
-    fraction = f"length(regexp_replace({value}, '^[^.]*[.]?', ''))"
+    def digits(number: str) -> str:
+        return f"length(replace(trim(LEADING '-0.' FROM {number}), '.', ''))"
+
+    def held(number: str) -> str:
+        size = f"abs(try_cast({value} AS double))"
+        few, none = f"{digits(number)} <= {DOUBLE_DIGITS}", f"{digits(number)} = 0"
+        return f"{few} AND ({none} OR {size} BETWEEN 1e-300 AND 1e300)"
+
+    # The parts of a number by its signs, which the shape has shown to stand where they may.
+    mantissa = f"substring_index(substring_index({value}, 'e', 1), 'E', 1)"
+    whole = f"length(replace(substring_index({value}, '.', 1), '-', ''))"
+    fraction = f"CASE WHEN contains({value}, '.') THEN length({value}) - instr({value}, '.') ELSE 0 END"
     exact = f"{whole} <= {WHOLE_DIGITS} AND {fraction} <= {FRACTION_DIGITS}"
     numbers = " + ".join(
         [
             bit("int", casts("int")),
             bit("bigint", casts("bigint")),
             bit("decimal(38,0)", f"{whole} <= 38"),
-            bit("double", held),
-            bit("decimal(38,18)", exact),
+            bit("double", f"{digits(value)} <= {DOUBLE_DIGITS}"),
+            bit("decimal(38,18)", f"{whole} <= {WHOLE_DIGITS}"),
         ]
     )
+    first = ", ".join(str(ord(c)) for c in "-.0123456789tTfF")
     return (
         f"CASE WHEN {value} IS NULL THEN NULL "
+        f"WHEN ascii({value}) NOT IN ({first}) THEN 0 "
         f"WHEN {shape('whole number')} THEN {numbers} "
-        f"WHEN {shape('plain number')} THEN {bit('double', held)} + {bit('decimal(38,18)', exact)} "
-        f"WHEN {shape('number')} THEN {bit('double', held)} "
+        f"WHEN {shape('plain number')} THEN {bit('double', held(value))} + {bit('decimal(38,18)', exact)} "
+        f"WHEN {shape('number')} THEN {bit('double', held(mantissa))} "
         f"WHEN {shape('date')} THEN {bit('date', casts('date'))} "
         f"WHEN {shape('timestamp')} THEN {bit('timestamp_ntz', casts('timestamp_ntz'))} "
         f"WHEN {shape('truth value')} THEN {TEXT_TYPES['boolean']} ELSE 0 END"
@@ -556,17 +564,17 @@ def _fitting_types(value: str) -> str:
 def infer_text_schema(df: DataFrame) -> DataFrame:
     """Schema rows for a table of strings: the narrowest type that keeps every value.
 
-    One scan at any width: each value is matched once and becomes the bits of the types
-    it fits, which are combined per column before the shuffle. Whole numbers beyond
+    One scan at any width: values become rows first, so that one copy of the test serves all
+    columns; each becomes the bits of the types it fits, which are combined per column before the
+    shuffle. Whole numbers beyond
     ``bigint`` and long fractions get an exact decimal, and what no type would give back
     as it was (leading zeros, plus signs) stays text, as does a column without values.
     """
     names = df.columns
-    cells = ", ".join(
-        f"struct({i} AS slot, {_fitting_types(tick(n))} AS fit)" for i, n in enumerate(names)
-    )
+    cells = ", ".join(f"struct({i} AS slot, {tick(n)} AS value)" for i, n in enumerate(names))
     found = (
         df.selectExpr(f"inline(array({cells}))")
+        .selectExpr("slot", f"{_fitting_types('value')} AS fit")
         .groupBy("slot")
         .agg(
             F.expr("count(1) AS _rows"), F.expr("count(fit) AS _given"), F.expr("bit_and(fit) AS _fit")

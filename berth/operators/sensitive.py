@@ -58,6 +58,17 @@ def value_as_text(name: str, dtype: T.DataType) -> str | None:
     return None
 
 
+def _kind(dtype: T.DataType, hints: dict[str, bool]) -> str | None:
+    """Which labels the values of a type can have; None for none."""
+    if isinstance(dtype, T.StringType):
+        return "text"
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return "day" if hints["DATE_OF_BIRTH"] else None
+    if isinstance(dtype, T.IntegralType) or (isinstance(dtype, T.DecimalType) and dtype.scale == 0):
+        return "phone" if hints["PHONE"] else "number"
+    return None
+
+
 def value_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Values per (table, column, label), with the smallest masked sample of each label.
 
@@ -71,19 +82,27 @@ def value_counts(tables: dict[str, DataFrame]) -> DataFrame:
         for field in df.schema.fields:
             value = value_as_text(field.name, field.dataType)
             if value is not None:
-                hints = ", ".join(
-                    f"{str(hint).lower()} AS {label}"
-                    for label, hint in sens.name_hints(field.name).items()
+                hints = sens.name_hints(field.name)
+                kind = _kind(field.dataType, hints)
+                told = ", ".join(f"{str(hint).lower()} AS {label}" for label, hint in hints.items())
+                cells.append(
+                    f"struct({literal(field.name)} AS column_name, {tick(field.name)} IS NOT NULL AS given, "
+                    f"{value if kind else 'NULL'} AS value, {literal(kind)} AS kind, {told})"
                 )
-                name = literal(field.name)
-                cells.append(f"struct({name} AS column_name, {value} AS value, {hints})")
         if cells:
-            values = df.selectExpr(f"inline(array({', '.join(cells)}))").filter("value IS NOT NULL")
+            values = df.selectExpr(f"inline(array({', '.join(cells)}))").filter("given")
             parts.append(values.withColumn("table_name", F.lit(table)))
     hinted = {label: label for label in sens.NAME_HINTS}
-    labelled = reduce(DataFrame.unionByName, parts).withColumn(
-        "label", sens.value_label("value", hinted)
+    # What a type cannot hold is not looked for: numbers can be cards or telephone numbers, days
+    # can be birthdays, and fractions are nothing.
+    kind = F.col("kind")
+    label = (
+        F.when(kind == "text", sens.value_label("value", hinted))
+        .when(kind == "phone", sens.number_label("value", phone=True))
+        .when(kind == "number", sens.number_label("value", phone=False))
+        .when(kind == "day", sens.day_label("value"))
     )
+    labelled = reduce(DataFrame.unionByName, parts).withColumn("label", label)
     prefix = F.when(F.col("label").isNotNull(), F.substring("value", 1, sens.PREFIX_LENGTH))
     by_prefix = (
         labelled.groupBy("table_name", "column_name", "label", prefix.alias("prefix"))

@@ -2,11 +2,15 @@
 
 from berth.plans import (  # noqa: F401
     dictionary,
+    file_profiles,
     files,
     history,
     mapping,
+    parts,
     profiling,
+    relations,
     runlog,
+    rollups,
     runs,
     sensitive,
     streams,

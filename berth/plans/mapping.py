@@ -479,7 +479,7 @@ def synonyms(spark, sf_dir):
 def _suggested_sql(source: str, target: list[tuple[str, str]]) -> str:
     known = ", ".join(f"('{c}', '{t}')" for c, t in target)
     return (
-        f"WITH m AS ({_mapping_sql(source, '', target)}), "
+        f"WITH RECURSIVE m AS ({_mapping_sql(source, '', target)}), "
         "a AS (SELECT source_column AS name, string_split(source_column, '_') AS w FROM m "
         "WHERE suggestion), "
         f"b AS (SELECT * FROM (VALUES {known}) AS v(name, dtype) "
@@ -487,16 +487,22 @@ def _suggested_sql(source: str, target: list[tuple[str, str]]) -> str:
         "p AS (SELECT a.name AS source_column, b.name AS known, b.dtype, "
         "CAST(len(list_intersect(a.w, string_split(b.name, '_'))) AS DOUBLE) / "
         "len(list_distinct(list_concat(a.w, string_split(b.name, '_')))) AS s FROM a, b), "
-        "t AS (SELECT *, row_number() OVER (PARTITION BY source_column ORDER BY s DESC, known) AS r, "
-        "row_number() OVER (PARTITION BY known ORDER BY s DESC, source_column) AS q "
-        "FROM p WHERE s >= CAST(0.3 AS DOUBLE)) "
+        # The best pair of columns that are both free, again and again.
+        "o AS (SELECT *, row_number() OVER (ORDER BY s DESC, source_column, known) AS i FROM p "
+        "WHERE s >= CAST(0.3 AS DOUBLE)), "
+        "g AS (SELECT CAST(0 AS BIGINT) AS at, CAST([] AS VARCHAR[]) AS us, CAST([] AS VARCHAR[]) AS ut "
+        "UNION ALL SELECT at + 1, CASE WHEN list_contains(us, source_column) OR list_contains(ut, known) "
+        "THEN us ELSE list_append(us, source_column) END, CASE WHEN list_contains(us, source_column) OR "
+        "list_contains(ut, known) THEN ut ELSE list_append(ut, known) END FROM g JOIN o ON i = at + 1), "
+        "t AS (SELECT o.* FROM o JOIN (SELECT unnest(us) AS source_column, unnest(ut) AS known FROM "
+        "(SELECT * FROM g ORDER BY at DESC LIMIT 1)) USING (source_column, known)) "
         "SELECT ordinal, source_column, coalesce(known, target_column) AS target_column, "
         "coalesce(dtype, target_data_type) AS target_data_type, "
         "coalesce(s, confidence_score) AS confidence_score, CASE WHEN known IS NULL THEN "
         "transformation_type WHEN dtype <> source_data_type THEN 'TYPE_CAST' ELSE 'DERIVED' END "
         "AS transformation_type, CASE WHEN dtype <> source_data_type THEN concat('CAST(', "
         "source_column, ' AS ', dtype, ')') ELSE transformation_logic END AS transformation_logic, "
-        "non_null_count FROM m LEFT JOIN (SELECT * FROM t WHERE r = 1 AND q = 1) AS t "
+        "non_null_count FROM m LEFT JOIN t "
         "USING (source_column)"
     )
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -25,6 +25,9 @@ from berth.operators import profile as prof
 from berth.operators import runlog as log
 from berth.operators import sensitive as sens
 from berth.operators.layout import local_rows
+from berth.operators.parts import PartTable
+from berth.operators.profile import quoted, tick
+from berth.plans import platform
 from berth.sources import readers, sinks
 
 # Kinds of runs with their steps, and the layers of a load.
@@ -37,6 +40,9 @@ RUN_STEPS = {
     MAPPING_ONLY: ["MAPPING"],
 }
 LAYERS = ["staging", "intermediate", "curated"]
+LOADED_AT = "loaded_at"
+#: Parts of a curated table that a run creates.
+CURATED_PARTS = 64
 
 LOG_LAYOUT = (
     "workflow_id string, execution_id string, workflow_type string, agent_name string, "
@@ -106,11 +112,15 @@ def onboard(
     workflow_type: str = ONBOARDING,
     source_system: str = "lake",
     table_name: str | None = None,
+    keys: Sequence[str] = (),
+    load_column: str | None = None,
 ) -> Outcome:
-    """Run the steps of one kind of onboarding over a whole input.
+    """Run the steps of one kind of onboarding over a whole input, and fill the platform tables.
 
     ``target`` holds the column rows of the target table; without it new names are suggested.
-    A step that fails ends the run; both are logged as FAILED.
+    With ``keys`` (target columns) the mapping step also merges what it loaded into the curated
+    table of that name, by parts: rows beyond the mark of ``load_column``, or all without one; and
+    it tests its keys. A step that fails ends the run; both are logged as FAILED.
     """
     if workflow_type not in RUN_STEPS:
         raise ValueError(f"unknown workflow type {workflow_type}")
@@ -175,11 +185,17 @@ def onboard(
         frames["mappings"] = store.append("mappings", matched, workflow_id)
         mapped = mp.apply_mapping(df, mp.cast_plan(frames["mappings"]))
         rules = {"casts succeed": F.size("cast_errors") == 0}
+        rules |= {f"{k} is given": quoted(k).isNotNull() for k in keys}
         flagged = store.append(
             "intermediate", load.flag_validity(mapped, rules), workflow_id
         )
         frames["loaded"] = load.clean_rows(flagged).drop("cast_errors")
         frames["rejected"] = load.reject_rows(flagged)
+        if keys:
+            frames["curated"] = _curated(store, table, frames["loaded"], keys, load_column).read()
+            tests = dic.not_null_test(frames["loaded"], table, mp.target_names(frames["mappings"]))
+            tests = tests.unionByName(dic.unique_test(frames["curated"], table, list(keys)))
+            frames["tests"] = store.append("tests", tests, workflow_id)
         return texts.MAPPING_TEXT % (len(df.columns), len(LAYERS) + 1)
 
     steps: dict[str, Callable[[DataFrame], str]] = {
@@ -188,12 +204,17 @@ def onboard(
         "MAPPING": mapping,
     }
     started = _now()
+    run = platform.Run(
+        workflow_id, workflow_type, path, file_format, table, source_system, target_schema, started
+    )
     store.log(**common, status="INITIATED", start_time=started)
     done: list[str] = []
     df: DataFrame | None = None
     for agent in RUN_STEPS[workflow_type]:
         step = {**common, "agent_name": agent, "execution_id": uuid.uuid4().hex}
         begun = _now()
+        told = platform.Step(agent, step["execution_id"], begun, given={"path": path, "format": file_format})
+        run.steps.append(told)
         store.log(**step, status="RUNNING", start_time=begun)
         try:
             if df is None:
@@ -220,6 +241,10 @@ def onboard(
                 error_message=reason,
                 summary=reason,
             )
+            told.ended = run.ended = _now()
+            told.status = run.status = "FAILED"
+            told.error = run.error = reason
+            platform.record(store, run, frames)
             return Outcome(workflow_id, "FAILED", reason, frames)
         store.log(
             **step,
@@ -228,6 +253,10 @@ def onboard(
             duration_seconds=_seconds(begun),
             summary=summary,
         )
+        told.ended, told.status = _now(), "COMPLETED"
+        told.result = {"summary": summary, "columns": len(df.columns)}
+        if agent == "MAPPING":
+            told.result["models"] = len(LAYERS) + 1
         done.append(agent)
     steps_done = step_states(store).filter(F.col("workflow_id") == workflow_id)
     frames["metrics"] = store.append("metrics", log.step_metrics(steps_done), workflow_id)
@@ -239,9 +268,69 @@ def onboard(
         duration_seconds=_seconds(started),
         summary=summary,
     )
+    run.ended, run.status = _now(), "COMPLETED"
+    platform.record(store, run, frames)
     return Outcome(workflow_id, "COMPLETED", summary, frames)
 
 
+def _curated(
+    store: Store, table: str, rows: DataFrame, keys: Sequence[str], load_column: str | None
+) -> PartTable:
+    """The curated table after merging what a run has loaded."""
+    base = store.path(f"curated/{table}")
+    curated = PartTable(store.spark, base)
+    if not curated.states.numbers():
+        curated = PartTable.create(store.spark, base, rows.schema, keys, CURATED_PARTS, load_column)
+    curated.widen(rows.schema)
+    if load_column:
+        curated.load(rows, inclusive=True)
+    else:
+        # The run is the version: all its rows take over.
+        curated.merge(rows, [LOADED_AT])
+    return curated
+
+
+def decide(store: Store, proposal_id: str, decision: str, by: str) -> None:
+    """Add a decision on a DDL proposal."""
+    if decision not in dic.DECISIONS:
+        raise ValueError(f"unknown decision {decision}")
+    now = _now()
+    row = local_rows(
+        store.spark,
+        [(proposal_id, decision, by, f"{now:%Y-%m-%d %H:%M:%S.%f}", int(now.timestamp() * 1e6))],
+        "proposal_id string, decision string, decided_by string, decided_at timestamp_ntz, seq bigint",
+    )
+    sinks.append_rows(row, store.path("decisions"))
+
+
+def proposals(store: Store) -> DataFrame:
+    """All DDL proposals with their newest decision."""
+    given = platform.read_table(store, "ddl_proposals").drop("approval_status", "approved_by", "approved_at")
+    if not store.holds("decisions"):
+        layout = "proposal_id string, decision string, decided_by string, decided_at timestamp_ntz, seq bigint"
+        return dic.proposal_state(given, store.spark.createDataFrame([], layout))
+    return dic.proposal_state(given, store.read("decisions"))
+
+
+def execute_proposal(store: Store, proposal_id: str, df: DataFrame) -> DataFrame:
+    """Create the landing table of an approved proposal from its input, if every cell fits the
+    proposed types; a proposal that is not approved, or an input that does not fit, is an error."""
+    states = dic.executable(proposals(store)).filter(F.col("proposal_id") == proposal_id)
+    found = states.select("workflow_id", "proposed_table_name").collect()
+    if not found:
+        raise ValueError(f"proposal {proposal_id} is not approved")
+    workflow_id, name = found[0]
+    # One row per column of the table.
+    types = store.spark.read.parquet(f"{store.path('types')}/run={workflow_id}").orderBy("ordinal")
+    proposed = [(r["column_name"], r["proposed_type"]) for r in types.collect()]
+    ddl = ", ".join(f"{tick(c)} {t}" for c, t in proposed)
+    bad = dic.conformity(df, ddl).filter("NOT passed").select("column_name").collect()
+    if bad:
+        raise ValueError(f"{name} does not fit its proposal: {', '.join(r[0] for r in bad)}")
+    typed = df.select(*(quoted(c).cast(t).alias(c) for c, t in proposed))
+    return load.write_snapshot(typed, store.path(f"landing_tables/{name}/{proposal_id}"))
+
+
 def _seconds(since: dt.datetime) -> decimal.Decimal:
     return decimal.Decimal(f"{(_now() - since).total_seconds():.2f}")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from berth.operators import profile as prof
+from berth.operators import selection as sel
 from berth.plans import sqltext
 from berth.plans.registry import query, table, tables
 
@@ -48,9 +49,17 @@ def profile_distribution(spark, sf_dir):
     return rows.withColumns({c: F.round(c, 4) for c in ("mean", "stddev")})
 
 
-@query("profile_percentiles")
+@query(
+    "profile_percentiles",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({s} AS DOUBLE) AS share, "
+        f"CAST(quantile_disc({c}, {s}) AS DOUBLE) AS value FROM lineitem"
+        for c in _NUMERIC
+        for s in (0.25, 0.5, 0.75)
+    ),
+)
 def profile_percentiles(spark, sf_dir):
-    return prof.percentiles(table(spark, sf_dir, "lineitem"), _NUMERIC)
+    return sel.exact_percentiles(table(spark, sf_dir, "lineitem"), _NUMERIC)
 
 
 @query(

@@ -80,7 +80,7 @@ def label_sql(value: str, name: str | None = None) -> str:
             test = f"CASE WHEN {test} THEN {_luhn_sql(value)} ELSE false END"
         if hints.get("PHONE") and label == "PHONE":
             test = f"({test} OR regexp_full_match({value}, '{sens.BARE_PHONE}'))"
-        if label == "DATE_OF_BIRTH" and hints and not hints[label]:
+        if label in ("DATE_OF_BIRTH", "NAME") and hints and not hints[label]:
             continue
         tests.append(f"WHEN {test} THEN '{label}'")
     return f"CASE {' '.join(tests)} END"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from berth.operators import load
 from berth.plans.registry import query
 from berth.plans.sqltext import COLUMNS
+from berth.streaming import lifecycle as lc
 from berth.streaming import streams as st
 
 
@@ -145,3 +146,47 @@ def stream_quarantine(spark, sf_dir):
 def stream_accepted(spark, sf_dir):
     path = _quarantined(spark, sf_dir, "stream-accepts")
     return st.branch(spark, path, _BRANCH_SCHEMA, valid=True)
+
+
+_RUN_EVENTS = (
+    "concat('r', CAST(event_id DIV 7 AS STRING)) AS workflow_id",
+    "CASE event_type WHEN 'purchase' THEN 'COMPLETED' WHEN 'error' THEN 'FAILED' ELSE 'RUNNING' END "
+    "AS status",
+    "CAST(ts AS TIMESTAMP) AS at",
+    "event_id AS seq",
+    "CASE WHEN event_type = 'error' THEN concat('step ', CAST(event_id AS STRING)) END AS error_message",
+    "props AS payload",
+)
+
+
+@query(
+    "stream_lifecycle",
+    "WITH e AS (SELECT concat('r', event_id // 7) AS workflow_id, ts, event_id, CASE event_type WHEN "
+    "'purchase' THEN 'COMPLETED' WHEN 'error' THEN 'FAILED' ELSE 'RUNNING' END AS status, "
+    "CASE WHEN event_type = 'error' THEN concat('step ', event_id) END AS error_message, "
+    "CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events), "
+    "r AS (SELECT workflow_id, arg_max(status, event_id) AS last_status, min(ts) AS started_at, "
+    "max(ts) AS ended_at, CAST(epoch_us(max(ts)) - epoch_us(min(ts)) AS DOUBLE) / 1000000 AS duration_seconds, "
+    "count(*) AS events, max(event_id) AS last_id, arg_max(k, event_id) AS k FROM e GROUP BY workflow_id) "
+    "SELECT workflow_id, CASE last_status WHEN 'RUNNING' THEN 'FAILED' ELSE last_status END AS status, "
+    "started_at, ended_at, duration_seconds, events, CASE last_status WHEN 'RUNNING' THEN "
+    "'no end within 3600 seconds' WHEN 'FAILED' THEN concat('step ', last_id) END AS error_message, k, "
+    "last_status = 'RUNNING' AS timed_out FROM r WHERE ended_at + CASE last_status WHEN 'RUNNING' THEN "
+    "INTERVAL 1 HOUR ELSE INTERVAL 10 MINUTE END < (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)",
+)
+def stream_lifecycle(spark, sf_dir):
+    path, progress = st.stream_folders(spark, "stream-lifecycle")
+    events = stream_of(spark, sf_dir, "events").selectExpr(*_RUN_EVENTS)
+    st.to_folder(lc.with_variant(lc.ended_runs(events)), path, progress)
+    runs = spark.read.parquet(path)
+    return runs.select(
+        "workflow_id",
+        "status",
+        F.col("started_at").cast("timestamp_ntz").alias("started_at"),
+        F.col("ended_at").cast("timestamp_ntz").alias("ended_at"),
+        "duration_seconds",
+        "events",
+        "error_message",
+        F.try_variant_get("payload", "$.k", "bigint").alias("k"),
+        "timed_out",
+    )

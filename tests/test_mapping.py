@@ -106,6 +106,15 @@ def test_ddl_and_table_name(spark):
     df = spark.createDataFrame([(t,) for t in texts], "d string")
     names = [r["n"] for r in df.select(dic.ddl_table_name(F.col("d")).alias("n")).collect()]
     assert names == ["t", "x", "C_1", "UNKNOWN_TABLE"]
+    more = {
+        "create table if not exists x (a int)": "x",
+        'CREATE OR REPLACE TEMPORARY TABLE a . "My ""T""" (a int)': 'My "T"',
+        "create transient table c.s.`odd ``name`` 1` as select 1": "odd `name` 1",
+        "CREATE\n TABLE\tiffy(a int)": "iffy",
+        "CREATE VIEW v AS SELECT 1": "UNKNOWN_TABLE",
+    }
+    df = spark.createDataFrame([(t,) for t in more], "d string")
+    assert [r["n"] for r in df.select(dic.ddl_table_name(F.col("d")).alias("n")).collect()] == [*more.values()]
 
 
 def test_dictionary_upsert_is_idempotent(spark):
@@ -181,3 +190,32 @@ def test_competing_sources_get_one_target_each(spark):
     assert (best["target_column"], best["target_data_type"], best["transformation_type"]) == ("key_part", "string", "TYPE_CAST")
     assert best["transformation_logic"] == "CAST(part_key AS string)"
     assert (other["target_column"], other["target_data_type"]) == ("old_part_key", "bigint")
+
+
+def test_a_column_that_is_outdone_gets_its_next_choice(spark):
+    layout = "column_name string, data_type string, ordinal int"
+    source = spark.createDataFrame([("part_key", "bigint", 0), ("part_key_code", "bigint", 1)], layout)
+    target = spark.createDataFrame([("key_part", "bigint", 0), ("part_code_zone", "bigint", 1)], layout)
+    mappings = mp.match_columns(source, target)
+    rows = {
+        r["source_column"]: (r["target_column"], r["confidence_score"])
+        for r in mp.with_suggestions(mappings, mp.similar_names(source, target), target).collect()
+    }
+    assert rows == {"part_key": ("key_part", 1.0), "part_key_code": ("part_code_zone", 0.5)}
+
+
+def test_assignments_are_stable_and_complete(spark):
+    import random
+
+    draw = random.Random(5)
+    names = [[f"{side}{n:02}" for n in range(12)] for side in "st"]
+    pairs = {(a, b): draw.randint(1, 6) / 6 for a in names[0] for b in names[1] if draw.random() < 0.5}
+    df = spark.createDataFrame([(*k, v) for k, v in pairs.items()], "source_column string, _similar string, _score double")
+    got = {(r["source_column"], r["_similar"]) for r in mp._assigned(df).collect()}
+    given, taken, expected = set(), set(), set()
+    for a, b in sorted(pairs, key=lambda p: (-pairs[p], p)):
+        if a not in given and b not in taken:
+            expected.add((a, b))
+            given.add(a)
+            taken.add(b)
+    assert got == expected

@@ -4,7 +4,9 @@ import pytest
 
 from berth.operators import mapping as mp
 from berth.plans import onboarding as onb
+from berth.plans import platform
 from berth.session import scratch_dir
+from berth.sources.layouts import LAYOUTS
 
 FEED = "id,email,amount\n1,a@mail.example.org,2.5\n2,b@mail.example.org,x\n3,c@mail.example.org,4\n"
 
@@ -78,3 +80,67 @@ def test_text_is_parsed_once_for_all_steps(spark, store, tmp_path):
         plan = done.frames[name]._jdf.queryExecution().executedPlan().toString()
         assert "FileScan csv" not in plan
     assert store.read("landing").count() == 3
+
+
+def test_a_run_fills_the_platform_tables(spark, store, tmp_path):
+    path = tmp_path / "feed.csv"
+    path.write_text(FEED)
+    done = onb.onboard(spark, store, str(path))
+    lost = onb.onboard(spark, store, str(tmp_path / "gone.csv"))
+    runs = {r["workflow_id"]: r for r in platform.read_table(store, "workflow_executions").collect()}
+    assert runs[done.workflow_id]["status"] == "COMPLETED"
+    assert runs[done.workflow_id]["agent_sequence"] == ["PROFILING", "DICTIONARY", "MAPPING"]
+    assert (runs[lost.workflow_id]["status"], runs[lost.workflow_id]["error_message"]) == (
+        "FAILED", "Error: PATH_NOT_FOUND",
+    )
+    steps = platform.read_table(store, "agent_execution_log")
+    assert steps.count() == 4 and steps.filter("status = 'FAILED'").count() == 1
+    ids = set()
+    for name in LAYOUTS:
+        rows = platform.read_table(store, name)
+        assert rows.columns == [c.split(" ")[0] for c in LAYOUTS[name].split(", ")]
+        assert rows.count() > 0, name
+        ids |= {(name, r[0]) for r in rows.collect()}
+    assert len(ids) == sum(platform.read_table(store, n).count() for n in LAYOUTS)
+    (profile,) = platform.read_table(store, "agent_profiling_history").collect()
+    assert profile["workflow_id"] == done.workflow_id and profile["pii_detected"] == ["email"]
+
+
+def test_runs_merge_into_the_curated_table(spark, store, tmp_path):
+    path = tmp_path / "feed.csv"
+    path.write_text(FEED)
+    first = onb.onboard(spark, store, str(path), keys=["id"])
+    assert {r["id"]: r["email"] for r in first.frames["curated"].collect()} == {
+        1: "a@mail.example.org", 2: "b@mail.example.org", 3: "c@mail.example.org",
+    }
+    assert {(r["column_name"], r["test"]): r["failures"] for r in first.frames["tests"].collect()}[("id", "unique")] == 0
+    path.write_text("id,email,amount,more\n2,new@mail.example.org,2.5,x\n,lost@mail.example.org,1,y\n4,d@mail.example.org,1,y\n")
+    again = onb.onboard(spark, store, str(path), keys=["id"])
+    assert again.status == "COMPLETED", again.summary
+    rows = {r["id"]: (r["email"], r["more"]) for r in again.frames["curated"].collect()}
+    assert rows[2] == ("new@mail.example.org", "x") and rows[1] == ("a@mail.example.org", None) and len(rows) == 4
+    assert again.frames["rejected"].select("violations").collect()[0][0] == ["id is given"]
+
+
+def test_only_approved_proposals_create_tables(spark, store, tmp_path):
+    path = tmp_path / "feed.csv"
+    path.write_text(FEED)
+    done = onb.onboard(spark, store, str(path))
+    (proposal,) = onb.proposals(store).collect()
+    assert proposal["approval_status"] == "PENDING"
+    landing = store.read("landing").drop("run")
+    name = proposal["proposal_id"]
+    with pytest.raises(ValueError, match="not approved"):
+        onb.execute_proposal(store, name, landing)
+    onb.decide(store, name, "REJECTED", "ann")
+    onb.decide(store, name, "APPROVED", "bo")
+    (state,) = onb.proposals(store).collect()
+    assert (state["approval_status"], state["approved_by"]) == ("APPROVED", "bo")
+    created = onb.execute_proposal(store, name, landing)
+    assert created.count() == 3 and created.columns == ["id", "email", "amount"]
+    long = landing.withColumn("id", onb.F.lit("many"))
+    with pytest.raises(ValueError, match="id"):
+        onb.execute_proposal(store, name, long)
+    with pytest.raises(ValueError):
+        onb.decide(store, name, "MAYBE", "ann")
+    assert done.status == "COMPLETED"

@@ -12,7 +12,8 @@ from berth.plans import catalogue, profiling
 
 QUERIES = catalogue.QUERIES
 # These run whole jobs while they build their frame; their operators are covered elsewhere.
-EAGER = ("stream_", "onboarding_", "read_", "append_", "insert_", "snapshot_", "failed_", "many_", "corrupt_")
+EAGER = ("stream_", "onboarding_", "read_", "append_", "insert_", "snapshot_", "failed_", "many_", "corrupt_",
+         "platform_")
 
 
 def plan_of(df):
