@@ -7,7 +7,7 @@ scaled indicators is fitted by dual coordinate descent on a bounded sample of th
 towards its mean weight. A logistic curve on sampled texts that were not fitted gives the score.
 
 Bounds, all independent of the corpus: BUCKETS counts per class come to the driver, and the model
-is fitted there on at most SAMPLE texts (each at most BUCKETS places). Counts cover all labelled
+is fitted there on at most SAMPLE + 2 * LEAST texts (each at most BUCKETS places). Counts cover all labelled
 texts outside the held-out fold.
 
 Defined results: a null or empty text has no indicators and gets the score of the bias alone; a
@@ -45,6 +45,8 @@ from berth.llm.common import (
 FOLDS, HELD_OUT = 3, 1
 BUCKETS = 1 << 18
 SAMPLE = 6_000
+#: Texts of each class that are fitted at least, if there are so many.
+LEAST = 200
 #: One sampled text in so many fits the curve only.
 CURVE_FOLDS = 5
 SMOOTH = 1.0
@@ -198,27 +200,33 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_out: int =
             found = [indicators(t) for t in texts(batch.column(2))]
             yield record_batch(schema, [batch.column(0), batch.column(1), found])
 
-    # At most SAMPLE ids, drawn by a hash of the id.
-    drawn = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    # At most SAMPLE ids, drawn by a hash of the id, and the first LEAST ids of each class where
+    # these are not among them.
+    order = (F.xxhash64("doc_id"), "doc_id")
+    drawn = known.orderBy(*order).limit(SAMPLE)
+    for y in (0, 1):
+        drawn = drawn.union(known.where(F.col("y") == y).orderBy(*order).limit(LEAST))
+    drawn = drawn.distinct()
     drawn = drawn.withColumn("curve", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(CURVE_FOLDS)) == 0)
     sample = (
         given.join(F.broadcast(drawn), "doc_id")
         .select("y", "curve", "text")
         .mapInArrow(features, "y int, curve boolean, at array<int>")
-        .limit(2 * SAMPLE)
+        .limit(2 * (SAMPLE + 2 * LEAST))
         .toArrow()
     )
     y = sample.column("y").to_numpy() * 2 - 1
     curve = sample.column("curve").to_numpy(zero_copy_only=False)
     rows = [r.values.to_numpy() for r in sample.column("at")]
-    if len(set(y[~curve].tolist())) < 2:
+    if len(set(y.tolist())) < 2:
         return Model(np.zeros(BUCKETS), 0.0, known=False)
-    weight, bias = descend([r for r, c in zip(rows, curve, strict=True) if not c], y[~curve], ratios)
+    fitted = ~curve if len(set(y[~curve].tolist())) == 2 else np.ones(len(y), dtype=bool)
+    weight, bias = descend([r for r, c in zip(rows, fitted, strict=True) if c], y[fitted], ratios)
     used = weight != 0
     mean = np.abs(weight[used]).mean() if used.any() else 0.0
     blended = OWN_WEIGHT * weight + (1 - OWN_WEIGHT) * mean * used
     model = Model(blended * ratios, bias)
-    at = curve if len(set(y[curve].tolist())) == 2 else ~curve
+    at = curve if len(set(y[curve].tolist())) == 2 else fitted
     margins = model.margins([r for r, c in zip(rows, at, strict=True) if c])
     x = np.stack([margins, np.ones(len(margins))], axis=1)
     good = (y[at] + 1) // 2

@@ -390,13 +390,16 @@ def _inputs(rows: np.ndarray) -> np.ndarray:
 
 
 def _drawn(labelled: DataFrame) -> DataFrame:
-    """(doc_id, y) of the texts for the curve: of each class one in CURVE_SHARE, SAMPLE at most,
-    drawn by a hash of the id."""
+    """(doc_id, y, kept) of the texts for the curve: of each class one in CURVE_SHARE, SAMPLE at
+    most, drawn by a hash of the id. A class of fewer texts than CURVE_SHARE lends all of them to
+    the curve and keeps them in the counts, or it would have none in one of the two."""
     rows = []
     for y, n in labelled.groupBy("y").count().collect():
         of_class = labelled.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id")
-        rows += of_class.select("doc_id", "y").limit(min(SAMPLE, n // CURVE_SHARE)).collect()
-    return labelled.sparkSession.createDataFrame(rows, "doc_id long, y int")
+        kept = n < CURVE_SHARE
+        taken = of_class.select("doc_id", "y").limit(n if kept else min(SAMPLE, n // CURVE_SHARE))
+        rows += [(*r, kept) for r in taken.collect()]
+    return labelled.sparkSession.createDataFrame(rows, "doc_id long, y int, kept boolean")
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> Model:
@@ -405,7 +408,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_out: int =
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     labelled = stored(given.select("doc_id").join(bounded(known), "doc_id").distinct(), "labelled")
     drawn = _drawn(labelled)
-    counted = labelled.join(F.broadcast(drawn), "doc_id", "left_anti")
+    counted = labelled.join(F.broadcast(drawn.where("NOT kept")), "doc_id", "left_anti")
     model = fit_counts(stored(word_counts(given.join(bounded(counted), "doc_id")), "words"))
     if not model.known:
         return model

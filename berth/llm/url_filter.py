@@ -7,9 +7,10 @@ encodes the rules' keys; level two those keys of the corpus that level one takes
 mistake; level three the rules that level two takes for mistakes; and so on until a level makes
 no mistake. Over the corpus's complete set of keys the answer is exact, so the urls need no join.
 
-The filters are arrays of longs in the plan. Their size depends on the number of rules and of
-false positives, not on the corpus; beyond MOST_BITS the keys are joined instead, which is exact
-at any size.
+The filters are arrays of longs in the plan. Level one makes mistakes so seldom that there are about
+as many of them as rules, so the levels grow with the number of rules, not with the corpus (level
+one by a few bits a rule as the corpus grows); where a level would have more than MOST_BITS the
+keys are joined instead, which is exact at any size.
 
 Defined results: a null url, or one without ``://``, has an empty host and path and fits no rule;
 a url that fits no rule is allowed, as a key that is not listed; repeated rows give repeated rows;
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 
 from berth.llm.common import stored
 
-#: Share of mistakes that a level may make, the first level and the others.
-FIRST_RATE, RATE = 0.01, 0.3
+#: Share of mistakes that a level may make; the first level has the one that ``first_rate`` says.
+RATE = 0.3
 #: A level of more bits than this (8 MB) is not put into the plan.
 MOST_BITS = 1 << 26
 #: Each level holds about RATE times as many keys as the one before the last.
@@ -111,6 +112,12 @@ def bits_for(count: int, rate: float) -> int:
     return 64 * max(1, math.ceil(count * -math.log(rate) / math.log(2) ** 2 / 64))
 
 
+def first_rate(listed: int, universe: int) -> float:
+    """Share of mistakes of the first level that leaves about as many mistakes as there are listed
+    keys, however many more the universe has: the levels' sizes follow the list alone."""
+    return min(RATE, max(listed / max(universe - listed, 1) / math.sqrt(2), 1e-15))
+
+
 def build_level(keys: DataFrame, rate: float, salt: int) -> Level | None:
     """A filter of the ``key`` column; None if there are no keys. Its bits are or-ed in the tasks
     and at most MOST_BITS of them come to the driver."""
@@ -135,11 +142,12 @@ def build_level(keys: DataFrame, rate: float, salt: int) -> Level | None:
 
 def build_cascade(listed: DataFrame, universe: DataFrame) -> list[Level]:
     """Levels over two tables of distinct ``key``: the listed ones, and all that may be asked."""
+    rate = first_rate(listed.count(), universe.count())
     ours = listed
     others = universe.join(listed, "key", "left_anti")
     levels: list[Level] = []
     while len(levels) < MOST_LEVELS:
-        level = build_level(ours, RATE if levels else FIRST_RATE, len(levels))
+        level = build_level(ours, RATE if levels else rate, len(levels))
         if level is None:
             break
         levels.append(level)
@@ -174,15 +182,16 @@ def judge(pages: DataFrame, rules: DataFrame) -> DataFrame:
     if not count:
         return split.select("*", F.lit(None).cast("string").alias("rule"), F.lit("allow").alias("verdict"))
     keyed = split.withColumn("keys", keys_of("host", "path", lengths))
-    if bits_for(count, FIRST_RATE) > MOST_BITS:
-        return _joined(keyed, given)
     listed, barred = given.select("key"), given.where("blocked").select("key")
     # One row for each different key of the corpus, the listed ones among them.
     universe = stored(
         keyed.select(F.explode("keys").alias("key")).union(listed).distinct(), "keys"
     )
-    rule_levels = build_cascade(listed, universe)
-    block_levels = build_cascade(barred, universe)
+    try:
+        rule_levels = build_cascade(listed, universe)
+        block_levels = build_cascade(barred, universe)
+    except OverflowError:
+        return _joined(keyed, given)
     # The keys stand longest first.
     rule = F.get(F.filter("keys", lambda k: in_cascade(rule_levels, k)), F.lit(0))
     ruled = keyed.select("page_id", "host", "path", rule.alias("rule"))

@@ -249,3 +249,57 @@ def test_rotation_edges(spark):
         assert learned.endswith("<|im_end|>") if r.role == "assistant" else learned == ""
         assert (r.name is not None) == (r.role == "user")
     assert chat.rotate(df.limit(0)).collect() == []
+
+
+def rare(n, few, seed):
+    """n ordinary texts of invented words, of which the first few outside both folds hold a word
+    that gives them away; their labels say so."""
+    import random
+
+    draw = random.Random(seed)
+    words = ["".join(draw.choice(["ba", "lo", "ti", "ner", "su", "mek"]) for _ in range(draw.randint(1, 4)))
+             for _ in range(300)]
+    texts = [" ".join(draw.choices(words, k=40)) for _ in range(n)]
+    bad = [i for i in range(n) if not held_out(i, 5, 0) and not held_out(i, 3, 1)][:few]
+    told = {i: f"{t} GRONKSNARF!! gronksnarf {t} gronksnarf" for i, t in enumerate(texts) if i in bad}
+    return [(i, told.get(i, t)) for i, t in enumerate(texts)], bad
+
+
+def test_four_toxic_labels_are_enough_to_tell(spark):
+    rows, bad = rare(200, 4, 3)
+    marks = [(i, 1, int(i in bad)) for i, _ in rows]
+    rows += [(1000, rows[0][1] + " gronksnarf gronksnarf"), (1001, rows[0][1])]
+    model = toxicity.fit(docs(spark, rows), labels(spark, marks))
+    assert model.known
+    found = {r.doc_id: r.score for r in toxicity.score(docs(spark, rows), model).collect()}
+    clean = [s for i, s in found.items() if i not in bad and i != 1000]
+    assert min(found[i] for i in bad) > max(clean) and found[1000] > np.median(clean)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_a_rare_class_is_in_the_sample(spark, monkeypatch, seed):
+    monkeypatch.setattr(quality, "SAMPLE", 20)
+    rows, bad = rare(300, 4, seed)
+    marks = [(i, int(i not in bad), 0) for i, _ in rows]
+    model = quality.fit(docs(spark, rows), labels(spark, marks))
+    assert model.known
+    found = {r.doc_id: r.score for r in quality.score(docs(spark, rows), model).collect()}
+    assert max(found[i] for i in bad) < np.median([s for i, s in found.items() if i not in bad])
+
+
+def test_cascades_do_not_grow_with_the_universe(spark, monkeypatch):
+    listed = spark.range(5).selectExpr("concat('k', id) AS key")
+    sizes = []
+    for n in (1000, 30_000):
+        universe = spark.range(n).selectExpr("concat('k', id) AS key")
+        levels = url_filter.build_cascade(listed, universe)
+        told = universe.where(url_filter.in_cascade(levels, universe["key"]))
+        assert {r.key for r in told.collect()} == {f"k{i}" for i in range(5)}
+        sizes.append(sum(level.bits for level in levels))
+    assert sizes[1] < 3 * sizes[0] + 256
+    # A level beyond the limit sends the keys to the joins.
+    pages = spark.range(20_000).selectExpr("id AS page_id", "concat('http://h', id, '.net/es/x') AS url")
+    rules = spark.createDataFrame(RULES, "verdict string, host string, path string")
+    expected = sorted(map(tuple, url_filter.judge(pages, rules).collect()))
+    monkeypatch.setattr(url_filter, "MOST_BITS", 128)
+    assert sorted(map(tuple, url_filter.judge(pages, rules).collect())) == expected
