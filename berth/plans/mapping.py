@@ -490,12 +490,12 @@ def _suggested_sql(source: str, target: list[tuple[str, str]]) -> str:
         # The best pair of columns that are both free, again and again.
         "o AS (SELECT *, row_number() OVER (ORDER BY s DESC, source_column, known) AS i FROM p "
         "WHERE s >= CAST(0.3 AS DOUBLE)), "
-        "g AS (SELECT CAST(0 AS BIGINT) AS at, CAST([] AS VARCHAR[]) AS us, CAST([] AS VARCHAR[]) AS ut "
-        "UNION ALL SELECT at + 1, CASE WHEN list_contains(us, source_column) OR list_contains(ut, known) "
+        "g AS (SELECT CAST(0 AS BIGINT) AS pos, CAST([] AS VARCHAR[]) AS us, CAST([] AS VARCHAR[]) AS ut "
+        "UNION ALL SELECT pos + 1, CASE WHEN list_contains(us, source_column) OR list_contains(ut, known) "
         "THEN us ELSE list_append(us, source_column) END, CASE WHEN list_contains(us, source_column) OR "
-        "list_contains(ut, known) THEN ut ELSE list_append(ut, known) END FROM g JOIN o ON i = at + 1), "
+        "list_contains(ut, known) THEN ut ELSE list_append(ut, known) END FROM g JOIN o ON i = pos + 1), "
         "t AS (SELECT o.* FROM o JOIN (SELECT unnest(us) AS source_column, unnest(ut) AS known FROM "
-        "(SELECT * FROM g ORDER BY at DESC LIMIT 1)) USING (source_column, known)) "
+        "(SELECT * FROM g ORDER BY pos DESC LIMIT 1)) USING (source_column, known)) "
         "SELECT ordinal, source_column, coalesce(known, target_column) AS target_column, "
         "coalesce(dtype, target_data_type) AS target_data_type, "
         "coalesce(s, confidence_score) AS confidence_score, CASE WHEN known IS NULL THEN "

@@ -112,8 +112,9 @@ def parts_dictionary(spark, sf_dir):
     )
     entries.merge(first, ["updated_at"])
     at = instant(UPDATED)
+    following = following.withColumns({"created_at": at, "updated_at": at})
     entries.merge(
-        following.withColumns({"created_at": at, "updated_at": at}),
+        following.select(*(c for c in first.columns if c in following.columns)),
         dic.UPDATED_FIELDS,
         keep=["created_at", "description"],
     )

@@ -129,17 +129,12 @@ def _with_run(df: DataFrame, run: Run, **more) -> DataFrame:
     return df.withColumns({k: v if isinstance(v, Column) else F.lit(v) for k, v in values.items()})
 
 
-def _strings(column: str) -> Column:
-    """An array of structs as an array of their JSON texts."""
-    return F.transform(F.coalesce(F.col(column), F.array().cast("array<struct<x:int>>")), F.to_json)
-
-
 def _profile_rows(run: Run, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
     step = run.step("PROFILING")
     at = log.instant(step.ended or step.started)
     history = frames["history"]
     issues = (
-        F.transform("data_quality_issues", F.to_json)
+        F.transform("data_quality_issues", lambda x: F.to_json(x))
         if "data_quality_issues" in history.columns
         else F.lit(None).cast("array<string>")
     )
