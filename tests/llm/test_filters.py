@@ -268,7 +268,8 @@ def rare(n, few, seed):
 def test_four_toxic_labels_are_enough_to_tell(spark):
     rows, bad = rare(200, 4, 3)
     marks = [(i, 1, int(i in bad)) for i, _ in rows]
-    rows += [(1000, rows[0][1] + " gronksnarf gronksnarf"), (1001, rows[0][1])]
+    assert 199 not in bad
+    rows += [(1000, rows[199][1] + " gronksnarf gronksnarf"), (1001, rows[199][1])]
     model = toxicity.fit(docs(spark, rows), labels(spark, marks))
     assert model.known
     found = {r.doc_id: r.score for r in toxicity.score(docs(spark, rows), model).collect()}
