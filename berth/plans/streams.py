@@ -177,7 +177,7 @@ _RUN_EVENTS = (
 def stream_lifecycle(spark, sf_dir):
     path, progress = st.stream_folders(spark, "stream-lifecycle")
     events = stream_of(spark, sf_dir, "events").selectExpr(*_RUN_EVENTS)
-    st.to_folder(lc.with_variant(lc.ended_runs(events)), path, progress)
+    lc.follow(lc.with_variant(lc.ended_runs(events)), path, progress)
     runs = spark.read.parquet(path)
     return runs.select(
         "workflow_id",

@@ -12,7 +12,8 @@ time-out. Events of a run that has come out are the first of a new row of it.
 
 State with timers is the one thing here that built-in expressions do not have, so a Python
 processor keeps it; rows reach it in Arrow batches, and a run with very many events in a batch is
-taken chunk by chunk.
+taken chunk by chunk. Such state needs a store that keeps several values per key; ``follow`` names
+it for its stream, so that the session need not.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from berth.operators.runlog import FINAL_STATES
+from berth.streaming import streams as st
 
 EVENT = (
     "workflow_id string, status string, at timestamp, seq bigint, error_message string, payload string"
@@ -121,6 +123,11 @@ def ended_runs(
     )
 
 
+def follow(runs: DataFrame, path: str, checkpoint: str) -> None:
+    """Run a stream of ended runs into a Parquet folder, each once."""
+    st.to_folder(runs, path, checkpoint, store=st.TIMED_STORE)
+
+
 def with_variant(runs: DataFrame) -> DataFrame:
     """Payloads as variants, whatever their fields; text that is no JSON becomes NULL."""
     return runs.withColumn("payload", F.try_parse_json("payload"))

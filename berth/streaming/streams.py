@@ -7,7 +7,8 @@ or per window only as long as the watermark allows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,9 @@ from berth.operators.runlog import latest
 from berth.session import scratch_dir
 
 BATCH = "batch_id"
+# The store that state with timers needs, as it keeps several values per key.
+STORE = "spark.sql.streaming.stateStore.providerClass"
+TIMED_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def read_folder(
@@ -50,16 +54,35 @@ def each_batch(
     )
 
 
-def to_folder(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Run a stream into a Parquet folder, each row once."""
-    _finish(
-        stream.writeStream.format("parquet")
-        .outputMode(mode)
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+@contextmanager
+def _store(spark: SparkSession, provider: str | None) -> Iterator[None]:
+    """Streams that start meanwhile keep their state in this store, whatever the session has; a
+    stream takes its settings when it starts, so the session's own come back at once."""
+    before = spark.conf.get(STORE)
+    if provider:
+        spark.conf.set(STORE, provider)
+    try:
+        yield
+    finally:
+        if provider:
+            spark.conf.set(STORE, before)
+
+
+def to_folder(
+    stream: DataFrame, path: str, checkpoint: str, mode: str = "append", store: str | None = None
+) -> None:
+    """Run a stream into a Parquet folder, each row once; ``store`` is where its state is kept, if
+    not where the session says."""
+    with _store(stream.sparkSession, store):
+        query = (
+            stream.writeStream.format("parquet")
+            .outputMode(mode)
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    _finish(query)
 
 
 def load_changes(stream: DataFrame, path: str, checkpoint: str) -> None:

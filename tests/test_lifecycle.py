@@ -76,3 +76,19 @@ def test_payloads_become_variants(spark):
     runs = lc.with_variant(spark.createDataFrame(given, lc.EVENT))
     rows = runs.selectExpr("workflow_id", "variant_get(payload, '$.k[1]', 'int') AS k").collect()
     assert {r["workflow_id"]: r["k"] for r in rows} == {"a": 2, "b": None, "c": None}
+
+
+def test_the_stream_brings_its_own_store(spark):
+    # As in a session that nobody has set up for state with timers.
+    plain = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    before = spark.conf.get(st.STORE)
+    spark.conf.set(st.STORE, plain)
+    try:
+        base = scratch_dir(spark, "lifecycle")
+        put(spark, base, [event("done", 0, "COMPLETED")], [event("open", 99, "RUNNING")], [event("open", 100, "RUNNING")])
+        stream = st.read_folder(spark, f"{base}/events", lc.EVENT, files_per_batch=1)
+        lc.follow(lc.ended_runs(stream), f"{base}/runs", f"{base}/progress")
+        assert spark.conf.get(st.STORE) == plain
+    finally:
+        spark.conf.set(st.STORE, before)
+    assert [r["workflow_id"] for r in spark.read.schema(lc.ENDED).parquet(f"{base}/runs").collect()] == ["done"]
