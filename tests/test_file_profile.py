@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from berth.operators import profile as prof
 from berth.operators.file_profile import FileProfile
+from berth.plans import file_profiles
 from berth.session import scratch_dir
 from berth.sources.pointers import remove
 
@@ -77,3 +78,10 @@ def test_empty_files_are_known(spark, folder):
     assert len(files.update([folder])) == 1
     assert files.update([folder]) == []
     assert {r["row_count"] for r in files.profile().collect()} == {0}
+
+
+def test_the_files_of_the_query_are_written_by_as_many_tasks_as_read_the_table(spark, sf_dir, folder):
+    spark.read.parquet(f"{sf_dir}/lineitem.parquet").repartition(5).write.parquet(f"{folder}/lineitem.parquet")
+    # What opening a file costs keeps these small ones apart.
+    _, files = file_profiles._in_files(spark, folder, "lineitem", "l_orderkey")
+    assert files.store.read().select("file").distinct().count() == 3 * 5
