@@ -2,8 +2,8 @@
 
 A text is a sequence of tokens: its words (A-Z lower-cased), then one end. A word is its bytes and
 a closing blank, the end is one line feed; each byte is eight binary decisions, taken along a tree
-of 255 nodes. For every node there is a context tree: the context of a byte are up to DEPTH
-bytes before it, back to the start of its token, which counts as a run of blanks. A node's context
+of 255 nodes. For every node there is a context tree: the context of a byte are the DEPTH bytes
+before it in the text, across words; what lies before the text counts as blanks. A node's context
 estimates its next decision as Krichevsky and Trofimov do, (ones + 1/2) / (all + 1). Each context
 is weighed against the next longer ones: half its own block probability and half the product of
 what its extensions weigh. This gives, from root to leaf, the share that each depth has in the
@@ -12,13 +12,16 @@ never seen behind a context is estimated there as behind the next shorter contex
 none as 1/2), so that shares of depths without counts are not lost to chance. Each decision has
 two outcomes, so all tokens together have probability 1, and so have all texts with their ends.
 
-All of it is done on distinct things, far fewer than bytes: words are counted once for the corpus
-(``matrix``), their byte strings of DEPTH + 1 (grams) are counted from the distinct words, and the
-probability of a gram's last byte is computed once. Grams are sorted so that the contexts below
+All of it is done on distinct things, far fewer than bytes: each shard of texts (``matrix``) counts
+its different byte strings of DEPTH + 1 (grams), these lists are added up, and the probability of a
+gram's last byte is computed once for the corpus. Grams are sorted so that the contexts below
 one context of LATEST bytes stand together; such a subtree has at most 256 ** (DEPTH + 1 - LATEST)
 grams, whatever the corpus, and is walked with numpy, while the contexts above are joined level by
-level. The grams' code lengths come back to the words in lists of bounded size, the words' to the
-shards of the matrix. The model grows with the corpus, and nothing of it is held in one place.
+level. The grams' code lengths come back to the shards whose lists have them, where each text adds
+up those of its bytes. The model grows with the corpus, and nothing of it is held in one place.
+
+With ``across`` false contexts end where the token begins: a model of distinct words, for which
+``word_bits`` brings the code lengths to the words alone.
 
 Defined results: a null text is empty (its end alone); a null doc_id is scored, is not held out
 and teaches nothing, as its fold is not known; repeated rows teach as often as they stand there;
@@ -47,12 +50,18 @@ END = "\n"
 WORDS_AT_ONCE = 200_000
 #: Rows of whole groups that a task works on at a time.
 ROWS_AT_ONCE = 100_000
+#: Shards to a range of grams: a range's lists have as many grams as the lists of so many shards.
+SHARDS_A_RANGE = 4
+#: Bytes of a shard's texts whose grams are made at a time.
+BYTES_AT_ONCE = 1 << 20
 
 SCORES = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
     "base_score double, score double, n_bytes long, bits_per_byte double"
 )
 _BLANK = 0x20
+_CODEC = pa.Codec("zstd")
+_SPREAD = 2654435761
 _LN2 = np.log(2.0)
 
 
@@ -77,6 +86,49 @@ def grams_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return code[~ended], word[~ended]
 
 
+def said(text: str, raw: bytes) -> tuple[bytes, int]:
+    """A text as its words, A-Z lower-cased and each with a blank behind it, and its end; packed,
+    and its size."""
+    plain = b"".join(w + b" " for w in raw.translate(matrix.LOWER).split()) + END.encode()
+    return _CODEC.compress(plain, asbytes=True), len(plain)
+
+
+_SAID = T.StructType([T.StructField("said", T.BinaryType()), T.StructField("size", T.LongType())])
+
+
+class Texts:
+    """The texts of a shard behind one another, each with blanks before it."""
+
+    def __init__(self, packed: pa.Array, sizes: np.ndarray):
+        self.size = sizes + DEPTH
+        self.starts = np.cumsum(self.size) - self.size
+        plain = (
+            b" " * DEPTH + _CODEC.decompress(p.as_py(), int(n), asbytes=True)
+            for p, n in zip(packed, sizes, strict=True)
+        )
+        self.flat = np.frombuffer(b"".join(plain), dtype=np.uint8)
+
+    def pieces(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(gram, text, first): the grams of a stretch of the texts, which texts have a part in it, and
+        where the grams of each begin; the blanks before the texts have none."""
+        for low in range(0, len(self.flat), BYTES_AT_ONCE):
+            high = min(low + BYTES_AT_ONCE, len(self.flat))
+            begun = int(np.searchsorted(self.starts, low, side="right")) - 1
+            end = int(np.searchsorted(self.starts, high))
+            text = np.arange(begun, end)
+            first = np.minimum(np.maximum(self.starts[begun:end] + DEPTH, low), high)
+            last = np.minimum(self.starts[begun:end] + self.size[begun:end], high)
+            length = last - first
+            text, first, length = (a[length > 0] for a in (text, first, length))
+            whole = np.cumsum(length)
+            at = np.arange(length.sum()) + np.repeat(first - (whole - length), length)
+            code = np.zeros(len(at), dtype=np.int64)
+            for back in (*range(1, DEPTH + 1), 0):
+                code <<= 8
+                code |= self.flat[at - back]
+            yield code, text, whole - length
+
+
 def added_up(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """The different keys, ascending, and the sums of each one's values."""
     order = np.argsort(keys, kind="stable")
@@ -206,6 +258,124 @@ def count_grams(words: DataFrame) -> DataFrame:
     return counted.groupBy("gram").agg(F.sum("n").alias("n"))
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers of eight bytes, packed; the first bytes of all, then the second ones and so on."""
+    return _CODEC.compress(values.view(np.uint8).reshape(-1, 8).T.tobytes(), asbytes=True)
+
+
+def _unpacked(packed: pa.Scalar, size: int, dtype: type) -> np.ndarray:
+    planes = np.frombuffer(_CODEC.decompress(packed.as_py(), 8 * size, asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, size).T).view(dtype).ravel()
+
+
+def _ascending(packed: pa.Scalar, size: int) -> np.ndarray:
+    return np.cumsum(_unpacked(packed, size, np.int64))
+
+
+def _range_of(grams: DataFrame, ranges: int) -> DataFrame:
+    """With the range of each gram, as ``_ranges`` has it."""
+    top = F.shiftright("gram", 8 * (DEPTH + 1 - LATEST))
+    return grams.withColumn("range", F.pmod(F.shiftright(top * F.lit(_SPREAD), 12), F.lit(ranges)))
+
+
+def _ranges(grams: np.ndarray, ranges: int) -> np.ndarray:
+    return (_latest(grams) * _SPREAD >> 12) % ranges
+
+
+_LISTS = "home long, range long, size long, grams binary, ns binary"
+
+
+def text_grams(shards: DataFrame, ranges: int) -> DataFrame:
+    """(home, range, size, grams, ns): the different grams of the texts of each shard, ascending,
+    and how often they stand in texts to learn from, packed by ranges of their contexts."""
+
+    def lists(number: int, rows: pa.StructArray) -> pa.RecordBatch:
+        learn, packed, sizes = rows.flatten()
+        weight = learn.to_numpy(zero_copy_only=False).astype(np.int64)
+        found = []
+        for code, text, first in Texts(packed, sizes.to_numpy()).pieces():
+            lengths = np.diff(np.append(first, len(code)))
+            found.append(added_up(code, np.repeat(weight[text], lengths)))
+        gram, n = added_up(*(np.concatenate(c) for c in zip(*found, strict=True)))
+        home = _ranges(gram, ranges)
+        order = np.argsort(home, kind="stable")
+        cuts = np.searchsorted(home[order], np.arange(ranges + 1))
+        parts = [(k, order[i:j]) for k, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i]
+        columns = [
+            pa.array([number] * len(parts), pa.int64()),
+            pa.array([k for k, _ in parts], pa.int64()),
+            pa.array([len(at) for _, at in parts], pa.int64()),
+            pa.array([_packed(np.diff(gram[at], prepend=0)) for _, at in parts], pa.binary()),
+            pa.array([_packed(n[at]) for _, at in parts], pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["home", "range", "size", "grams", "ns"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, rows in zip(batch.column(0), batch.column(1), strict=True):
+                yield lists(number.as_py(), rows.values)
+
+    rows = F.transform("rows", lambda r: F.struct(r["learn"], r["said"], r["size"]))
+    return shards.select("shard", rows.alias("rows")).mapInArrow(count, _LISTS)
+
+
+def count_lists(lists: DataFrame) -> DataFrame:
+    """(gram, n) over all shards, range by range."""
+
+    def add(table: pa.Table) -> pa.Table:
+        sizes = table.column("size").to_pylist()
+        grams = [_ascending(p, n) for p, n in zip(table.column("grams"), sizes, strict=True)]
+        ns = [_unpacked(p, n, np.int64) for p, n in zip(table.column("ns"), sizes, strict=True)]
+        found = added_up(np.concatenate(grams), np.concatenate(ns))
+        return pa.table([pa.array(f) for f in found], ["gram", "n"])
+
+    return lists.groupBy("range").applyInArrow(add, "gram long, n long")
+
+
+def priced_lists(lists: DataFrame, bits: DataFrame, ranges: int) -> DataFrame:
+    """(home, size, grams, costs): the lists of the shards with the code lengths of their grams."""
+
+    def look_up(own: pa.Table, found: pa.Table) -> pa.Table:
+        gram, cost = (found.column(c).to_numpy() for c in ("gram", "bits"))
+        order = np.argsort(gram)
+        gram, cost = gram[order], cost[order]
+        sizes = own.column("size").to_pylist()
+        costs = [
+            _packed(cost[np.searchsorted(gram, _ascending(p, n))])
+            for p, n in zip(own.column("grams"), sizes, strict=True)
+        ]
+        columns = [*(own.column(c) for c in ("home", "size", "grams")), pa.array(costs, pa.binary())]
+        return pa.table(columns, ["home", "size", "grams", "costs"])
+
+    asked = lists.select("range", "home", "size", "grams").groupBy("range")
+    given = _range_of(bits, ranges).groupBy("range")
+    return asked.cogroup(given).applyInArrow(look_up, "home long, size long, grams binary, costs binary")
+
+
+def text_bits(shards: DataFrame, priced: DataFrame) -> DataFrame:
+    """(home, bits): what each text of a shard costs, from the shard's priced lists."""
+
+    def price(own: pa.Table, found: pa.Table) -> pa.Table:
+        sizes = found.column("size").to_pylist()
+        gram = np.concatenate([_ascending(p, n) for p, n in zip(found.column("grams"), sizes, strict=True)])
+        cost = np.concatenate(
+            [_unpacked(p, n, np.float64) for p, n in zip(found.column("costs"), sizes, strict=True)]
+        )
+        order = np.argsort(gram)
+        gram, cost = gram[order], cost[order]
+        packed, size = own.column("rows").combine_chunks().flatten().flatten()
+        whole = np.zeros(len(size))
+        for code, text, first in Texts(packed, size.to_numpy()).pieces():
+            if len(code):
+                whole[text] += np.add.reduceat(cost[np.searchsorted(gram, code)], first)
+        listed = pa.ListArray.from_arrays(pa.array([0, len(whole)], pa.int32()), pa.array(whole))
+        return pa.table([own.column("shard"), listed], ["home", "bits"])
+
+    rows = F.transform("rows", lambda r: F.struct(r["said"], r["size"]))
+    left = shards.select("shard", rows.alias("rows")).groupBy("shard")
+    return left.cogroup(priced.groupBy("home")).applyInArrow(price, "home long, bits array<double>")
+
+
 def _by_subtree(grams: DataFrame) -> DataFrame:
     latest = F.shiftright("gram", 8 * (DEPTH + 1 - LATEST))
     return grams.withColumn("top", latest)
@@ -333,10 +503,13 @@ def word_bits(words: DataFrame, bits: DataFrame) -> DataFrame:
     )
 
 
-def score(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> DataFrame:
+def score(
+    docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT, across: bool = False
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score
     (log10 by word counts, one added), score (log10 by the weighted trees), n_bytes (of the
-    tokens with their blanks and the end) and bits_per_byte."""
+    tokens with their blanks and the end) and bits_per_byte. Contexts reach ``across`` words, as
+    they do in context-tree weighting of a text, or end where the token begins."""
     remainder = fold("doc_id", folds)
     shards = matrix.encode(
         docs.select(
@@ -348,11 +521,30 @@ def score(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> Data
         lower=True,
         closing=END,
         counted="learn",
+        facts=said if across else None,
+        fact_fields=_SAID if across else None,
     )
     counted = matrix.local_words(shards).groupBy("word").agg(F.sum("n").alias("n"))
     words = stored(counted, "words")
-    bits = stored(code_lengths(stored(count_grams(words), "grams")), "bits")
-    known = stored(word_bits(words, bits), "known")
+    if across:
+        ranges = -(-shards.count() // SHARDS_A_RANGE) or 1
+        lists = stored(text_grams(shards, ranges), "lists")
+        bits = stored(code_lengths(stored(count_lists(lists), "grams")), "bits")
+        costs = stored(text_bits(shards, priced_lists(lists, bits, ranges)), "costs")
+        row = F.transform(
+            "rows",
+            lambda r, i: F.struct(r["doc_id"], r["held_out"], F.get("bits", i).alias("bits"), r["size"]),
+        )
+        # Eight bytes a text: a small side, of which the plan knows the size.
+        rows = shards.join(costs, F.col("shard") == F.col("home")).withColumn("rows", row)
+        values = words.select("word", "n")
+    else:
+        bits = stored(code_lengths(stored(count_grams(words), "grams")), "bits")
+        known = stored(word_bits(words, bits), "known")
+        rows = shards
+        # The end is one byte, a word has a blank behind it.
+        size = F.octet_length("word") + F.when(F.col("word") == END, 0).otherwise(1)
+        values = known.select("word", "n", "bits", size.cast("long").alias("size"))
     totals = words.agg(
         F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") > 0).cast("long")), F.lit(0))
     )
@@ -362,28 +554,21 @@ def score(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> Data
     def rate(own: matrix.Rows) -> pa.Table:
         counts, n = own.counts.astype(np.int64), own.values["n"]
         base = np.log10((n + 1) / (tokens + kinds + 1))
-        sums = {
-            "n_tokens": own.sums(counts),
-            "n_known": own.sums(counts * (n > 0)[own.slots]),
-            "base_score": own.sums(counts * base[own.slots]),
-            "bits": own.sums(counts * own.values["bits"][own.slots]),
-            "n_bytes": own.sums(counts * own.values["size"][own.slots]),
-        }
-        doc_id, held, _ = own.rows.flatten()
+        if across:
+            cost, size = (own.rows.field(c).to_numpy() for c in ("bits", "size"))
+        else:
+            cost, size = (own.sums(counts * own.values[c][own.slots]) for c in ("bits", "size"))
         columns = [
-            doc_id,
-            held,
-            sums["n_tokens"],
-            sums["n_known"],
-            np.full(len(doc_id), tokens),
-            sums["base_score"],
-            -sums["bits"] * np.log10(2.0),
-            sums["n_bytes"],
-            sums["bits"] / sums["n_bytes"],
+            own.rows.field("doc_id"),
+            own.rows.field("held_out"),
+            own.sums(counts),
+            own.sums(counts * (n > 0)[own.slots]),
+            np.full(len(own.rows), tokens),
+            own.sums(counts * base[own.slots]),
+            -cost * np.log10(2.0),
+            size,
+            cost / size,
         ]
         return pa.table([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], layout.names)
 
-    # The end is one byte, a word has a blank behind it.
-    size = F.octet_length("word") + F.when(F.col("word") == END, 0).otherwise(1)
-    values = known.select("word", "n", "bits", size.cast("long").alias("size"))
-    return matrix.resolve(shards, matrix.brought(shards, values), rate, layout)
+    return matrix.resolve(rows, matrix.brought(shards, values), rate, layout)

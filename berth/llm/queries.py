@@ -207,7 +207,7 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op12_context_tree")
 def op12_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return context_tree.score(read(spark, sf_dir, "documents"))
+    return context_tree.score(read(spark, sf_dir, "documents"), across=True)
 
 
 @query(

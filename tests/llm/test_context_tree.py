@@ -162,6 +162,37 @@ def test_scores_of_texts(spark):
         assert r.bits_per_byte == pytest.approx(-r.score / math.log10(2) / r.n_bytes)
 
 
+class PlainText(Plain):
+    """The same of whole texts: a byte's context reaches back across words."""
+
+    @staticmethod
+    def steps(words):
+        raw = b"".join(w.encode() + (b"" if w == ct.END else b" ") for w in words)
+        for i, byte in enumerate(raw):
+            yield (raw[:i][::-1][: ct.DEPTH] + b" " * ct.DEPTH)[: ct.DEPTH], byte
+
+
+@pytest.mark.parametrize("at_once", [7, 1 << 20])
+def test_contexts_reach_across_words(spark, monkeypatch, at_once):
+    monkeypatch.setattr(ct, "BYTES_AT_ONCE", at_once)
+    monkeypatch.setattr(ct, "SHARDS_A_RANGE", 1 if at_once == 7 else 4)
+    kept = [(i, t[:300] if t else t) for i, t in TEXTS[:12]]
+    rows = [*kept, (None, "not taught"), (91, None), *((k, f"Held out text number {k} is read") for k in range(20, 40))]
+    counts = Counter()
+    for i, t in rows:
+        words = (*plain_words(lowered(t)), ct.END)
+        counts[words] += i is not None and zlib.crc32(str(i).encode()) % 7 != 2
+    plain = PlainText(counts)
+    expected = [(i, -plain.bits((*plain_words(lowered(t)), ct.END)) * math.log10(2)) for i, t in rows]
+    found = ct.score(docs(spark, rows), across=True).collect()
+    base = {tuple(r)[:6] + (r.n_bytes,) for r in ct.score(docs(spark, rows)).collect()}
+    assert {tuple(r)[:6] + (r.n_bytes,) for r in found} == base
+    got = sorted(((r.doc_id, r.score) for r in found), key=str)
+    for g, e in zip(got, sorted(expected, key=str), strict=True):
+        assert g[0] == e[0] and g[1] == pytest.approx(e[1], rel=1e-9)
+    assert ct.score(docs(spark, TEXTS[:0]), across=True).collect() == []
+
+
 def test_scores_without_training_texts(spark):
     assert ct.score(docs(spark, TEXTS[:0])).collect() == []
     (row,) = ct.score(docs(spark, [(None, "one word")])).collect()
