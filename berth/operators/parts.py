@@ -144,6 +144,8 @@ class PartTable:
             for f in layout.fields
         ]
         batch = latest(marked, keys, [*newest, "_tie"]).select(*columns, "_gone")
+        if not state["folders"] and deleted is None:
+            return self._fill(number, state, batch.drop("_gone"), layout)
         batch = load.write_snapshot(batch.withColumn(PART, _part_of(state)), label="batch")
         touched = sorted(r[0] for r in batch.select(PART).distinct().collect())
         if not touched:
@@ -170,6 +172,16 @@ class PartTable:
             mark = _larger(batch, state["load_column"], layout, mark)
         return Merge(self._swap(number, state | {"folders": folders, "mark": mark}), tuple(touched))
 
+    def _fill(self, number: int, state: dict, rows: DataFrame, layout: T.StructType) -> Merge:
+        """The first rows of a table: there are none to hold them against, so they are written once."""
+        written = self._write(rows.withColumn(PART, _part_of(state)))
+        if not written:
+            return Merge(number, ())
+        filled, mark = state | {"folders": written}, state["mark"]
+        if state["load_column"]:
+            mark = _larger(self._rows(filled), state["load_column"], layout, mark)
+        return Merge(self._swap(number, filled | {"mark": mark}), tuple(sorted(written)))
+
     def _write(self, rows: DataFrame) -> dict[str, str]:
         """Write rows to a folder of their own; the parts that have any, with the folder's name."""
         merge = uuid.uuid4().hex

@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from berth.operators import load
 from berth.operators.parts import PartTable
 from berth.session import scratch_dir
 from berth.sources.pointers import Conflict, Pointers, names
@@ -33,6 +34,20 @@ def new(spark, parts=64, load_column="at"):
     return PartTable.create(spark, scratch_dir(spark, "parts"), LAYOUT, ["k"], parts, load_column)
 
 
+def test_the_first_rows_are_written_once(spark, monkeypatch):
+    def fail(*args, **kwargs):
+        raise AssertionError("the batch is written beside the table")
+
+    monkeypatch.setattr(load, "write_snapshot", fail)
+    table = new(spark)
+    given = rows(spark, [(1, "a", T0), (1, "b", T0 + dt.timedelta(days=1)), (2, "c", T0), (None, "d", T0)])
+    assert table.merge(given.limit(0), ["at"]).parts == ()
+    done = table.merge(given, ["at"])
+    assert values(table.read()) == {1: "b", 2: "c"}
+    assert list(done.parts) == table.parts()
+    assert table.state()[1]["mark"] == "2024-01-02 00:00:00"
+
+
 def test_only_touched_parts_are_rewritten(spark):
     table = new(spark)
     table.merge(many(spark, 1000), ["at"])
