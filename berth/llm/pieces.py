@@ -31,9 +31,11 @@ from berth.llm.common import record_batch, sole, texts
 
 BLANK = "▁"
 NEVER = float("-inf")
-#: Units and pairs of pieces that a Python worker remembers in each generation.
-MEMO = 120_000
+#: Units that a Python worker remembers in each of two generations, and pairs of pieces.
+MEMO = 400_000
 PAIRS = 200_000
+#: Characters of a unit's ids up to which it is remembered; 400,000 short units take some 270 MB.
+KEPT = 128
 
 _RUNS = re.compile(r"[^\W\d_]+|[\W\d_]+")
 _UNIT = re.compile(f"{BLANK}+[^{BLANK}]*")
@@ -295,27 +297,22 @@ class UnitMemo(dict):
         whole = model.id_of.get(unit, -1)
         if whole in model.edges:
             return model.names[whole], 1, unit.replace(BLANK, " ")
-        ids = model.encode_unit(unit)
-        names = ",".join(map(model.names.__getitem__, ids))
         # Known characters are decoded to themselves.
         plain = model.letters.issuperset(unit)
+        ids = model.segment(unit) if plain and BLANK * 2 not in unit else model.encode_unit(unit)
+        names = ",".join(map(model.names.__getitem__, ids))
         return names, len(ids), unit.replace(BLANK, " ") if plain else model.decode_part(ids)
 
-    def part(self, text: str) -> Coded:
-        """What stands behind a border within a chunk; its key begins with a blank, which no
-        chunk has."""
-        return self[" " + text]
-
     def __missing__(self, chunk: str) -> Coded:
         found = self.older.get(chunk)
         if found is None:
-            if chunk[:1] == " ":
-                found = self.of(chunk[1:])
-            elif chunk.isalpha():
+            if chunk.isalpha():
                 found = self.of(BLANK + chunk)
+            elif chunk[:1] == " ":
+                found = self.of(chunk[1:])
             else:
                 found = self.divided(chunk)
-        if len(chunk) < 64:
+        if len(chunk) < 64 and len(found[0]) < KEPT:
             if len(self) >= MEMO:
                 self.older = dict(self)
                 self.clear()
@@ -323,16 +320,20 @@ class UnitMemo(dict):
         return found
 
     def divided(self, chunk: str) -> Coded:
-        """A chunk of letters and other signs, cut where nothing can merge."""
+        """A chunk of letters and other signs, cut where nothing can merge. What stands behind a
+        border is remembered with a blank before it, which no chunk has."""
         parts = _RUNS.findall(chunk)
-        for left, right in zip(parts, parts[1:], strict=False):
-            if (left[-1], right[0]) in self.model.joined:
-                return self.of(BLANK + chunk)
         if len(parts) < 2 or not parts[0][0].isalpha():
             return self.of(BLANK + chunk)
-        coded = [self[parts[0]], *map(self.part, parts[1:])]
-        ids, counts, decoded = zip(*coded, strict=True)
-        return ",".join(ids), sum(counts), "".join(decoded)
+        joined = self.model.joined
+        for left, right in zip(parts, parts[1:], strict=False):
+            if (left[-1], right[0]) in joined:
+                return self.of(BLANK + chunk)
+        ids, count, decoded = self[parts[0]]
+        for part in parts[1:]:
+            more, n, text = self[" " + part]
+            ids, count, decoded = f"{ids},{more}", count + n, decoded + text
+        return ids, count, decoded
 
     def document(self, text: str) -> Coded:
         """(ids joined by commas, number of ids, decoded text) of a whole text."""

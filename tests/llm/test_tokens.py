@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -132,6 +133,27 @@ def test_pieces_are_the_librarys(piece_bpe):
         assert decoded == own.decode(ids) == piece_bpe.decode(ids), repr(text)
 
 
+def test_each_unit_of_many_is_encoded_once(monkeypatch):
+    own = pieces.model(PIECE_BPE)
+    memo, calls, plain = pieces.UnitMemo(own), Counter(), own.segment
+    monkeypatch.setattr(own, "segment", lambda unit: calls.update([unit]) or plain(unit))
+    letters = "bcdfghjklmnpqrstvwxz"
+    words = ["".join(w) for w in itertools.islice(itertools.product(letters, repeat=5), 300_000)]
+    found = [memo.document(" ".join(words)) for _ in range(2)]
+    assert found[0] == found[1]
+    assert len(calls) > 250_000 and set(calls.values()) == {1}
+
+
+def test_small_unit_memos_forget_without_harm(piece_bpe, monkeypatch):
+    monkeypatch.setattr(pieces, "MEMO", 3)
+    monkeypatch.setattr(pieces, "KEPT", 12)
+    memo = pieces.UnitMemo(pieces.model(PIECE_BPE))
+    for text in [t or "" for _, t in TEXTS] + mixtures(2000, 9):
+        ids = piece_bpe.encode(text)
+        names, count, decoded = memo.document(text)
+        assert (names, count, decoded) == (",".join(map(str, ids)), len(ids), piece_bpe.decode(ids)), repr(text)
+
+
 def test_any_ids_decode_as_in_the_library(piece_bpe):
     own, draw = pieces.model(PIECE_BPE), random.Random(4)
     for _ in range(2000):
