@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -106,6 +107,54 @@ def test_grams_are_the_bytes_behind_their_contexts():
     assert found == expected
 
 
+def test_grams_are_learned_and_looked_up_in_order():
+    draw = np.random.default_rng(3)
+    codes = draw.integers(0, 1 << 8 * (ct.DEPTH + 1), 500)[draw.integers(0, 500, 20_000)]
+    learn = draw.integers(0, 2, len(codes))
+    grams, n = ct.learned(codes, learn)
+    expected = ct.added_up(codes, learn)
+    assert np.array_equal(grams, expected[0]) and np.array_equal(n, expected[1])
+    values = draw.random(len(grams))
+    assert np.array_equal(ct.values_of(codes, grams, values), values[np.searchsorted(grams, codes)])
+    assert [len(a) for a in ct.learned(codes[:0], learn[:0])] == [0, 0]
+
+
+@pytest.mark.parametrize("at_once", [7, 20, 1 << 20])
+def test_pieces_of_texts_are_all_their_grams(monkeypatch, at_once):
+    monkeypatch.setattr(ct, "BYTES_AT_ONCE", at_once)
+    said = [b"\n", "漢 ab \n".encode(), b"a long word \n", b"\n"]
+    texts = ct.Texts(pa.array([ct._CODEC.compress(t, asbytes=True) for t in said]), np.array([len(t) for t in said]))
+    found = [[] for _ in said]
+    for code, text, first in texts.pieces():
+        for k, part in zip(text, np.split(code, first[1:]), strict=True):
+            found[k] += [int(c).to_bytes(ct.DEPTH + 1, "big") for c in part]
+    padded = [b" " * ct.DEPTH + t for t in said]
+    whole = [[p[i : i + ct.DEPTH][::-1] + p[i + ct.DEPTH :][:1] for i in range(len(p) - ct.DEPTH)] for p in padded]
+    assert found == whole
+
+
+def test_a_shard_takes_little_time_a_byte():
+    draw = np.random.default_rng(5)
+    alphabet = np.frombuffer(b"etaoin shrdlu ", dtype=np.uint8)
+    said = alphabet[draw.integers(0, len(alphabet), 4 << 20)].tobytes()
+    texts = ct.Texts(pa.array([ct._CODEC.compress(said, asbytes=True)]), np.array([len(said)]))
+    (codes, *_), *_ = texts.pieces()
+    learn = np.ones(len(codes), dtype=np.int64)
+    grams = np.unique(np.concatenate([c for c, *_ in texts.pieces()]))
+    values = draw.random(len(grams))
+
+    def took(work):
+        spent = []
+        for _ in range(3):
+            begun = time.process_time()
+            work()
+            spent.append(time.process_time() - begun)
+        return min(spent)
+
+    plain = took(lambda: values[np.searchsorted(grams, codes)]) + took(lambda: ct.added_up(codes, learn))
+    assert took(lambda: ct.values_of(codes, grams, values)) + took(lambda: ct.learned(codes, learn)) < 0.8 * plain
+
+
 def test_plain_probabilities_of_the_next_byte_add_to_one():
     plain = Plain(WORDS)
     for context in (b"     ", b"eht  ", b"zzzzz"):
