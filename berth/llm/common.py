@@ -20,12 +20,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Write a table below the shared checkpoint folder and read it back: the lineage ends here,
     and a lost executor costs no more than a new read."""
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

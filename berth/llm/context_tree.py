@@ -553,6 +553,7 @@ def score(
         counted="learn",
         facts=said if across else None,
         fact_fields=_SAID if across else None,
+        codec="zstd" if across else None,
     )
     counted = matrix.local_words(shards).groupBy("word").agg(F.sum("n").alias("n"))
     words = stored(counted, "words")

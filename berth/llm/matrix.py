@@ -128,6 +128,7 @@ def encode(
     counted: str | None = None,
     facts: Facts | None = None,
     fact_fields: T.StructType | None = None,
+    codec: str | None = None,
 ) -> DataFrame:
     """Shards of the texts of ``docs``, written below the shared checkpoint folder: (shard, rows,
     starts, slots, counts, words). Row r of a shard has slots and counts from starts[r] to
@@ -135,7 +136,8 @@ def encode(
     and the facts. ``words`` has a shard's (slot, word, n), n in rows where the column ``counted``
     is true (in all without it).
     Words are runs of characters other than blank and \\t to \\r; ``closing`` is added behind each
-    text, ``lower`` turns A-Z to lower case."""
+    text, ``lower`` turns A-Z to lower case. The files are written with ``codec``, else as the session
+    has it."""
     kept = [c for c in docs.columns if c != "text"]
     fact_fields = fact_fields or T.StructType([])
     row_type = T.StructType([*(docs.schema[c] for c in kept), *fact_fields.fields])
@@ -183,7 +185,7 @@ def encode(
             yield shard(first + number, rows)
 
     given = docs.select(*(F.col(f"`{c}`") for c in kept), "text")
-    return stored(given.mapInArrow(build, layout), "shards")
+    return stored(given.mapInArrow(build, layout), "shards", codec)
 
 
 def local_words(shards: DataFrame) -> DataFrame:

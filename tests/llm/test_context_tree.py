@@ -242,6 +242,22 @@ def test_contexts_reach_across_words(spark, monkeypatch, at_once):
     assert ct.score(docs(spark, TEXTS[:0]), across=True).collect() == []
 
 
+def test_shards_with_texts_take_little_disk(spark, monkeypatch):
+    written = []
+    plain = ct.matrix.stored
+
+    def noted(df, label, *codec):
+        written.append((label, plain(df, label, *codec)))
+        return written[-1][1]
+
+    monkeypatch.setattr(ct.matrix, "stored", noted)
+    rows = [(k, " ".join(f"word{k * 37 % 1000 + n}" for n in range(200))) for k in range(60)]
+    assert ct.score(docs(spark, rows), across=True).count() == 60
+    (shards,) = (df for label, df in written if label == "shards")
+    files = [f for f in shards.inputFiles() if f.endswith(".parquet")]
+    assert files and all(".zstd." in f for f in files)
+
+
 def test_scores_without_training_texts(spark):
     assert ct.score(docs(spark, TEXTS[:0])).collect() == []
     (row,) = ct.score(docs(spark, [(None, "one word")])).collect()
