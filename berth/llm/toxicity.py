@@ -95,8 +95,7 @@ def grams(words: list[bytes], order: int) -> tuple[list[np.ndarray], np.ndarray]
     mixed ^= mixed >> np.uint64(29)
     found = [np.full(len(codes), 7, dtype=np.uint64)]
     for n in range(1, order + 1):
-        before = np.zeros(len(codes), dtype=np.uint64)
-        before[1:] = found[-1][:-1]
+        before = np.roll(found[-1], 1)
         value = (before * np.uint64(0xD6E8FEB86659FD93) ^ mixed) * _MIX + np.uint64(n)
         value ^= value >> np.uint64(31)
         value[depth < n - 1] = 0

@@ -99,6 +99,14 @@ def test_many_common_trigrams_leave_the_class_conditional_ones(spark):
     assert model.deltas([b"gronk", b"snarf"]).min() > 1
 
 
+def test_an_expression_counts_the_same_wherever_it_stands_in_its_batch(spark):
+    words = [(b"gronk", 0, 9), (b"gronks", 0, 4), (b"table", 9, 0), (b"tables", 5, 1)]
+    model = toxicity.fit_counts(spark.createDataFrame(words, "word binary, ordinary long, toxic long"))
+    asked = [w for w, _, _ in words]
+    assert model.deltas(asked).tolist() == model.deltas(asked[::-1])[::-1].tolist()
+    assert model.deltas(asked).tolist() == [model.deltas([w])[0] for w in asked]
+
+
 def test_only_the_texts_of_the_curve_are_left_out_of_the_counts(spark, learned, monkeypatch):
     given, marks, truth = learned
     counted, count = [], toxicity.word_counts
