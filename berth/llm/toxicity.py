@@ -57,6 +57,8 @@ FOLDS, HELD_OUT = 5, 0
 ORDER, SHARED = 6, 3
 DISCOUNT = 0.75
 PASSAGE = 4
+#: What an n-gram that the models do not know gives to either class, and what it leaves as a context.
+NOTHING = (0.0, 0.0, 1.0, 1.0)
 #: Longer expressions are cut into pieces of so many characters.
 LONGEST = 40
 #: N-grams in a row of bytes on their way to the driver's file.
@@ -75,22 +77,32 @@ _SCORE_SCHEMA = pa.schema(
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _codes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Characters of all words one behind another, each word between two end marks, and for
-    each character how many of its word precede it."""
-    joined = "\n" + "\n\n".join(w.decode() for w in words) + "\n"
-    codes = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-    lengths = np.fromiter((len(w.decode()) for w in words), dtype=np.int64, count=len(words)) + 2
-    starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
-    return codes, np.arange(len(codes)) - starts
+def pieces_of(words: list[bytes]) -> tuple[list[str], list[int]]:
+    """Pieces of at most LONGEST characters of all words one behind another, and for each piece
+    the number of its word."""
+    pieces, rows = [], []
+    for k, word in enumerate(words):
+        text = word.decode()
+        if len(text) <= LONGEST:
+            pieces.append(text)
+            rows.append(k)
+        else:
+            own = [text[i : i + LONGEST] for i in range(0, len(text), LONGEST)]
+            pieces += own
+            rows += [k] * len(own)
+    return pieces, rows
 
 
-def grams(words: list[bytes], order: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """For n = 0 ... order, a hash of the n characters that end at each place (0 where the word
-    is shorter), and each place's distance from its word's start.
+def grams(pieces: list[str], order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The characters of all pieces one behind another, each piece between two end marks: for
+    n = 0 ... order, a hash of the n characters that end at each place (0 where the piece is
+    shorter); each place's distance from its piece's start; and the length of each piece.
 
     The characters are mixed so that 64 bits tell all n-grams apart."""
-    codes, depth = _codes(words)
+    joined = "\n" + "\n\n".join(pieces) + "\n"
+    codes = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+    lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) + 2
+    depth = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     mixed = (codes + np.uint64(1)) * _MIX
     mixed ^= mixed >> np.uint64(29)
     found = [np.full(len(codes), 7, dtype=np.uint64)]
@@ -100,14 +112,7 @@ def grams(words: list[bytes], order: int) -> tuple[list[np.ndarray], np.ndarray]
         value ^= value >> np.uint64(31)
         value[depth < n - 1] = 0
         found.append(value)
-    return found, depth
-
-
-def pieces_of(word: bytes) -> list[bytes]:
-    text = word.decode()
-    if len(text) <= LONGEST:
-        return [word]
-    return [text[i : i + LONGEST].encode() for i in range(0, len(text), LONGEST)]
+    return found, depth, lengths
 
 
 def word_counts(labelled: DataFrame) -> DataFrame:
@@ -149,15 +154,10 @@ def gram_counts(words: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts, rows = [], []
-            for k, word in enumerate(batch.column(0).to_pylist()):
-                own = pieces_of(word)
-                parts += own
-                rows += [k] * len(own)
-            if not parts:
+            pieces, rows = pieces_of(batch.column(0).to_pylist())
+            if not pieces:
                 continue
-            hashes, depth = grams(parts, ORDER)
-            lengths = np.array([len(p.decode()) + 2 for p in parts])
+            hashes, depth, lengths = grams(pieces, ORDER)
             row = np.repeat(np.array(rows), lengths)
             counts = [batch.column(c).to_numpy()[row] for c in (1, 2)]
             place = np.arange(len(depth))
@@ -165,11 +165,19 @@ def gram_counts(words: DataFrame) -> tuple[DataFrame, DataFrame]:
                 # The first mark of a word is given, not predicted.
                 here = place[(depth >= max(n - 1, 1))]
                 longer = hashes[n + 1][here] if n <= SHARED else np.zeros(len(here), np.uint64)
-                keys = np.stack([hashes[n - 1][here - 1], hashes[n][here], longer]).view(np.int64)
-                unique, at = np.unique(keys, axis=1, return_inverse=True)
-                at = at.reshape(-1)
-                sums = [np.bincount(at, c[here], unique.shape[1]).astype(np.int64) for c in counts]
-                yield record_batch(schema, [pa.array(np.full(unique.shape[1], n), pa.int32()), *map(pa.array, unique), *map(pa.array, sums)])
+                # The longest of the three says what the others are.
+                whole = np.where(longer != 0, longer, hashes[n][here])
+                _, first, at = np.unique(whole, return_index=True, return_inverse=True)
+                keys = [hashes[n - 1][here - 1], hashes[n][here], longer]
+                sums = [np.bincount(at, c[here], len(first)).astype(np.int64) for c in counts]
+                yield record_batch(
+                    schema,
+                    [
+                        pa.array(np.full(len(first), n), pa.int32()),
+                        *(pa.array(k[first].view(np.int64)) for k in keys),
+                        *map(pa.array, sums),
+                    ],
+                )
 
     rows = words.mapInArrow(
         count, "n int, context long, gram long, longer long, ordinary long, toxic long"
@@ -189,7 +197,7 @@ def gram_counts(words: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 class Table:
-    """Sorted hashes with two values each, in files that Spark brings to every node. They are mapped
+    """Sorted hashes with four values each, in files that Spark brings to every node. They are mapped
     where they are used, so that the workers of a node share what they read of them."""
 
     def __init__(self, stem: str, rows: int):
@@ -205,22 +213,25 @@ class Table:
         if self.mapped is None:
             self.mapped = tuple(
                 np.asarray(np.memmap(SparkFiles.get(f"{self.stem}.{part}"), kind, "r", shape=shape))
-                for part, kind, shape in (("keys", "<i8", self.rows), ("values", "<f8", (self.rows, 2)))
+                for part, kind, shape in (("keys", "<i8", self.rows), ("values", "<f8", (self.rows, 4)))
             )
         return self.mapped
 
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of the keys are in the table, and the values of those."""
-        if not self.rows:
-            return np.zeros(len(keys), dtype=bool), np.zeros((0, 2))
-        table, values = self._open()
-        at = np.minimum(np.searchsorted(table, keys), self.rows - 1)
-        hit = table[at] == keys
-        return hit, values[at[hit]]
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The values of each key; NOTHING for those that are not in the table. Every key is looked
+        up once, and in the table's order: places close by are then still in the processor's cache."""
+        unique, back = np.unique(keys, return_inverse=True)
+        found = np.tile(NOTHING, (len(unique), 1))
+        if self.rows:
+            table, values = self._open()
+            at = np.minimum(np.searchsorted(table, unique), self.rows - 1)
+            hit = table[at] == unique
+            found[hit] = values[at[hit]]
+        return found[back]
 
 
 def filed(df: DataFrame) -> Table:
-    """The rows (key, p0, p1) as a Table. The driver holds one sorted partition at a time."""
+    """The rows (key and four values) as a Table. The driver holds one sorted partition at a time."""
     context = df.sparkSession.sparkContext
     schema = pa.schema([("keys", pa.binary()), ("p", pa.binary())])
 
@@ -247,37 +258,40 @@ def filed(df: DataFrame) -> Table:
 
 @dataclass
 class Model:
-    """Hashes of n-grams and contexts with what they contribute to either class."""
+    """Hashes of n-grams with what they contribute to either class."""
 
-    gram: Table  # of each n-gram, its discounted share of its context, per class
-    context: Table  # of each context, what it leaves to the next lower order, per class
+    #: Of each n-gram, its discounted share of its context, per class, and what it leaves to the
+    #: next lower order where it is itself the context, per class.
+    gram: Table
     curve: tuple[float, ...] = (0.0, 0.0, 0.0, 0.0)
     known: bool = True
 
     def deltas(self, words: list[bytes]) -> np.ndarray:
         """Toxic minus ordinary log-likelihood of each expression."""
-        parts, rows = [], []
-        for k, word in enumerate(words):
-            own = pieces_of(word)
-            parts += own
-            rows += [k] * len(own)
-        hashes, depth = grams(parts, ORDER)
+        pieces, rows = pieces_of(words)
+        hashes, depth, lengths = grams(pieces, ORDER)
         p = np.full((len(depth), 2), 1e-6)
+        here = np.flatnonzero(depth > 0)
+        backoff = np.repeat(self.gram.find(hashes[0][:1].view(np.int64))[:, 2:], len(here), axis=0)
+        slot = np.zeros(len(depth), dtype=np.int64)
         for n in range(1, ORDER + 1):
             # A context of an upper order is kept only if the next shorter one is, where that is of
             # an upper order too; a share only if its context is.
-            if n <= SHARED + 1:
-                here = np.flatnonzero(depth >= max(n - 1, 1))
-            else:
-                here = here[depth[here] >= n - 1]
-            seen, backoff = self.context.find(hashes[n - 1][here - 1].view(np.int64))
-            here = here[seen]
-            value = backoff * p[here]
-            hit, share = self.gram.find(hashes[n][here].view(np.int64))
-            value[hit] += share
-            p[here] = np.maximum(value, 1e-12)
+            seen = (backoff[:, 0] < 1) | (backoff[:, 1] < 1)
+            here, backoff = here[seen], backoff[seen]
+            longer = np.flatnonzero(depth >= n) if n <= SHARED else here[depth[here] >= n]
+            # The n characters are predicted here, and one place further they are the context.
+            asked = np.zeros(len(depth), dtype=bool)
+            asked[here] = True
+            if n < ORDER:
+                asked[longer - 1] = True
+            places = np.flatnonzero(asked)
+            slot[places] = np.arange(len(places))
+            found = self.gram.find(hashes[n][places].view(np.int64))
+            p[here] = np.maximum(backoff * p[here] + found[slot[here], :2], 1e-12)
+            if n < ORDER:
+                here, backoff = longer, found[slot[longer - 1], 2:]
         steps = np.where(depth > 0, np.log(p[:, 1] / p[:, 0]), 0.0)
-        lengths = np.array([len(w.decode()) + 2 for w in parts])
         return np.bincount(np.repeat(np.array(rows), lengths), steps, len(words))
 
 
@@ -311,14 +325,20 @@ def fit_counts(words: DataFrame) -> Model:
         F.col("gram").alias("key"), part("types", "all0").alias("p0"), part("types", "all0").alias("p1")
     )
     backoffs = contexts.select(
-        F.col("context").alias("key"), left("all0", "given0").alias("p0"), left("all1", "given1").alias("p1")
+        F.col("context").alias("key"), left("all0", "given0").alias("b0"), left("all1", "given1").alias("b1")
     )
     low_backoffs = low_contexts.select(
-        F.col("context").alias("key"), left("all0", "given0").alias("p0"), left("all0", "given0").alias("p1")
+        F.col("context").alias("key"), left("all0", "given0").alias("b0"), left("all0", "given0").alias("b1")
+    )
+    both = (
+        shares.unionByName(low_shares).where("p0 > 0 OR p1 > 0")
+        .unionByName(backoffs.unionByName(low_backoffs).where("b0 < 1 OR b1 < 1"), allowMissingColumns=True)
+    )
+    # A key has at most one row of either kind.
+    merged = both.groupBy("key").agg(
+        *(F.coalesce(F.max(c), F.lit(none)).alias(c) for c, none in zip(("p0", "p1", "b0", "b1"), NOTHING, strict=True))
     )
-    gram = filed(shares.unionByName(low_shares).where("p0 > 0 OR p1 > 0"))
-    context = filed(backoffs.unionByName(low_backoffs).where("p0 < 1 OR p1 < 1"))
-    return Model(gram, context, known=not words.isEmpty())
+    return Model(filed(merged), known=not words.isEmpty())
 
 
 class Expressions(dict):

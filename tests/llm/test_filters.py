@@ -107,6 +107,39 @@ def test_an_expression_counts_the_same_wherever_it_stands_in_its_batch(spark):
     assert model.deltas(asked).tolist() == [model.deltas([w])[0] for w in asked]
 
 
+def test_each_n_gram_of_an_expression_is_looked_up_once(spark, monkeypatch):
+    words = [(b"gronk", 0, 9), (b"table", 9, 0)]
+    model = toxicity.fit_counts(spark.createDataFrame(words, "word binary, ordinary long, toxic long"))
+    asked, find = [], toxicity.Table.find
+    monkeypatch.setattr(toxicity.Table, "find", lambda self, keys: asked.append(len(keys)) or find(self, keys))
+    assert model.deltas([b"gronk"])[0] > 1
+    # The empty context, and the n-grams of seven characters with the two marks.
+    assert sum(asked) <= 1 + sum(8 - n for n in range(1, toxicity.ORDER + 1))
+
+
+def test_n_grams_are_counted_as_by_plain_search(spark):
+    given = [("ab", 3, 0), ("aba", 0, 2), ("abab", 4, 1), ("x" * 50, 1, 1), ("漢字", 2, 0), ("a", 1, 1)]
+    upper, lower = Counter(), {}
+    for word, *counts in given:
+        for k in range(0, len(word), toxicity.LONGEST):
+            marked = f"\n{word[k : k + toxicity.LONGEST]}\n"
+            for end in range(2, len(marked) + 1):
+                for n in range(1, min(toxicity.ORDER, end) + 1):
+                    gram = marked[end - n : end]
+                    if n <= toxicity.SHARED:
+                        lower.setdefault(gram, set()).add(marked[end - n - 1 : end] if end > n else "")
+                    else:
+                        upper.update({(gram, c): v for c, v in enumerate(counts)})
+    words = spark.createDataFrame(
+        [(w.encode(), *c) for w, *c in given], "word binary, ordinary long, toxic long"
+    )
+    up, low = (df.collect() for df in toxicity.gram_counts(words))
+    assert Counter((r.n, r.ordinary, r.toxic) for r in up) == Counter(
+        (len(g), upper[g, 0], upper[g, 1]) for g in {g for g, _ in upper}
+    )
+    assert Counter((r.n, r.types) for r in low) == Counter((len(g), len(s)) for g, s in lower.items())
+
+
 def test_only_the_texts_of_the_curve_are_left_out_of_the_counts(spark, learned, monkeypatch):
     given, marks, truth = learned
     counted, count = [], toxicity.word_counts
