@@ -7,8 +7,10 @@ are widened until they are not; and each shard is audited before it is asked. It
 drawn by a hash, are compared with the whole shard until AUDIT_PAIRS links without those to
 themselves are known or all are compared; and beside AUDIT_PAIRS of its nodes an asking vector is
 planted just within the threshold, so that shards with few links are measured too. The starting
-beam is doubled until RECALL of either are found; a beam as wide as the shard is brute force. Cosines of what was found are computed in double precision, and only those of at
-least the threshold are links. Each link can be found from both of its ends.
+beam is doubled until RECALL of either are found. A beam as wide as the shard is brute force, and
+so is a wider beam that would cost more than that. Cosines of what was found are computed in double
+precision, and only those of at least the threshold are links. Each link can be found from both of
+its ends.
 
 Equal vectors are one node that knows how many they are, so they are never paired. Groups are
 the components of the links.
@@ -34,11 +36,21 @@ from berth.llm.components import connect
 from berth.llm.vectors import distinct_vectors, matrix, usable
 
 THRESHOLD = 0.95
-SHARDS, SHARD_ROWS = 12, 200_000
+#: Every shard is asked for every vector, so there are as few as keep the cores at work, as long as
+#: they are not larger than SHARD_ROWS; small tables have shards of LEAST_ROWS.
+SHARDS, SHARD_ROWS, LEAST_ROWS = 12, 200_000, 2_000
 #: Neighbours of a node on an upper level; twice as many at the bottom.
 NEIGHBOURS = 12
 BUILD_BEAM, FIRST_BEAM = 32, 24
 AUDIT, AUDIT_PAIRS, RECALL = 64, 1_000, 0.995
+#: Nodes of an upper level up to which a search compares them all.
+ENTRIES = 8_192
+#: A place of a beam costs about as much as so many nodes in a product of matrices, so beams are
+#: no longer widened where comparing all nodes is the lesser work.
+PLACE = 2_000
+TILE_ROWS, TILE_NODES = 256, 2_048
+#: Pairs of vectors that are compared at a time.
+AT_ONCE = 1_024
 #: Cells of the table of visited nodes in a block of searches.
 VISITED = 16_000_000
 
@@ -54,6 +66,7 @@ class Graph:
         # Nodes of high levels first: then the first nodes are the entries of every level.
         order = np.argsort(-levels, kind="stable")
         self.order, self.vectors, self.levels = order, self.vectors[order], levels[order]
+        self.marks = np.zeros(0, dtype=bool)
         self.links: list[np.ndarray] = []
         self.filled: list[np.ndarray] = []
         for level in range(int(self.levels[0]) + 1 if n else 0):
@@ -150,9 +163,10 @@ class Graph:
         links = self.links[level]
         members = members or len(links)
         count = len(queries)
-        seen = np.zeros((count, members), dtype=bool)
+        seen = self._unseen(count, members)
         rows = np.arange(count)
         seen[rows, starts] = True
+        visited = [rows * members + starts]
         ids = np.full((count, width), -1, dtype=np.int32)
         sims = np.full((count, width), -2.0, dtype=np.float32)
         done = np.ones((count, width), dtype=bool)
@@ -171,19 +185,22 @@ class Graph:
             nodes = np.where(some, ids[live[:, None], open_], -1)
             done[live[:, None], open_] = True
             around = np.where(nodes[:, :, None] >= 0, links[np.maximum(nodes, 0)], -1).reshape(len(live), -1)
-            around = np.where(around < members, around, -1)
-            fresh = (around >= 0) & ~seen[live[:, None], np.maximum(around, 0)]
+            around = np.sort(np.where(around < members, around, -1), axis=1)
+            fresh = around >= 0
+            fresh[:, 1:] &= around[:, 1:] != around[:, :-1]
             row, col = np.nonzero(fresh)
             node = around[row, col]
-            key = row.astype(np.int64) * members + node
-            _, first = np.unique(key, return_index=True)
-            row, node = row[first], node[first]
-            seen[live[row], node] = True
-            near = np.einsum("nd,nd->n", self.vectors[node], queries[live[row]])
-            place = np.arange(len(row)) - np.searchsorted(row, row)
+            cells = live[row] * members + node
+            new = ~seen.ravel()[cells]
+            row, node, cells = row[new], node[new], cells[new]
             if not len(row):
                 continue
-            more = int(place.max()) + 1
+            seen.ravel()[cells] = True
+            visited.append(cells)
+            near = self._cosines(node, queries, live[row])
+            counts = np.bincount(row)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+            more = int(counts.max())
             new_ids = np.full((len(live), more), -1, dtype=np.int32)
             new_sims = np.full((len(live), more), -2.0, dtype=np.float32)
             new_ids[row, place], new_sims[row, place] = node, near
@@ -194,15 +211,60 @@ class Graph:
             ids[live] = np.take_along_axis(all_ids, best, axis=1)
             sims[live] = np.take_along_axis(all_sims, best, axis=1)
             done[live] = np.take_along_axis(all_done, best, axis=1)
+        seen.ravel()[np.concatenate(visited)] = False
         return ids, sims
 
+    def _cosines(self, nodes: np.ndarray, queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Cosines of nodes and rows of the queries, so many at a time that they stay in a cache."""
+        found = np.empty(len(nodes), dtype=np.float32)
+        size = min(AT_ONCE, len(nodes))
+        a, b = np.empty((2, size, self.vectors.shape[1]), dtype=np.float32)
+        for k in range(0, len(nodes), size):
+            some, own = nodes[k : k + size], rows[k : k + size]
+            m = len(some)
+            np.take(self.vectors, some, axis=0, out=a[:m], mode="clip")
+            np.take(queries, own, axis=0, out=b[:m], mode="clip")
+            np.einsum("nd,nd->n", a[:m], b[:m], out=found[k : k + size])
+        return found
+
+    def _unseen(self, count: int, members: int) -> np.ndarray:
+        """A table of nodes that no query has visited. It is used again, as every beam takes back
+        what it has marked, so its size costs nothing."""
+        if len(self.marks) < count * members:
+            self.marks = np.zeros(count * members, dtype=bool)
+        return self.marks[: count * members].reshape(count, members)
+
     def search(self, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        # The search begins in the lowest level above the bottom that is compared as a whole.
+        top = next((k for k in range(1, len(self.links)) if len(self.links[k]) <= ENTRIES), 0)
         starts = np.zeros(len(queries), dtype=np.int64)
-        for level in range(len(self.links) - 1, 0, -1):
+        if top:
+            starts = np.argmax(queries @ self.vectors[: len(self.links[top])].T, axis=1)
+        for level in range(top - 1, 0, -1):
             ids, sims = self.beam(level, queries, starts, 2)
             starts = ids[np.arange(len(queries)), np.argmax(sims, axis=1)].astype(np.int64)
         return self.beam(0, queries, starts, width)
 
+    def wider(self, width: int) -> int:
+        """The width to go on with: the whole graph where comparing all nodes is the lesser work."""
+        return len(self.vectors) if width * PLACE >= len(self.vectors) else width
+
+    def compared(self, queries: np.ndarray, floor: float) -> tuple[np.ndarray, np.ndarray]:
+        """(query, node) pairs at ``floor`` or more among all, by tiles that stay in a cache."""
+        pairs: list[tuple[np.ndarray, np.ndarray]] = []
+        tile = np.empty((TILE_ROWS, TILE_NODES), dtype=np.float32)
+        for a in range(0, len(queries), TILE_ROWS):
+            some = queries[a : a + TILE_ROWS]
+            for b in range(0, len(self.vectors), TILE_NODES):
+                nodes = self.vectors[b : b + TILE_NODES]
+                sims = np.matmul(some, nodes.T, out=tile[: len(some), : len(nodes)])
+                if sims.max() >= floor:
+                    row, node = np.nonzero(sims >= floor)
+                    pairs.append((row + a, node + b))
+        if not pairs:
+            return np.zeros(0, int), np.zeros(0, int)
+        return tuple(map(np.concatenate, zip(*pairs, strict=True)))
+
     def within(self, queries: np.ndarray, floor: float, width: int) -> tuple[np.ndarray, np.ndarray]:
         """(query, node) pairs at ``floor`` or more; full beams are widened."""
         queries = queries.astype(np.float32)
@@ -216,7 +278,7 @@ class Graph:
                 some = left[k : k + block]
                 if width >= len(self.vectors):
                     # Also nodes that no way leads to.
-                    row, node = np.nonzero(queries[some] @ self.vectors.T >= floor)
+                    row, node = self.compared(queries[some], floor)
                     found.append((some[row], node))
                     continue
                 ids, sims = self.search(queries[some], width)
@@ -226,7 +288,7 @@ class Graph:
                 found.append((some[row], ids[row, col]))
                 again.append(some[full])
             left = np.concatenate(again) if again else left[:0]
-            width = min(4 * width, len(self.vectors))
+            width = self.wider(4 * width)
         pairs = [np.concatenate(p) for p in zip(*found, strict=True)] if found else [np.zeros(0, int)] * 2
         return pairs[0], self.order[pairs[1]]
 
@@ -248,9 +310,10 @@ class Shard:
     def known_links(self, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(asking, found) places of links among the shard's own vectors, by brute force."""
         pairs, count = [], 0
+        vectors = self.vectors.astype(np.float32)
         for k in range(0, len(order), AUDIT):
             some = order[k : k + AUDIT]
-            near = self.vectors[some] @ self.vectors.T >= self.floor
+            near = vectors[some] @ vectors.T >= self.floor
             near[np.arange(len(some)), some] = False
             row, node = np.nonzero(near)
             pairs.append((some[row], node))
@@ -277,7 +340,7 @@ class Shard:
         parts.append((self.planted(drawn), np.arange(len(drawn)), drawn))
         self.width = FIRST_BEAM
         while self.width < len(self.vectors) and not all(self.finds(*p) for p in parts):
-            self.width *= 2
+            self.width = self.graph.wider(2 * self.width)
 
     def finds(self, queries: np.ndarray, row: np.ndarray, node: np.ndarray) -> bool:
         """Whether the beam finds RECALL of the links of the queries."""
@@ -296,9 +359,13 @@ class Shard:
         return np.maximum(a, b)[other], np.minimum(a, b)[other]
 
 
+def shards_of(total: int, cores: int) -> int:
+    return max(1, min(SHARDS, cores, -(-total // LEAST_ROWS)), -(-total // SHARD_ROWS))
+
+
 def links(classes: DataFrame, total: int, threshold: float = THRESHOLD) -> DataFrame:
     """Links (a, b), a > b, between class_ids whose cosine is at least ``threshold``."""
-    shards = max(SHARDS, -(-total // SHARD_ROWS))
+    shards = shards_of(total, classes.sparkSession.sparkContext.defaultParallelism)
     held = classes.select(
         F.pmod(F.xxhash64("class_id"), F.lit(shards)).cast("int").alias("shard"),
         F.lit(0).alias("kind"), "class_id", "embedding",
@@ -331,7 +398,7 @@ def links(classes: DataFrame, total: int, threshold: float = THRESHOLD) -> DataF
                 if shard is not None:
                     yield record_batch(schema, map(pa.array, shard.links(ids, vectors)))
 
-    dealt = held.union(asked).repartitionByRange(shards, "shard").sortWithinPartitions("shard", "kind")
+    dealt = held.union(asked).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "kind")
     return dealt.mapInArrow(ask, "a long, b long").distinct()
 
 

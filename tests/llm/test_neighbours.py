@@ -235,3 +235,49 @@ def test_audits_compare_until_enough_links_are_known():
     shard = small_world.Shard(np.arange(3000), vectors, 0.95)
     asking, node = shard.known_links(np.arange(3000))
     assert len(asking) >= small_world.AUDIT_PAIRS and (asking != node).all()
+
+
+def test_full_beams_become_a_comparison_with_the_shard(monkeypatch):
+    draw = np.random.default_rng(7)
+    crowd = small_world.unit(np.ones((600, 16)) + draw.normal(size=(600, 16)) * 0.02)
+    graph = small_world.Graph(np.concatenate([crowd, small_world.unit(draw.normal(size=(3000, 16)))]))
+    widths, search = [], small_world.Graph.search
+
+    def noted(self, queries, width):
+        widths.append(width)
+        return search(self, queries, width)
+
+    monkeypatch.setattr(small_world.Graph, "search", noted)
+    row, node = graph.within(crowd[:20], 0.95, 1)
+    # A beam of four would cost more than comparing all 3,600 nodes.
+    assert widths == [1]
+    given = np.empty_like(graph.vectors)
+    given[graph.order] = graph.vectors
+    true = np.nonzero(crowd[:20].astype(np.float32) @ given.T >= 0.95)
+    assert sorted(zip(row, node, strict=True)) == sorted(zip(*true, strict=True))
+
+
+def test_tiles_compare_all_nodes(monkeypatch):
+    monkeypatch.setattr(small_world, "TILE_ROWS", 7)
+    monkeypatch.setattr(small_world, "TILE_NODES", 11)
+    draw = np.random.default_rng(8)
+    graph = small_world.Graph(small_world.unit(draw.normal(size=(100, 3))))
+    queries = graph.vectors[:30]
+    row, node = graph.compared(queries, 0.9)
+    assert sorted(zip(row, node, strict=True)) == sorted(zip(*np.nonzero(queries @ graph.vectors.T >= 0.9), strict=True))
+    assert len(graph.compared(queries, 1.1)[0]) == 0
+
+
+def test_beams_take_back_what_they_marked():
+    draw = np.random.default_rng(9)
+    x = small_world.unit(draw.normal(size=(2000, 16)))
+    graph = small_world.Graph(x)
+    first = graph.search(x[:50].astype(np.float32), 24)
+    assert not graph.marks.any()
+    again = graph.search(x[:50].astype(np.float32), 24)
+    assert all((a == b).all() for a, b in zip(first, again, strict=True))
+
+
+@pytest.mark.parametrize(("total", "cores", "shards"), [(0, 6, 1), (2_001, 6, 2), (51_282, 6, 6), (51_282, 64, 12), (4_000_001, 6, 21)])
+def test_no_more_shards_than_cores_or_rows_ask_for(total, cores, shards):
+    assert small_world.shards_of(total, cores) == shards
