@@ -47,7 +47,7 @@ AUDIT, AUDIT_PAIRS, RECALL = 64, 1_000, 0.995
 ENTRIES = 8_192
 #: A place of a beam costs about as much as so many nodes in a product of matrices, so beams are
 #: no longer widened where comparing all nodes is the lesser work.
-PLACE = 2_000
+PLACE = 3_000
 TILE_ROWS, TILE_NODES = 256, 2_048
 #: Pairs of vectors that are compared at a time.
 AT_ONCE = 1_024
